@@ -39,7 +39,10 @@ class Ordered:
         limit = GROUP_LIMIT if limit is None else limit
         if row_count is not None and row_count <= limit:
             return cls(df, keys, order, False, row_count)
-        largest = largest_group(measure if measure is not None else df, keys)
+        if row_count is not None and not keys:
+            largest = row_count
+        else:
+            largest = largest_group(measure if measure is not None else df, keys)
         size = row_count if row_count is not None else (None if keys else largest)
         if largest <= limit:
             return cls(df, keys, order, False, size)
