@@ -210,8 +210,9 @@ table("f_season1", ["tx"], f"""
 table("f_season", ["f_season1", "tx"], """
   SELECT s.*, cast(HolidayTransactions AS double) / TotalTransactions AS HolidayActivityRatio, PreferredQuarter
   FROM f_season1 s JOIN (
-    SELECT CustomerID, quarter(TransactionDate) AS PreferredQuarter FROM tx GROUP BY ALL
-    QUALIFY row_number() OVER (PARTITION BY CustomerID ORDER BY count(*) DESC, quarter(TransactionDate)) = 1
+    SELECT CustomerID, PreferredQuarter
+    FROM (SELECT CustomerID, quarter(TransactionDate) AS PreferredQuarter, count(*) AS c FROM tx GROUP BY 1, 2)
+    QUALIFY row_number() OVER (PARTITION BY CustomerID ORDER BY c DESC, PreferredQuarter) = 1
   ) p ON p.CustomerID = s.CustomerID""")
 table("f_engage1", ["tx", "products"], """
   SELECT CustomerID, count(DISTINCT TransactionDate) AS DaysActive, count(DISTINCT tx.ProductID) AS UniqueProducts,
