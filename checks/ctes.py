@@ -8,7 +8,7 @@ def I(e: str) -> str:
 
 
 def D(e: str) -> str:
-    return f"round(cast({e} as double), 6)"
+    return f"round_even(cast({e} as double) * 1e6, 0) / 1e6"
 
 
 def MEAN(e: str) -> str:

@@ -10,6 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from tillpoint.functions.lineage import stage
 from tillpoint.operators import customer_features, loyalty
 
 MONEY = T.DecimalType(18, 2)
@@ -19,28 +20,38 @@ POINTS_UNIT = 100
 CLEAN_ORDER = ("LineNumber", "StoreID", "Quantity", "UnitPrice", "LineTotal")
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 class Tables:
-    """Lazy views over one data folder."""
+    """Lazy views over one data folder. A file's schema is looked up once per process."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, str(folder).rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     @cached_property
     def lines(self) -> DataFrame:
         """Order lines without customer and date: enough for reports on products and baskets."""
-        cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+        cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
         q = F.col("l_quantity").cast("bigint")
         unit_cents = F.call_function("div", 2 * cents + q, 2 * q)
+
+        def from_cents(c):
+            return (c.cast("decimal(16,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(MONEY)
+
         return self.raw("lineitem").select(
             F.col("l_orderkey").alias("TransactionID"),
             F.col("l_suppkey").alias("StoreID"),
             F.col("l_partkey").alias("ProductID"),
             F.col("l_quantity").cast("int").alias("Quantity"),
-            (unit_cents.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY).alias("UnitPrice"),
-            F.col("l_extendedprice").cast(MONEY).alias("LineTotal"),
+            from_cents(unit_cents).alias("UnitPrice"),
+            from_cents(cents).alias("LineTotal"),
             F.col("l_linenumber").alias("LineNumber"),
             F.col("l_returnflag").alias("ReturnFlag"),
         )
@@ -183,5 +194,6 @@ class Tables:
 
     @cached_property
     def features(self) -> DataFrame:
-        return customer_features.create_customer_feature_matrix(
-            self.tx, self.loyalty, self.customers, self.products, self.surveys, self.ref, measure=self.customer_sizes)
+        """The matrix, computed once per run and read by every report of the run."""
+        return stage(customer_features.create_customer_feature_matrix(
+            self.tx, self.loyalty, self.customers, self.products, self.surveys, self.ref, measure=self.customer_sizes))

@@ -23,18 +23,19 @@ ORACLES: dict[str, str] = {}
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Whole numbers as BIGINT, other numbers as DOUBLE rounded to 6 places, the rest as is."""
+    """Whole numbers as BIGINT, other numbers as DOUBLE rounded to 6 places, the rest as is.
+
+    Scaling, rounding to whole numbers and scaling back is the same arithmetic in both engines.
+    """
     out = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = f"`{f.name}`"
         if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
-            c = c.cast("bigint")
-        elif isinstance(f.dataType, T.DecimalType):
-            c = F.round(c.cast("double"), 6)
-        elif isinstance(f.dataType, (T.FloatType, T.DoubleType)):
-            c = F.round(c.cast("double"), 6)
-        out.append(c.alias(f.name))
-    return df.select(*out)
+            c = f"cast({c} as bigint)"
+        elif isinstance(f.dataType, (T.DecimalType, T.FloatType, T.DoubleType)):
+            c = f"rint(cast({c} as double) * 1e6D) / 1e6D"
+        out.append(f"{c} as `{f.name}`")
+    return df.selectExpr(*out)
 
 
 def query(name: str, sql: str | None = None, *tables: str):

@@ -64,9 +64,9 @@ def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
 def zero_filled(df: DataFrame, columns=None) -> DataFrame:
     """Null to 0 in numeric columns, also DECIMAL ones, which ``fillna`` leaves alone."""
     targets = set(numeric_columns(df) if columns is None else columns)
-    return df.select(
+    return df.selectExpr(
         *[
-            F.coalesce(F.col(f.name), F.lit(0).cast(f.dataType)).alias(f.name) if f.name in targets else F.col(f.name)
+            f"coalesce(`{f.name}`, cast(0 as {f.dataType.simpleString()})) as `{f.name}`" if f.name in targets else f"`{f.name}`"
             for f in df.schema.fields
         ]
     )

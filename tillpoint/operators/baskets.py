@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillpoint.functions.lineage import stage
-
 BLOCK = 1_000
 
 
@@ -22,12 +20,15 @@ def _frequent_only(lines: DataFrame, minimum: int) -> DataFrame:
 def _pairs(items: DataFrame, weight: str | None, block: int) -> DataFrame:
     """Unordered pairs within each basket, summed.
 
-    ``items`` has one row per (basket, product). A basket of more than ``block`` products is
-    split: its left side goes to one of ceil(size / block) parts by product, its right side to
-    all of them. Every pair is formed exactly once and no part holds the whole basket squared.
+    ``items`` has one row per (basket, product). A basket of more than ``block`` lines is split:
+    its left side goes to one of several parts by product, its right side to all of them. Every
+    pair is formed exactly once and no task holds the whole basket squared. The table of large
+    baskets has at most lines / block rows. All three readers of ``items`` share its shuffle.
     """
-    sizes = items.groupBy("TransactionID").agg(F.count(F.lit(1)).alias("_size")).filter("_size > 1")
-    kept = stage(items.join(sizes.withColumn("_parts", F.ceil(F.col("_size") / block).cast("int")).drop("_size"), "TransactionID"))
+    lines = F.sum(weight) if weight else F.count(F.lit(1))
+    large = items.groupBy("TransactionID").agg(lines.alias("_size")).filter(F.col("_size") > block)
+    large = large.select("TransactionID", F.ceil(F.col("_size") / block).cast("int").alias("_parts"))
+    kept = items.join(large, "TransactionID", "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
     count = F.col(weight) if weight else F.lit(1).cast("bigint")
     left = kept.select("TransactionID", F.col("ProductID").alias("Product1"), count.alias("_n1"),
                        F.pmod(F.xxhash64("ProductID"), F.col("_parts")).cast("int").alias("_part"))

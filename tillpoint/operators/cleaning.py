@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tillpoint.functions import ordered
+from tillpoint.functions.lineage import stage
 from tillpoint.functions.ordered import Ordered
-from tillpoint.functions.quantiles import quantiles
 from tillpoint.functions.stats import count_if, number
 from tillpoint.schemas import TIER_NAMES
 
@@ -91,7 +90,7 @@ def clean_transactions(df: DataFrame, remove_duplicates: bool = True, handle_out
     out = out.withColumn("Quantity", repaired_quantity(F.col("Quantity")))
     out = out.filter(~has_bad_price(F.col("UnitPrice")))
     if handle_outliers:
-        out = cap_prices(out)
+        out = cap_prices(stage(out))  # the price spread and the lines come from one deduplicated copy
     return repair_totals(out).filter(within_dates(F.col("TransactionDate"), first_date, last_date))
 
 

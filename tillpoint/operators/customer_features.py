@@ -87,13 +87,12 @@ RFM_COLUMNS = ["CustomerID", "Recency", "Frequency", "TotalSpend", "AvgTransacti
 
 def _with_life(df: DataFrame, ref: Column) -> DataFrame:
     lifetime = days_between(F.col("FirstPurchaseDate"), F.col("LastPurchaseDate"))
-    return (
-        df.withColumn("Recency", days_between(F.col("LastPurchaseDate"), ref))
-        .withColumn("CustomerLifetime", lifetime)
-        .withColumn("LifetimeValue", F.col("TotalSpend"))
-        .withColumn("AvgDaysBetweenPurchases",
-                    F.coalesce(ratio(F.col("CustomerLifetime"), F.col("Frequency")), F.lit(0.0)))
-    )
+    return df.withColumns({
+        "Recency": days_between(F.col("LastPurchaseDate"), ref),
+        "CustomerLifetime": lifetime,
+        "LifetimeValue": F.col("TotalSpend"),
+        "AvgDaysBetweenPurchases": F.coalesce(ratio(lifetime, F.col("Frequency")), F.lit(0.0)),
+    })
 
 
 def with_rfm_scores(df: DataFrame, size: int, limit: int | None = None) -> DataFrame:
@@ -137,13 +136,14 @@ TREND_COLUMNS = ["CustomerID", "RecentFrequency", "RecentSpend", "RecentAvgTrans
 
 
 def _with_trends(df: DataFrame) -> DataFrame:
-    return (
-        df.withColumn("FrequencyTrend", growth(F.col("RecentFrequency"), F.col("HistoricalFrequency")))
-        .withColumn("SpendingTrend", growth(F.col("RecentSpend"), F.col("HistoricalSpend")))
-        .withColumn("BasketSizeTrend", growth(F.col("RecentAvgBasketSize"), F.col("HistoricalAvgBasketSize")))
-        .withColumn("FrequencyTrendDirection", trend_direction(F.col("FrequencyTrend")))
-        .withColumn("SpendingTrendDirection", trend_direction(F.col("SpendingTrend")))
-    )
+    return df.withColumns({
+        "FrequencyTrend": growth(F.col("RecentFrequency"), F.col("HistoricalFrequency")),
+        "SpendingTrend": growth(F.col("RecentSpend"), F.col("HistoricalSpend")),
+        "BasketSizeTrend": growth(F.col("RecentAvgBasketSize"), F.col("HistoricalAvgBasketSize")),
+    }).withColumns({
+        "FrequencyTrendDirection": trend_direction(F.col("FrequencyTrend")),
+        "SpendingTrendDirection": trend_direction(F.col("SpendingTrend")),
+    })
 
 
 def calculate_behavioral_features(transactions: DataFrame, reference_date=None) -> DataFrame:
@@ -158,7 +158,7 @@ def _with_season(df: DataFrame) -> DataFrame:
     best = F.greatest(*counts)
     preferred = F.when(counts[0] == best, 1).when(counts[1] == best, 2).when(counts[2] == best, 3).otherwise(4)
     share = F.coalesce(ratio(F.col("HolidayTransactions"), F.col("TotalTransactions")), F.lit(0.0))
-    return df.withColumn("HolidayActivityRatio", share).withColumn("PreferredQuarter", preferred)
+    return df.withColumns({"HolidayActivityRatio": share, "PreferredQuarter": preferred})
 
 
 SEASON_COLUMNS = ["CustomerID", "TotalTransactions", "TotalSpend", "HolidayTransactions", "HolidayActivityRatio",
@@ -192,13 +192,13 @@ def _breadth(transactions: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def _with_engagement(df: DataFrame) -> DataFrame:
-    months = F.bround(F.col("_span") / F.lit(DAYS_PER_MONTH), 0).cast("int")
-    return (
-        df.withColumn("ActiveMonths", F.greatest(months, F.lit(1)))
-        .withColumn("AvgBasketSize", ratio(F.col("TotalItemsPurchased"), F.col("_baskets")))
-        .withColumn("PurchaseVelocity", F.coalesce(ratio(F.col("TotalTransactions"), F.col("ActiveMonths")), F.lit(0.0)))
-        .withColumn("ProductDiversity", F.coalesce(ratio(F.col("UniqueProducts"), F.col("TotalTransactions")), F.lit(0.0)))
-    )
+    months = F.greatest(F.bround(F.col("_span") / F.lit(DAYS_PER_MONTH), 0).cast("int"), F.lit(1))
+    return df.withColumns({
+        "ActiveMonths": months,
+        "AvgBasketSize": ratio(F.col("TotalItemsPurchased"), F.col("_baskets")),
+        "PurchaseVelocity": F.coalesce(ratio(F.col("TotalTransactions"), months), F.lit(0.0)),
+        "ProductDiversity": F.coalesce(ratio(F.col("UniqueProducts"), F.col("TotalTransactions")), F.lit(0.0)),
+    })
 
 
 ENGAGEMENT_COLUMNS = ["CustomerID", "DaysActive", "ActiveMonths", "UniqueProducts", "UniqueCategories",
@@ -290,8 +290,7 @@ def create_customer_feature_matrix(transactions: DataFrame, loyalty: DataFrame,
     # Trends belong to customers active in the trend window only; for the others they stay empty until the zero fill.
     moving = F.col("RecentFrequency") + F.col("HistoricalFrequency") > 0
     trends = _with_trends(zero_filled(scored, TREND_COLUMNS[1:9]))
-    for c in TREND_COLUMNS[1:]:
-        trends = trends.withColumn(c, F.when(moving, F.col(c)))
+    trends = trends.withColumns({c: F.when(moving, F.col(c)) for c in TREND_COLUMNS[1:]})
 
     matrix = customers.select("CustomerID").join(trends.drop("_span", "_baskets"), "CustomerID", "left")
     matrix = matrix.join(calculate_loyalty_features(loyalty, customers, ref, measure, limit), "CustomerID", "left")

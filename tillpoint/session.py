@@ -16,6 +16,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tillpoint-"))
     )
     spark = builder.getOrCreate()
