@@ -33,13 +33,18 @@ class Ordered:
         self.df, self.keys, self.order, self.chunked, self.size = df, keys, order, chunked, size
 
     @classmethod
-    def of(cls, df: DataFrame, keys: list[str], order: list, measure: DataFrame | None = None,
+    def of(cls, df: DataFrame, keys: list[str], order: list, measure: DataFrame | int | None = None,
            limit: int | None = None, row_count: int | None = None) -> "Ordered":
-        """``measure``: a cheaper frame with the same group sizes. ``row_count``: known table size."""
+        """``measure``: a cheaper frame with the same group sizes, or their measured maximum.
+
+        ``row_count``: known table size. ``order``: ascending columns or expressions.
+        """
         limit = GROUP_LIMIT if limit is None else limit
         if row_count is not None and row_count <= limit:
             return cls(df, keys, order, False, row_count)
-        if row_count is not None and not keys:
+        if isinstance(measure, int):
+            largest = measure
+        elif row_count is not None and not keys:
             largest = row_count
         else:
             largest = largest_group(measure if measure is not None else df, keys)
@@ -82,15 +87,15 @@ class Ordered:
             return self._with(local)
         earlier = self._earlier_chunks()
         carry = self._carry(
-            {f"_s_{n}": F.sum(c) for n, c in sums.items()},
-            {f"_c_{n}": F.sum(f"_s_{n}").over(earlier) for n in sums},
+            {f"_chunk_s_{n}": F.sum(c) for n, c in sums.items()},
+            {f"_chunk_c_{n}": F.sum(f"_chunk_s_{n}").over(earlier) for n in sums},
         )
         joined = self._join_carry(local, carry)
         for n in sums:
             dtype = local.schema[n].dataType
-            both_null = F.col(n).isNull() & F.col(f"_c_{n}").isNull()
-            total = F.coalesce(F.col(n), F.lit(0)) + F.coalesce(F.col(f"_c_{n}"), F.lit(0))
-            joined = joined.withColumn(n, F.when(~both_null, total).cast(dtype)).drop(f"_c_{n}")
+            both_null = F.col(n).isNull() & F.col(f"_chunk_c_{n}").isNull()
+            total = F.coalesce(F.col(n), F.lit(0)) + F.coalesce(F.col(f"_chunk_c_{n}"), F.lit(0))
+            joined = joined.withColumn(n, F.when(~both_null, total).cast(dtype)).drop(f"_chunk_c_{n}")
         return self._with(joined)
 
     def running_min(self, **mins: Column) -> "Ordered":
@@ -101,12 +106,12 @@ class Ordered:
             return self._with(local)
         earlier = self._earlier_chunks()
         carry = self._carry(
-            {f"_s_{n}": F.min(c) for n, c in mins.items()},
-            {f"_c_{n}": F.min(f"_s_{n}").over(earlier) for n in mins},
+            {f"_chunk_s_{n}": F.min(c) for n, c in mins.items()},
+            {f"_chunk_c_{n}": F.min(f"_chunk_s_{n}").over(earlier) for n in mins},
         )
         joined = self._join_carry(local, carry)
         for n in mins:
-            joined = joined.withColumn(n, F.least(F.col(n), F.col(f"_c_{n}"))).drop(f"_c_{n}")
+            joined = joined.withColumn(n, F.least(F.col(n), F.col(f"_chunk_c_{n}"))).drop(f"_chunk_c_{n}")
         return self._with(joined)
 
     def previous(self, **values: Column) -> "Ordered":
@@ -115,17 +120,17 @@ class Ordered:
         local = self.df.select("*", *[F.lag(c).over(window).alias(n) for n, c in values.items()])
         if not self.chunked:
             return self._with(local)
-        local = local.withColumn("_first", F.row_number().over(window) == 1)
+        local = local.withColumn("_chunk_first", F.row_number().over(window) == 1)
         by_chunk = Window.partitionBy(*self.keys).orderBy(CHUNK)
         rank = F.struct(*self.order)
         carry = self._carry(
-            {"_last": F.max_by(F.struct(*[c.alias(n) for n, c in values.items()]), rank)},
-            {"_before": F.lag("_last").over(by_chunk)},
+            {"_chunk_last": F.max_by(F.struct(*[c.alias(n) for n, c in values.items()]), rank)},
+            {"_chunk_before": F.lag("_chunk_last").over(by_chunk)},
         )
         joined = self._join_carry(local, carry)
         for n in values:
-            joined = joined.withColumn(n, F.when(F.col("_first"), F.col(f"_before.{n}")).otherwise(F.col(n)))
-        return self._with(joined.drop("_first", "_before"))
+            joined = joined.withColumn(n, F.when(F.col("_chunk_first"), F.col(f"_chunk_before.{n}")).otherwise(F.col(n)))
+        return self._with(joined.drop("_chunk_first", "_chunk_before"))
 
     def position(self, name: str) -> "Ordered":
         """1, 2, 3, ... in order within the group."""

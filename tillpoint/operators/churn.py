@@ -83,9 +83,10 @@ def point_in_time_split(transactions: DataFrame, build_features, train_end_date=
     cut = split_date(transactions, share) if train_end_date is None else train_end_date
     row = transactions.sparkSession.range(1).select(
         F.date_sub(F.lit(cut).cast("date"), churn_threshold_days).alias("a"),
+        F.lit(cut).cast("date").alias("cut"),
         F.date_add(F.lit(cut).cast("date"), churn_threshold_days).alias("b")).first()
     parts = []
-    for start, end in ((row["a"], cut), (cut, row["b"])):
+    for start, end in ((row["a"], row["cut"]), (row["cut"], row["b"])):
         past = transactions.filter(F.col("TransactionDate") <= F.lit(start).cast("date"))
         future = transactions.filter((F.col("TransactionDate") > F.lit(start).cast("date"))
                                      & (F.col("TransactionDate") <= F.lit(end).cast("date")))
@@ -142,7 +143,8 @@ def train_churn_model(train: DataFrame, hyperparameters: dict | None = None, use
 
 def validation_curve(model: PipelineModel, validation: DataFrame) -> DataFrame:
     """Loss on held-out rows after each tree."""
-    assembled = model.stages[0].transform(validation).select("features", F.col("Churn").cast("double"))
+    assembled = model.stages[0].transform(validation).select(
+        "features", F.col("Churn").cast("double").alias("Churn"), F.lit(1.0).alias("ClassWeight"))
     losses = model.stages[-1].evaluateEachIteration(assembled)
     return validation.sparkSession.createDataFrame([(i, float(x)) for i, x in enumerate(losses, 1)], "Trees int, Loss double")
 

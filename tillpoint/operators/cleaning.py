@@ -136,7 +136,7 @@ def clean_loyalty_data(df: DataFrame, flag_suspicious: bool = False, limit: int
     return flag_suspicious_redemptions(out, limit) if flag_suspicious else out
 
 
-def flag_suspicious_redemptions(df: DataFrame, limit: int | None = None, measure: DataFrame | None = None) -> DataFrame:
+def flag_suspicious_redemptions(df: DataFrame, limit: int | None = None, measure: DataFrame | int | None = None) -> DataFrame:
     """IsSuspicious: more points redeemed than the customer's balance before the record (0 before the first)."""
     rows = Ordered.of(df, ["CustomerID"], ["TransactionDate", "LoyaltyRecordID"], measure=measure, limit=limit)
     seen = rows.previous(_before=F.col("PointsBalance")).result()

@@ -224,7 +224,7 @@ LOYALTY_COLUMNS = ["CustomerID", "TotalPointsEarned", "AvgPointsEarned", "Points
 
 
 def calculate_loyalty_features(loyalty: DataFrame, customers: DataFrame, reference_date=None,
-                               measure: DataFrame | None = None, limit: int | None = None) -> DataFrame:
+                               measure: DataFrame | int | None = None, limit: int | None = None) -> DataFrame:
     """Points totals, the newest balance, tier and rate, and how often the tier changed."""
     ref = as_of(loyalty, reference_date)
     changed = F.col("PreviousTier").isNotNull() & (F.col("Tier") != F.col("PreviousTier"))
@@ -268,7 +268,7 @@ def calculate_survey_features(surveys: DataFrame) -> DataFrame:
 
 def create_customer_feature_matrix(transactions: DataFrame, loyalty: DataFrame, customers: DataFrame, products: DataFrame,
                                    surveys: DataFrame | None = None, reference_date=None, missing_recency: str = "zero",
-                                   spend_copies: bool = False, measure: DataFrame | None = None,
+                                   spend_copies: bool = False, measure: DataFrame | int | None = None,
                                    limit: int | None = None) -> DataFrame:
     """One row per customer with all feature families; missing numbers become 0.
 

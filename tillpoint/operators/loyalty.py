@@ -44,7 +44,7 @@ def tier_name(code: Column) -> Column:
 
 
 def running_spend(transactions: DataFrame, order: list[str], spend: Column | None = None,
-                  measure: DataFrame | None = None, limit: int | None = None) -> DataFrame:
+                  measure: DataFrame | int | None = None, limit: int | None = None) -> DataFrame:
     """CumulativeSpend: the customer's spend up to and including each line."""
     amount = F.col("LineTotal") if spend is None else spend
     rows = Ordered.of(transactions, ["CustomerID"], order, measure=measure, limit=limit)
@@ -52,7 +52,7 @@ def running_spend(transactions: DataFrame, order: list[str], spend: Column | Non
 
 
 def build_points_ledger(transactions: DataFrame, order: list[str], redeemed: Column, spend: Column | None = None,
-                        tiers=TIERS, record_ids: bool = True, measure: DataFrame | None = None,
+                        tiers=TIERS, record_ids: bool = True, measure: DataFrame | int | None = None,
                         limit: int | None = None) -> DataFrame:
     """One loyalty record per line: tier by running spend, points earned, and a balance that never goes below 0.
 
@@ -170,13 +170,13 @@ def monthly_loyalty_summary(loyalty: DataFrame) -> DataFrame:
     )
 
 
-def with_previous_tier(loyalty: DataFrame, measure: DataFrame | None = None, limit: int | None = None) -> DataFrame:
+def with_previous_tier(loyalty: DataFrame, measure: DataFrame | int | None = None, limit: int | None = None) -> DataFrame:
     """PreviousTier: tier of the customer's record before, by date and record number."""
     rows = Ordered.of(loyalty, ["CustomerID"], RECORD_ORDER, measure=measure, limit=limit)
     return rows.previous(PreviousTier=F.col("Tier")).result()
 
 
-def tier_migration(loyalty: DataFrame, measure: DataFrame | None = None, limit: int | None = None) -> DataFrame:
+def tier_migration(loyalty: DataFrame, measure: DataFrame | int | None = None, limit: int | None = None) -> DataFrame:
     """How often customers move from one tier to another, most frequent first."""
     moves = with_previous_tier(loyalty, measure, limit).filter(
         F.col("PreviousTier").isNotNull() & (F.col("PreviousTier") != F.col("Tier")))

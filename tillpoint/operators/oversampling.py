@@ -74,7 +74,8 @@ def projected_neighbours(rows: DataFrame, width: int, size: int, k: int, seed: i
         order = Window.partitionBy(CHUNK).orderBy("_p", "id")
         beside = [F.lead(F.struct(F.col("id").alias("nid"), F.col("x").alias("nx")), j).over(order) for j in range(1, k + 1)]
         beside += [F.lag(F.struct(F.col("id").alias("nid"), F.col("x").alias("nx")), j).over(order) for j in range(1, k + 1)]
-        pairs = stage(ranged).select("id", "x", F.explode(F.array(*beside)).alias("c")).filter("c is not null")
+        walked = stage(ranged).select("id", "x", F.array(*beside).alias("_beside"))
+        pairs = walked.select("id", "x", F.explode("_beside").alias("c")).filter("c is not null")
         square = F.aggregate(F.zip_with("x", F.col("c.nx"), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v)
         near = pairs.select("id", "c.nid", F.sqrt(square).alias("dist"))
         found = near if found is None else found.unionByName(near)

@@ -67,11 +67,17 @@ def prepare_features_for_clustering(features: DataFrame, use_pca: bool = False,
 
 
 def _vectors(prepared: DataFrame) -> DataFrame:
-    """The matrix every K-Means run reads: staged once, kept in memory where it fits."""
+    """The matrix every K-Means run reads: staged once, kept in memory where it fits.
+
+    Rows are placed by CustomerID, so a seed gives the same start, and so the same labels, every time.
+    """
     columns = [c for c in prepared.columns if c != "CustomerID"]
     keys = [c for c in prepared.columns if c == "CustomerID"]
     assembled = VectorAssembler(inputCols=columns, outputCol="features").transform(prepared)
-    return stage(assembled.select(*keys, "features")).persist()
+    narrow = assembled.select(*keys, "features")
+    if keys:
+        narrow = narrow.repartition(*keys).sortWithinPartitions(*keys)
+    return stage(narrow).persist()
 
 
 def _best_kmeans(vectors: DataFrame, k: int, seed: int, max_iter: int, n_init: int):

@@ -14,7 +14,7 @@ STORED_MODEL = {"n_estimators": 50, "max_depth": 6, "learning_rate": 0.1}
 
 
 def precompute_all_analysis(spark: SparkSession, tables: dict[str, DataFrame], output_dir, n_clusters: int = 5,
-                            hyperparameters: dict | None = None, n_init: int = 10, measure: DataFrame | None = None) -> list[str]:
+                            hyperparameters: dict | None = None, n_init: int = 10, measure: DataFrame | int | None = None) -> list[str]:
     """Write every result table as Parquet and return their names.
 
     The feature matrix is computed once and staged; segmentation, churn and KPIs read the copy.
