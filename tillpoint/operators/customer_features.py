@@ -96,12 +96,19 @@ def _with_life(df: DataFrame, ref: Column) -> DataFrame:
 
 
 def with_rfm_scores(df: DataFrame, size: int, limit: int | None = None) -> DataFrame:
-    """Quintile scores by first-rank; CustomerID decides ties. ``df`` should be staged: it is read per metric."""
-    for metric, score in (("Recency", "RecencyScore"), ("Frequency", "FrequencyScore"), ("TotalSpend", "MonetaryScore")):
-        ranked = Ordered.of(df, [], [metric, "CustomerID"], limit=limit, row_count=size).position("_rank").result()
+    """Quintile scores by first-rank; CustomerID decides ties.
+
+    Only the three metrics are ranked; the scores join back by customer, so wide rows are never
+    sorted as a whole table. ``df`` should be staged: it is read twice.
+    """
+    metrics = {"Recency": "RecencyScore", "Frequency": "FrequencyScore", "TotalSpend": "MonetaryScore"}
+    scores = df.select("CustomerID", *metrics)
+    for metric, score in metrics.items():
+        ranked = Ordered.of(scores, [], [metric, "CustomerID"], limit=limit, row_count=size).position("_rank").result()
         bucket = quintile(F.col("_rank"), size)
-        df = ranked.withColumn(score, 6 - bucket if metric == "Recency" else bucket).drop("_rank")
-    return df.withColumn("RFMScore", combined_score(F.col("RecencyScore"), F.col("FrequencyScore"), F.col("MonetaryScore")))
+        scores = ranked.withColumn(score, 6 - bucket if metric == "Recency" else bucket).drop("_rank")
+    combined = combined_score(F.col("RecencyScore"), F.col("FrequencyScore"), F.col("MonetaryScore")).alias("RFMScore")
+    return df.join(scores.select("CustomerID", *metrics.values(), combined), "CustomerID")
 
 
 def calculate_rfm_features(transactions: DataFrame, reference_date=None, limit: int | None = None) -> DataFrame:

@@ -30,6 +30,12 @@ def _one_row(df: DataFrame, expressions: list[Column]) -> dict:
     return df.agg(*expressions).first().asDict() if expressions else {}
 
 
+def _pearson(a: Column, b: Column) -> Column:
+    """Correlation over rows with both values; null where either does not vary (``corr`` would raise under ANSI)."""
+    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.try_divide(F.covar_pop(a, b), spread)
+
+
 def correlations(df: DataFrame, columns: list[str]) -> dict[tuple[str, str], float]:
     """Pearson correlation per column pair over rows where both are present.
 
@@ -47,7 +53,7 @@ def correlations(df: DataFrame, columns: list[str]) -> dict[tuple[str, str], flo
     for start in range(0, len(rest), PAIRS_PER_JOB):
         part = rest[start:start + PAIRS_PER_JOB]
         clean = df.select(*[finite(F.col(c)).alias(c) for c in columns])
-        row = _one_row(clean, [F.corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(part)])
+        row = _one_row(clean, [_pearson(F.col(a), F.col(b)).alias(f"p{i}") for i, (a, b) in enumerate(part)])
         for i, pair in enumerate(part):
             out[pair] = float("nan") if row[f"p{i}"] is None else row[f"p{i}"]
     return out
