@@ -174,26 +174,29 @@ def test_class_weights(blobs):
     assert weights == {0: 1.0, 1: 0.5}
 
 
-def test_exact_neighbours_against_brute_force(spark):
+@pytest.mark.parametrize("block, lane", [(5, 7), (9, 100), (1000, 1000)])
+def test_neighbours_against_brute_force(spark, block, lane):
+    """Two clusters, and a third of all rows are copies of one point."""
     pick = random.Random(9)
-    points = [(i, [pick.random() for _ in range(3)]) for i in range(50)]
+    points = [[pick.random() + (i % 2) * 5 for _ in range(3)] for i in range(40)] + [[0.5, 0.5, 0.5]] * 20
+    points = list(enumerate(points, 1))
     rows = spark.createDataFrame(points, "id long, x array<double>")
     got = {}
-    for r in oversampling.exact_neighbours(rows, 50, 4, block=9).collect():
-        got.setdefault(r["id"], set()).add(r["nid"])
+    for r in oversampling.nearest_neighbours(rows, len(points), 4, 1, block, lane).collect():
+        assert r["id"] != r["nid"] and r["dist"] == pytest.approx(math.dist(dict(points)[r["id"]], dict(points)[r["nid"]]))
+        got.setdefault(r["id"], {})[r["nid"]] = r["dist"]
     for i, x in points:
-        best = sorted((math.dist(x, y), j) for j, y in points if j != i)[:4]
-        assert got[i] == {j for _, j in best}
+        assert sorted(got[i].values()) == pytest.approx(sorted(math.dist(x, y) for j, y in points if j != i)[:4])
 
 
-@pytest.mark.parametrize("exact_rows", [1000, 1])
-def test_oversampling_reaches_parity_inside_the_minority(spark, exact_rows):
+@pytest.mark.parametrize("block", [1000, 4])
+def test_oversampling_reaches_parity_inside_the_minority(spark, block):
     pick = random.Random(2)
     rows = [(f"C{i}", 10 + pick.random(), 20 + pick.random(), 1) for i in range(9)] + [(f"D{i}", pick.random(), pick.random(), 0) for i in range(40)]
     df = spark.createDataFrame(rows, "CustomerID string, a double, b double, Churn int")
-    out = oversampling.oversample_minority(df, ["a", "b"], "Churn", "CustomerID", 42, exact_rows=exact_rows)
+    out = oversampling.oversample_minority(df, ["a", "b"], "Churn", "CustomerID", 42, block=block)
     assert {r["Churn"]: r["count"] for r in out.groupBy("Churn").count().collect()} == {0: 40, 1: 40}
     made = out.filter("CustomerID is null").collect()
     assert len(made) == 31 and all(10 <= r["a"] <= 11 and 20 <= r["b"] <= 21 for r in made)
-    again = oversampling.oversample_minority(df, ["a", "b"], "Churn", "CustomerID", 42, exact_rows=exact_rows).filter("CustomerID is null")
+    again = oversampling.oversample_minority(df, ["a", "b"], "Churn", "CustomerID", 42, block=block).filter("CustomerID is null")
     assert sorted((r["a"], r["b"]) for r in again.collect()) == sorted((r["a"], r["b"]) for r in made)

@@ -3,92 +3,141 @@
 from __future__ import annotations
 
 import math
-import random
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillpoint.functions.lineage import stage
-from tillpoint.functions.ordered import CHUNK, Ordered
-
-BLOCK = 2_000
-EXACT_ROWS = 200_000
-PROJECTIONS = 8
-CHUNK_ROWS = 200_000
-
-
-def _closest_in_block(k: int):
-    """Per task: the k nearest rows of one block for each row of another."""
-
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame({"id": pd.Series(dtype="int64"), "nid": pd.Series(dtype="int64"), "dist": pd.Series(dtype="float64")})
-        if left.empty or right.empty:
-            return out
-        a, b = np.stack(left["x"].to_numpy()), np.stack(right["x"].to_numpy())
-        square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
-        ids, nids = left["id"].to_numpy(), right["id"].to_numpy()
-        square[ids[:, None] == nids[None, :]] = np.inf
-        take = min(k, square.shape[1])
+from tillpoint.functions.ordered import Ordered
+
+BLOCK = 2_000  # rows of one block that answers
+LANE = 20_000  # rows that ask one block in one task
+MOST_CELLS = 1_000
+SLICE = 500
+
+
+def _closest(ids, a, nids, b, k: int) -> pd.DataFrame:
+    """The k rows of b nearest to each row of a, never the row itself."""
+    found = []
+    for start in range(0, len(ids), SLICE):
+        mine, x = ids[start:start + SLICE], a[start:start + SLICE]
+        square = (x * x).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * x @ b.T
+        square[mine[:, None] == nids[None, :]] = np.inf
+        # the expanded square proposes a few more than k; the true distance of those decides
+        take = min(2 * k + 8, square.shape[1])
         near = np.argpartition(square, take - 1, axis=1)[:, :take]
-        # the expanded square only picks candidates; the distance itself is taken from the difference
-        dist = np.sqrt(((a[:, None, :] - b[near]) ** 2).sum(2))
-        found = pd.DataFrame({"id": np.repeat(ids, take), "nid": nids[near].ravel(), "dist": dist.ravel()})
-        return found[found["id"] != found["nid"]]
+        dist = np.sqrt(((x[:, None, :] - b[near]) ** 2).sum(2))
+        dist[nids[near] == mine[:, None]] = np.inf
+        order = np.argsort(dist, axis=1, kind="stable")[:, :k]
+        rows = np.arange(len(mine))[:, None]
+        part = pd.DataFrame({"id": np.repeat(mine, order.shape[1]), "nid": nids[near][rows, order].ravel(),
+                             "dist": dist[rows, order].ravel()})
+        found.append(part[np.isfinite(part["dist"])])
+    return pd.concat(found) if found else pd.DataFrame({"id": [], "nid": [], "dist": []})
+
+
+def _matrix(pdf: pd.DataFrame) -> np.ndarray:
+    return np.stack(pdf["x"].to_numpy())
+
+
+def _within(k: int):
+    def search(block: pd.DataFrame) -> pd.DataFrame:
+        x, ids = _matrix(block), block["id"].to_numpy()
+        return _closest(ids, x, ids, x, k)
 
     return search
 
 
+def _between(k: int):
+    def search(asking: pd.DataFrame, answering: pd.DataFrame) -> pd.DataFrame:
+        if asking.empty or answering.empty:
+            return pd.DataFrame({"id": pd.Series(dtype="int64"), "nid": pd.Series(dtype="int64"), "dist": pd.Series(dtype="float64")})
+        return _closest(asking["id"].to_numpy(), _matrix(asking), answering["id"].to_numpy(), _matrix(answering), k)
+
+    return search
+
+
+def _to_pivots(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(((x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2.0 * x @ pivots.T), 0.0))
+
+
+def _place(pivots: np.ndarray):
+    """Cell of the nearest pivot and the distance to it."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                away = _to_pivots(_matrix(pdf), pivots)
+                yield pdf.assign(cell=away.argmin(1).astype("int32"), away=away.min(1))
+
+    return run
+
+
+def _route(pivots: np.ndarray, radius: np.ndarray, parts: np.ndarray):
+    """Send each row to the blocks that may hold something nearer than its bound.
+
+    By the triangle inequality nothing in a cell is nearer than (distance to its pivot - its radius).
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            least = np.maximum(_to_pivots(_matrix(pdf), pivots) * (1 - 1e-9) - radius[None, :] * (1 + 1e-9) - 1e-9, 0.0)
+            row, cell = np.nonzero(least < pdf["bound"].to_numpy()[:, None])
+            many = parts[cell]
+            row, cell = np.repeat(row, many), np.repeat(cell, many)
+            part = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+            own = (pdf["cell"].to_numpy()[row] == cell) & (pdf["part"].to_numpy()[row] == part)
+            row, cell, part = row[~own], cell[~own], part[~own]
+            yield pd.DataFrame({"id": pdf["id"].to_numpy()[row], "x": pdf["x"].to_numpy()[row], "lane": pdf["lane"].to_numpy()[row],
+                                "cell": cell.astype("int32"), "part": part.astype("int32")})
+
+    return run
+
+
 def _nearest(candidates: DataFrame, k: int) -> DataFrame:
-    """The k closest of each row's candidates; their number is bounded by construction."""
+    """The k closest of each row's candidates, which are at most k per searched block."""
     order = Window.partitionBy("id").orderBy("dist", "nid")
     return candidates.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= k)
 
 
-def exact_neighbours(rows: DataFrame, size: int, k: int, block: int = BLOCK) -> DataFrame:
-    """Exact k nearest among (id, x) rows: block against block, k rows out of each pair of blocks."""
-    blocks = max(1, math.ceil(size / block))
-    mine = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    asking = rows.withColumn("qb", mine).withColumn("bb", every)
-    answering = rows.withColumn("bb", mine).withColumn("qb", every)
-    found = asking.groupBy("qb", "bb").cogroup(answering.groupBy("qb", "bb")).applyInPandas(
-        _closest_in_block(k), "id long, nid long, dist double")
-    return _nearest(found, k)
-
-
-def projected_neighbours(rows: DataFrame, width: int, size: int, k: int, seed: int, projections: int = PROJECTIONS) -> DataFrame:
-    """Near neighbours for minorities too large for all-block search.
+def nearest_neighbours(rows: DataFrame, size: int, k: int, seed: int, block: int = BLOCK, lane: int = LANE) -> DataFrame:
+    """Exact k nearest neighbours among (id, x) rows: (id, nid, dist, _rank).
 
-    Rows are ordered along several random directions; along each the k rows before and after are
-    candidates, and the closest k of all candidates by true distance are kept. Work grows with
-    the rows, also when many of them are copies.
+    Rows gather in cells around pivots; a large cell, also one of copies, is split into blocks. Each
+    block is searched within itself first, which bounds every row's k-th distance. Then a row visits
+    only the blocks that could hold something nearer. A task sees one block and one lane of askers.
     """
-    pick = random.Random(seed)
-    found = None
-    for _ in range(projections):
-        direction = F.array(*[F.lit(pick.gauss(0.0, 1.0)) for _ in range(width)])
-        place = F.aggregate(F.zip_with("x", direction, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-        chunks = max(1, math.ceil(size / CHUNK_ROWS))
-        ranged = rows.withColumn("_p", place).repartitionByRange(chunks, "_p", "id").withColumn(CHUNK, F.spark_partition_id())
-        order = Window.partitionBy(CHUNK).orderBy("_p", "id")
-        beside = [F.lead(F.struct(F.col("id").alias("nid"), F.col("x").alias("nx")), j).over(order) for j in range(1, k + 1)]
-        beside += [F.lag(F.struct(F.col("id").alias("nid"), F.col("x").alias("nx")), j).over(order) for j in range(1, k + 1)]
-        walked = stage(ranged).select("id", "x", F.array(*beside).alias("_beside"))
-        pairs = walked.select("id", "x", F.explode("_beside").alias("c")).filter("c is not null")
-        square = F.aggregate(F.zip_with("x", F.col("c.nx"), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v)
-        near = pairs.select("id", "c.nid", F.sqrt(square).alias("dist"))
-        found = near if found is None else found.unionByName(near)
-    return _nearest(found.groupBy("id", "nid").agg(F.min("dist").alias("dist")), k)
-
-
-def minority_neighbours(minority: DataFrame, columns: list[str], k: int, size: int, seed: int,
-                        exact_rows: int = EXACT_ROWS) -> DataFrame:
-    """(id, nid, dist, _rank) over rows with a numeric ``_id``."""
-    rows = stage(minority.select(F.col("_id").alias("id"), F.array(*[F.col(c).cast("double") for c in columns]).alias("x")))
-    if size <= exact_rows:
-        return exact_neighbours(rows, size, k)
-    return projected_neighbours(rows, len(columns), size, k, seed)
+    wanted = min(MOST_CELLS, math.ceil(size / block))
+    chosen = rows.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(wanted).collect()  # at most MOST_CELLS rows
+    pivots = np.array([r["x"] for r in chosen])
+    placed = stage(rows.mapInPandas(_place(pivots), "id long, x array<double>, cell int, away double"))
+    cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius"))
+    radius, parts = np.full(len(pivots), -np.inf), np.zeros(len(pivots), dtype="int64")
+    for c in cells.collect():  # one row per cell
+        radius[c["cell"]], parts[c["cell"]] = c["radius"], math.ceil(c["n"] / block)
+    radius = np.where(parts > 0, radius, 0.0)
+
+    split = cells.select("cell", F.ceil(F.col("n") / block).cast("int").alias("_parts"))
+    blocked = placed.join(split, "cell").select(
+        "id", "x", "cell", F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int").alias("part"),
+        F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(math.ceil(size / lane))).cast("int").alias("lane"))
+    blocked = stage(blocked)
+    result = "id long, nid long, dist double"
+    own = stage(blocked.groupBy("cell", "part").applyInPandas(_within(k), result))
+
+    bound = own.groupBy("id").agg(F.when(F.count(F.lit(1)) == k, F.max("dist")).alias("bound"))
+    asking = blocked.join(bound, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+    sent = stage(asking.mapInPandas(_route(pivots, radius, parts), "id long, x array<double>, lane int, cell int, part int"))
+    lanes = sent.select("cell", "part", "lane").distinct()
+    answering = blocked.select("id", "x", "cell", "part").join(lanes, ["cell", "part"]).select(
+        "id", "x", F.col("cell").alias("to_cell"), F.col("part").alias("to_part"), F.col("lane").alias("to_lane"))
+    other = sent.groupBy("cell", "part", "lane").cogroup(
+        answering.groupBy("to_cell", "to_part", "to_lane")).applyInPandas(_between(k), result)
+    return _nearest(own.unionByName(other), k)
 
 
 def _drawn(seed: int, *parts: str) -> Column:
@@ -97,7 +146,7 @@ def _drawn(seed: int, *parts: str) -> Column:
 
 
 def oversample_minority(train: DataFrame, columns: list[str], label: str, key: str, seed: int, most_neighbours: int = 5,
-                        exact_rows: int = EXACT_ROWS, limit: int | None = None) -> DataFrame:
+                        block: int = BLOCK, limit: int | None = None) -> DataFrame:
     """The frame plus synthetic minority rows until both classes are equally frequent.
 
     Each synthetic row lies at a drawn point between a minority row and one of its nearest minority
@@ -118,7 +167,8 @@ def oversample_minority(train: DataFrame, columns: list[str], label: str, key: s
     ordered = Ordered.of(train.filter(F.col(label) == small), [], [F.xxhash64(F.col(key), F.lit(seed)), F.col(key)],
                          row_count=size, limit=limit)
     minority = stage(ordered.position("_id").result())
-    near = minority_neighbours(minority, columns, k, size, seed, exact_rows)
+    points = stage(minority.select(F.col("_id").alias("id"), F.array(*[F.col(c).cast("double") for c in columns]).alias("x")))
+    near = nearest_neighbours(points, size, k, seed, block)
     available = near.groupBy("id").agg(F.collect_list(F.struct("_rank", "nid")).alias("_near"))  # at most k entries
     copies = F.lit(missing // size) + F.when(F.col("_id") <= missing % size, 1).otherwise(0)
     planned = minority.withColumn("_copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies.cast("int")))))
