@@ -50,7 +50,8 @@ def source_targets(units: DataFrame, weights: Sequence[int], most: int) -> DataF
     before = lambda c: F.coalesce(F.sum(c).over(below), F.lit(0.0))
     level = ((F.sum("source_size").over(all_rows) - before("cap")) / (F.sum("weight").over(all_rows) - before("weight")))
     reached = ranked.withColumn("level", level)
-    first = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))).over(all_rows)
+    # counting sources as full that are not lowers the level, so the greatest that its own source can hold is right
+    first = F.max(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))).over(all_rows)
     target = F.least(F.col("cap"), F.coalesce(first, F.lit(float("inf"))) * F.col("weight"))
     return reached.withColumn("target", target).select("source", "units", "source_size", "target")
 
