@@ -74,12 +74,14 @@ def plain_line_dedup(rows, modulus=line_dedup.MODULUS):
 def test_line_dedup_of_table_and_odd_rows(spark):
     shared = "\n".join(f"shared line number {i}" for i in range(30))
     more = [(300 + i, f"own {i}\n{shared}\nend {i}") for i in range(6)] + [(400, shared), (401, shared), (402, "\n\n\n\n"), (403, "\n\n\n\n")]
-    odd = odd_documents(spark).unionByName(documents(spark, more)).selectExpr("*", "1 AS _id", "'x' AS _text", "2 AS removed")
+    odd = odd_documents(spark).unionByName(documents(spark, more)).selectExpr("*", "1 AS _id", "'x' AS _text", "2 AS _row", "3 AS _gone")
     for docs in (spark.read.parquet(f"{SF01}/documents.parquet"), odd):
         rows = [(r.doc_id, r.text) for r in docs.collect()]
         got = line_dedup.line_dedup(docs, salts=3)
         assert got.columns == [*docs.columns, "removed_chunks"]
         assert sorted((tuple(r) for r in got.select("doc_id", "text", "removed_chunks").collect()), key=str) == plain_line_dedup(rows)
+        extra = [c for c in docs.columns if c not in ("text", "doc_id")]
+        assert pairs(got, *extra) == pairs(docs, *extra)
     assert line_dedup.line_dedup(odd.filter("false")).collect() == []
 
 
@@ -177,7 +179,7 @@ def test_many_near_copies_in_small_blocks(spark, monkeypatch):
 
 
 def test_odd_rows_of_near_groups(spark):
-    odd = odd_documents(spark).selectExpr("*", "1 AS low", "'x' AS keys", "2 AS component_id")
+    odd = odd_documents(spark).selectExpr("*", "1 AS low", "'x' AS keys", "2 AS component_id", "3 AS _left")
     got = jaccard_join.near_groups(odd, 3, 90).collect()
     assert len(got) == odd.count()
     by = {(r.doc_id, r.n_shingles): r.component_id for r in got}

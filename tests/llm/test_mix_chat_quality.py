@@ -148,7 +148,7 @@ def test_quality_holds_out(spark):
 
 
 def test_quality_of_odd_rows(spark):
-    odd = odd_documents(spark).selectExpr("*", "1 AS _p", "'x' AS bins", "2 AS ratio")
+    odd = odd_documents(spark).selectExpr("*", "1 AS _p", "'x' AS bins", "2 AS ratio", "3 AS row")
     labels = spark.createDataFrame([(1, 1), (1, 0), (4, 0), (None, 1), (5, None), (11, 1)], "doc_id long, quality int")
     got = quality.quality(odd, labels)
     assert got.count() == odd.count() and got.filter("p_good IS NULL OR kept IS NULL").count() == 0

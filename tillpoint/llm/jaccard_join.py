@@ -280,5 +280,5 @@ def repeated_ids(sets: DataFrame, same: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame, **similarity) -> DataFrame:
     """The rows of ``docs`` whose id is the least of their group, with all their columns, and rows without an id."""
-    leave = near_groups(docs, **similarity).filter("doc_id != component_id").select(F.col("doc_id").alias("_left")).distinct()
-    return docs.join(leave, F.col("doc_id").cast("long") == F.col("_left"), "left_anti")
+    leave = near_groups(docs, **similarity).filter("doc_id != component_id").select("doc_id").distinct()
+    return docs.join(leave, docs["doc_id"].cast("long") == leave["doc_id"], "left_anti")

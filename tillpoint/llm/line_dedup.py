@@ -11,8 +11,8 @@ in each task, then by salt, then across salts), so nothing is removed because of
 
 A null text counts as empty. Texts without a repeated chunk come back as they were; a text of repeated chunks only
 becomes empty. Rows without an id neither lose nor lend chunks. Rows that repeat an id count as one document, in which
-each chunk has the place where it stands. All columns of ``docs`` come back; columns of the operator's own names are
-kept under theirs, since its work runs on columns apart. An empty table gives no rows.
+each chunk has the place where it stands. All columns of ``docs`` come back, whatever their names; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -83,13 +83,13 @@ def repeated_chunks(rows: DataFrame, modulus: int = MODULUS, salts: int = 32) ->
 
 
 def line_dedup(docs: DataFrame, modulus: int = MODULUS, salts: int = 32) -> DataFrame:
-    """``docs`` with the repeated chunks taken out of ``text``, and ``_gone``, how many went from each."""
-    own = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_text", text_of())
+    """``docs`` with the repeated chunks taken out of ``text``, and ``removed_chunks``, how many went from each."""
+    own = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"), text_of().alias("_text"))
     gone = repeated_chunks(own.select("_id", "_text"), modulus, salts)
     both = own.join(gone, "_id", "left")
     left = F.filter(F.col("_chunks"), lambda c, k: ~F.array_contains("_gone", k))
     cut = with_chunks(both, modulus)
     new = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(left, "\n"))
     count = F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone"))
-    others = [c for c in docs.columns if c != "text"]
-    return cut.select(*others, new.alias("text"), count.alias("removed_chunks")).select(*docs.columns, "removed_chunks")
+    kept = [new.alias("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns]
+    return cut.select(*kept, count.alias("removed_chunks"))

@@ -131,7 +131,6 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     taken = (mixture(docs, **options).filter("copies > 0")
              .select(F.col("source").alias("_s"), F.col("doc_id").alias("_d"), F.col("size").alias("_n"), F.col("copies").alias("_c")))
     size = F.regexp_count(text_of(), F.lit(WORD)).cast("long")
-    same = (F.col("_d").eqNullSafe(F.col("doc_id").cast("string")) & F.col("_s").eqNullSafe(F.col("source").cast("string"))
-            & (F.col("_n") == size))
-    return (docs.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_c"))))
-            .select(*docs.columns))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("string").alias("d"), F.col("source").cast("string").alias("s"), size.alias("n"))
+    same = F.col("_d").eqNullSafe(F.col("d")) & F.col("_s").eqNullSafe(F.col("s")) & (F.col("_n") == F.col("n"))
+    return rows.join(taken, same).select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_c")))).select("row.*")

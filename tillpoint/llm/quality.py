@@ -1,7 +1,7 @@
 """Quality classification of documents by hierarchical empirical Bayes.
 
-What a document's own text says is a log-likelihood ratio: binned measures of the text (signs, capitals, repeated words,
-word length), each with the ratio of its share among good and bad labelled documents. What its surroundings say is a
+What a document's own text says is a log-likelihood ratio: binned measures of the text (signs, capitals, word length,
+words that repeat the one before), each with the ratio of its share among good and bad labelled documents. What its surroundings say is a
 prior: the rate of good documents of its path, shrunk towards the rate of its host, itself shrunk towards the rate of
 all documents. The strength of each shrinkage is estimated from how much the sites differ beyond chance, so a site
 with few documents says little and a large one much. Rates count labelled documents by their label and others by
@@ -30,11 +30,12 @@ SIGNS = "|!?*#$%&@^~=<>{}[]_+/"
 EDGES = {
     "signs": (0.001, 0.003, 0.01, 0.02, 0.03, 0.05, 0.08, 0.12, 0.2),
     "capitals": (0.01, 0.02, 0.03, 0.05, 0.08, 0.15, 0.3, 0.5, 0.7),
-    "word_length": (3.0, 4.0, 4.5, 5.0, 5.5, 6.0, 7.0, 8.0, 10.0, 14.0),
+    "word_length": (3.0, 4.0, 5.0, 6.0, 7.0, 8.0, 10.0, 14.0),
+    "repeats": (0.01, 0.03, 0.06, 0.1, 0.2, 0.4),
 }
 SPACE = "[ \\t\\n\\x0B\\f\\r]+"
-#: Rejected below this probability.
-LEAST = 0.5
+#: Rejected below this probability of being good: clean documents are dearer than rejected ones.
+LEAST = 0.1
 
 
 def _bin(value: Column, edges: tuple[float, ...]) -> Column:
@@ -46,11 +47,11 @@ def bins(text: Column) -> Column:
     chars = F.greatest(F.length(text), F.lit(1))
     counted = lambda signs: (F.length(text) - F.length(F.translate(text, signs, ""))) / chars
     words = F.split(F.trim(text), SPACE)
-    distinct = F.transform(F.array(words), lambda w: F.struct(F.size(w).alias("n"), F.size(F.array_distinct(w)).alias("d")))[0]
-    # how many words are distinct depends on how many there are
-    repeated = F.least(F.floor(F.log2(distinct["n"])), F.lit(14)) * 11 + F.floor(10.0 * distinct["d"] / distinct["n"])
+    # the split text is bound to a variable, or Spark would split it again for every word
+    again = F.transform(F.array(words), lambda ws: F.struct(
+        F.size(ws).alias("n"), F.size(F.filter(ws, lambda w, i: (i > 0) & (w == F.get(ws, i - 1)))).alias("same")))[0]
     parts = [_bin(counted(SIGNS), EDGES["signs"]), _bin(counted(UPPER), EDGES["capitals"]),
-             _bin(chars / distinct["n"], EDGES["word_length"]), repeated]
+             _bin(chars / again["n"], EDGES["word_length"]), _bin(again["same"] / again["n"], EDGES["repeats"])]
     return F.array(*[(p + 1000 * i).cast("int") for i, p in enumerate(parts)])
 
 
@@ -118,7 +119,7 @@ def measure(docs: DataFrame) -> DataFrame:
 
 
 def scored(rows: DataFrame, model: QualityModel, own_bins: Column) -> DataFrame:
-    """``rows`` with ``_ratio``, ``_host_rate``, ``_path_rate``, ``_p``."""
+    """``row`` (the given column of that name), ``_ratio``, ``_host_rate``, ``_path_rate`` and ``_p`` of ``rows`` (row, source, lang, text or bins)."""
     sites = model.sites.select(F.col("source").alias("_source"), F.col("lang").alias("_lang"),
                                F.col("host_rate").alias("_host_rate"), F.col("path_rate").alias("_path_rate"))
     same = F.col("_source").eqNullSafe(F.col("source").cast("string")) & F.col("_lang").eqNullSafe(F.col("lang").cast("string"))
@@ -130,12 +131,13 @@ def scored(rows: DataFrame, model: QualityModel, own_bins: Column) -> DataFrame:
 def quality(docs: DataFrame, labels: DataFrame, least: float = LEAST) -> DataFrame:
     """doc_id, ratio, host_rate, path_rate, p_good and kept of every row of ``docs`` (doc_id, text, source, lang)."""
     measured = staged(measure(docs), "measured")
-    found = scored(measured, fit(measured, labels), F.col("bins"))
-    return found.select("doc_id", F.col("_ratio").alias("ratio"), F.col("_host_rate").alias("host_rate"),
+    found = scored(measured.withColumnRenamed("doc_id", "row"), fit(measured, labels), F.col("bins"))
+    return found.select(F.col("row").alias("doc_id"), F.col("_ratio").alias("ratio"), F.col("_host_rate").alias("host_rate"),
                         F.col("_path_rate").alias("path_rate"), F.col("_p").alias("p_good"), (F.col("_p") >= least).alias("kept"))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, least: float = LEAST) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
     model = fit(staged(measure(docs), "measured"), labels)
-    return scored(docs, model, bins(text_of())).filter(F.col("_p") >= least).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), "source", "lang", "text")
+    return scored(rows, model, bins(text_of())).filter(F.col("_p") >= least).select("row.*")
