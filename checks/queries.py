@@ -272,12 +272,17 @@ def _(t):
 
 @query("cln_30", """
   SELECT cast(o_orderkey AS bigint) AS TransactionID,
-         CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE cast(o_orderdate AS date) END AS TransactionDate FROM orders""")
+         CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE cast(o_orderdate AS date) END AS TransactionDate,
+         CASE WHEN o_orderkey % 7 = 0 THEN NULL
+              ELSE strftime(cast(o_orderdate AS date) + to_minutes(o_orderkey % 1440), '%Y-%m-%d %H:%M:%S') END AS PlacedAt FROM orders""")
 def _(t):
     day = F.col("o_orderdate").cast("date").cast("string")
     text = F.when(F.pmod(F.col("o_orderkey"), F.lit(7)) == 0, F.concat(F.lit("on "), day)).otherwise(day)
-    raw = t.raw("orders").select(F.col("o_orderkey").alias("TransactionID"), text.alias("TransactionDate"))
-    return cleaning.normalize_dates(raw, ["TransactionDate", "NoSuchColumn"])
+    minute = F.pmod(F.col("o_orderkey"), F.lit(1440)).cast("int")
+    clock = F.format_string("%s %02d:%02d:00", text, F.floor(minute / 60).cast("int"), minute % 60)
+    raw = t.raw("orders").select(F.col("o_orderkey").alias("TransactionID"), text.alias("TransactionDate"), clock.alias("PlacedAt"))
+    dated = cleaning.normalize_dates(raw, ["TransactionDate", "NoSuchColumn"], ("PlacedAt",))
+    return dated.withColumn("PlacedAt", F.date_format("PlacedAt", "yyyy-MM-dd HH:mm:ss"))
 
 
 # --- quality ---------------------------------------------------------------------------------
@@ -333,7 +338,7 @@ def _(t):
 @query("j_01", f"""
   WITH_TABLES SELECT {I('tx.TransactionID')} AS TransactionID, {I('tx.CustomerID')} AS CustomerID, tx.TransactionDate,
          {I('tx.StoreID')} AS StoreID, {I('tx.ProductID')} AS ProductID, {I('tx.LineNumber')} AS LineNumber,
-         {I('tx.Quantity')} AS Quantity, {D('tx.LineTotal')} AS LineTotal,
+         {I('tx.Quantity')} AS Quantity, {D('tx.UnitPrice')} AS UnitPrice, {D('tx.LineTotal')} AS LineTotal,
          ProductName, Category, {D('Price')} AS Price, {D('Cost')} AS Cost, StoreName, s.City, s.Province,
          FirstName, LastName, EnrollmentDate, c.City AS City_customer, c.Province AS Province_customer,
          {I('l.PointsEarned')} AS PointsEarned, {I('l.PointsRedeemed')} AS PointsRedeemed, {I('l.PointsBalance')} AS PointsBalance,
@@ -352,7 +357,7 @@ def _(t):
        "tx", "products", "stores", "customers", "loyalty", "surveys")
 def _(t):
     merged = merge.merge_datasets(t.tx, t.loyalty, t.surveys, t.customers, t.products, t.stores)
-    return merged.drop("ReturnFlag", "UnitPrice")
+    return merged.drop("ReturnFlag")
 
 
 @query("j_04", mapped("latest", *LOYALTY_COLUMNS), "latest")
@@ -785,7 +790,9 @@ def _predictions(t: Tables) -> DataFrame:
          (SELECT {D('sum(LifetimeValue::decimal(18,2))::double / count(*)')} FROM features) AS avg_lifetime_value FROM tx""",
        "tx", "customers", "predictions", "features")
 def _(t):
-    return kpis.kpi_metrics(t.tx, t.customers, _predictions(t), t.features)
+    spent = t.tx.groupBy("CustomerID").agg(F.sum("LineTotal").alias("LifetimeValue"))
+    value = t.customers.select("CustomerID").join(spent, "CustomerID", "left").fillna(0, ["LifetimeValue"])
+    return kpis.kpi_metrics(t.tx, t.customers, _predictions(t), value)
 
 
 @query("kpi_02", f"SELECT strftime(TransactionDate, '%Y-%m') AS YearMonth, {D('sum(LineTotal)')} AS LineTotal FROM tx GROUP BY 1", "tx")
@@ -1124,7 +1131,7 @@ def _(t):
 def _(t):
     frame = _training_frame(t)
     model = churn.train_churn_model(frame, {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.1})
-    return churn.explain_by_permutation(model, frame, 500)
+    return churn.explain_by_permutation(model, frame)
 
 
 @query("chn_09", mapped("predictions", "CustomerID:i", "ChurnProbability:d", "ChurnPrediction:i", "RiskLevel"), "predictions")

@@ -8,7 +8,7 @@ from tillpoint.sources import readers, sinks
 FILES = {
     "transactions.csv": "TransactionID,CustomerID,TransactionDate,StoreID,ProductID,Quantity,UnitPrice,LineTotal,Note\n"
                         "T1,C1,2023-01-01,S1,P1,2,10.99,21.98,a\nT2,C2,2023-01-02,S1,P2,1,5.50,5.50,b\n",
-    "loyalty_card.csv": "LoyaltyRecordID,CustomerID,TransactionID,TransactionDate,PointsEarned,PointsRedeemed,PointsBalance,Tier,PointsPerDollar\n"
+    "loyalty.csv": "LoyaltyRecordID,CustomerID,TransactionID,TransactionDate,PointsEarned,PointsRedeemed,PointsBalance,Tier,PointsPerDollar\n"
                         "1,C1,T1,2023-01-01,22,0,22,Bronze,1.0\n2,C2,T2,2023-01-02,6,0,6,Bronze,1.0\n",
     "surveys.csv": "SurveyID,CustomerID,SurveyDate,SatisfactionScore,NPSScore,Feedback,WouldRecommend\n1,C1,2023-02-01,5,9,fine,Yes\n2,C2,2023-02-02,3,5,ok,No\n",
     "products.csv": "ProductID,ProductName,Category,Price,Cost\nP1,One,A,10.99,5\nP2,Two,B,5.50,2\n",

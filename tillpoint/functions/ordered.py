@@ -2,17 +2,20 @@
 
 A plain window sends each group to one task. That is right while groups are moderate and
 wrong when one customer holds a third of the facts, or when the "group" is the whole table.
-``Ordered`` measures the largest group first. Up to ``GROUP_LIMIT`` rows it uses the plain
-window. Beyond that it range-partitions the rows by (keys, order), so a large group is cut
-into consecutive chunks, computes each window inside its chunk, and adds what the earlier
-chunks of the group carry over. Only one row per (key, chunk) takes part in the carry.
+``Ordered`` therefore cuts such groups: their rows are range-partitioned by (keys, order) into
+consecutive chunks, each window runs inside its chunk, and what the earlier chunks of the
+group carry over is added. Only one row per (key, chunk) takes part in the carry.
+
+A scan over the whole table is always cut. Of a scan by key, only the keys with more than
+``GROUP_LIMIT`` rows are; all other keys keep their plain window, untouched by a hot one.
 
 The order columns must tell the rows of a group apart; rows equal in all of them share a chunk.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -22,50 +25,55 @@ GROUP_LIMIT = 2_000_000
 CHUNK = "_chunk"
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    if not keys:
-        return df.count()
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+def hot_keys(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
+    """Keys with more than ``limit`` rows; there are at most rows / limit of them."""
+    return df.groupBy(*keys).count().filter(F.col("count") > limit).select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+
+
+def _chunked(df: DataFrame, keys: list[str], order: list) -> DataFrame:
+    """``df`` in consecutive chunks of (keys, order), staged so that the chunks stay as they are."""
+    chunks = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = df.repartitionByRange(chunks, *[F.col(k) for k in keys], *order)
+    return stage(ranged.withColumn(CHUNK, F.spark_partition_id()))
 
 
 class Ordered:
-    def __init__(self, df: DataFrame, keys: list[str], order: list, chunked: bool, size: int | None):
-        self.df, self.keys, self.order, self.chunked, self.size = df, keys, order, chunked, size
+    """Rows in up to two parts: keys with plain windows, and groups cut into chunks."""
+
+    def __init__(self, keys: list[str], order: list, plain: DataFrame | None, cut: DataFrame | None):
+        self.keys, self.order, self.plain, self.cut = keys, order, plain, cut
 
     @classmethod
     def of(cls, df: DataFrame, keys: list[str], order: list, measure: DataFrame | int | None = None,
-           limit: int | None = None, row_count: int | None = None) -> "Ordered":
-        """``measure``: a cheaper frame with the same group sizes, or their measured maximum.
+           limit: int | None = None) -> "Ordered":
+        """``measure``: a cheaper frame with the same group sizes, or a number no group is larger than.
 
-        ``row_count``: known table size. ``order``: ascending columns or expressions.
+        ``order``: ascending columns or expressions.
         """
         limit = GROUP_LIMIT if limit is None else limit
-        if row_count is not None and row_count <= limit:
-            return cls(df, keys, order, False, row_count)
-        if isinstance(measure, int):
-            largest = measure
-        elif row_count is not None and not keys:
-            largest = row_count
-        else:
-            largest = largest_group(measure if measure is not None else df, keys)
-        size = row_count if row_count is not None else (None if keys else largest)
-        if largest <= limit:
-            return cls(df, keys, order, False, size)
-        total = size if size is not None else df.count()
-        chunks = max(2, math.ceil(total / max(1, limit)))
-        ranged = df.repartitionByRange(chunks, *[F.col(k) for k in keys], *order)
-        return cls(stage(ranged.withColumn(CHUNK, F.spark_partition_id())), keys, order, True, total)
-
-    def _with(self, df: DataFrame) -> "Ordered":
-        return Ordered(df, self.keys, self.order, self.chunked, self.size)
-
-    def _window(self):
-        keys = self.keys + [CHUNK] if self.chunked else self.keys
-        return Window.partitionBy(*keys).orderBy(*self.order)
-
-    def _carry(self, per_chunk: dict[str, Column], before: dict[str, Column]) -> DataFrame:
+        if not keys:
+            return cls(keys, order, None, _chunked(df, keys, order))
+        if isinstance(measure, int) and measure <= limit:
+            return cls(keys, order, df, None)
+        hot = stage(hot_keys(measure if isinstance(measure, DataFrame) else df, keys, limit))
+        if hot.isEmpty():
+            return cls(keys, order, df, None)
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+        return cls(keys, order, df.join(hot, same, "left_anti"), _chunked(df.join(hot, same, "left_semi"), keys, order))
+
+    def map(self, change: Callable[[DataFrame], DataFrame]) -> "Ordered":
+        """The same scan with columns added to its rows."""
+        parts = [None if part is None else change(part) for part in (self.plain, self.cut)]
+        return Ordered(self.keys, self.order, *parts)
+
+    def _windowed(self, plain: Callable[[DataFrame, Window], DataFrame], cut: Callable[[DataFrame, Window], DataFrame]) -> "Ordered":
+        by = lambda *more: Window.partitionBy(*self.keys, *more).orderBy(*self.order)
+        return Ordered(self.keys, self.order, None if self.plain is None else plain(self.plain, by()),
+                       None if self.cut is None else cut(self.cut, by(CHUNK)))
+
+    def _carry(self, df: DataFrame, per_chunk: dict[str, Column], before: dict[str, Column]) -> DataFrame:
         """One row per (key, chunk) with the state that the earlier chunks of the key leave behind."""
-        totals = self.df.groupBy(*self.keys, CHUNK).agg(*[c.alias(n) for n, c in per_chunk.items()])
+        totals = df.groupBy(*self.keys, CHUNK).agg(*[c.alias(n) for n, c in per_chunk.items()])
         return totals.select(*self.keys, CHUNK, *[c.alias(n) for n, c in before.items()])
 
     def _earlier_chunks(self):
@@ -81,63 +89,64 @@ class Ordered:
 
     def running_sum(self, **sums: Column) -> "Ordered":
         """Total of each expression from the group's first row up to and including the row."""
-        frame = self._window().rowsBetween(Window.unboundedPreceding, 0)
-        local = self.df.select("*", *[F.sum(c).over(frame).alias(n) for n, c in sums.items()])
-        if not self.chunked:
-            return self._with(local)
-        earlier = self._earlier_chunks()
-        carry = self._carry(
-            {f"_chunk_s_{n}": F.sum(c) for n, c in sums.items()},
-            {f"_chunk_c_{n}": F.sum(f"_chunk_s_{n}").over(earlier) for n in sums},
-        )
-        joined = self._join_carry(local, carry)
-        for n in sums:
-            dtype = local.schema[n].dataType
-            both_null = F.col(n).isNull() & F.col(f"_chunk_c_{n}").isNull()
-            total = F.coalesce(F.col(n), F.lit(0)) + F.coalesce(F.col(f"_chunk_c_{n}"), F.lit(0))
-            joined = joined.withColumn(n, F.when(~both_null, total).cast(dtype)).drop(f"_chunk_c_{n}")
-        return self._with(joined)
+        def local(df, window):
+            frame = window.rowsBetween(Window.unboundedPreceding, 0)
+            return df.select("*", *[F.sum(c).over(frame).alias(n) for n, c in sums.items()])
+
+        def across(df, window):
+            here, earlier = local(df, window), self._earlier_chunks()
+            joined = self._join_carry(here, self._carry(
+                df, {f"_chunk_s_{n}": F.sum(c) for n, c in sums.items()},
+                {f"_chunk_c_{n}": F.sum(f"_chunk_s_{n}").over(earlier) for n in sums}))
+            for n in sums:
+                both_null = F.col(n).isNull() & F.col(f"_chunk_c_{n}").isNull()
+                total = F.coalesce(F.col(n), F.lit(0)) + F.coalesce(F.col(f"_chunk_c_{n}"), F.lit(0))
+                joined = joined.withColumn(n, F.when(~both_null, total).cast(here.schema[n].dataType)).drop(f"_chunk_c_{n}")
+            return joined
+
+        return self._windowed(local, across)
 
     def running_min(self, **mins: Column) -> "Ordered":
         """Smallest value of each expression from the group's first row up to the row."""
-        frame = self._window().rowsBetween(Window.unboundedPreceding, 0)
-        local = self.df.select("*", *[F.min(c).over(frame).alias(n) for n, c in mins.items()])
-        if not self.chunked:
-            return self._with(local)
-        earlier = self._earlier_chunks()
-        carry = self._carry(
-            {f"_chunk_s_{n}": F.min(c) for n, c in mins.items()},
-            {f"_chunk_c_{n}": F.min(f"_chunk_s_{n}").over(earlier) for n in mins},
-        )
-        joined = self._join_carry(local, carry)
-        for n in mins:
-            joined = joined.withColumn(n, F.least(F.col(n), F.col(f"_chunk_c_{n}"))).drop(f"_chunk_c_{n}")
-        return self._with(joined)
+        def local(df, window):
+            frame = window.rowsBetween(Window.unboundedPreceding, 0)
+            return df.select("*", *[F.min(c).over(frame).alias(n) for n, c in mins.items()])
+
+        def across(df, window):
+            earlier = self._earlier_chunks()
+            joined = self._join_carry(local(df, window), self._carry(
+                df, {f"_chunk_s_{n}": F.min(c) for n, c in mins.items()},
+                {f"_chunk_c_{n}": F.min(f"_chunk_s_{n}").over(earlier) for n in mins}))
+            for n in mins:
+                joined = joined.withColumn(n, F.least(F.col(n), F.col(f"_chunk_c_{n}"))).drop(f"_chunk_c_{n}")
+            return joined
+
+        return self._windowed(local, across)
 
     def previous(self, **values: Column) -> "Ordered":
         """Value of each expression in the row before; null in a group's first row."""
-        window = self._window()
-        local = self.df.select("*", *[F.lag(c).over(window).alias(n) for n, c in values.items()])
-        if not self.chunked:
-            return self._with(local)
-        local = local.withColumn("_chunk_first", F.row_number().over(window) == 1)
-        by_chunk = Window.partitionBy(*self.keys).orderBy(CHUNK)
-        rank = F.struct(*self.order)
-        carry = self._carry(
-            {"_chunk_last": F.max_by(F.struct(*[c.alias(n) for n, c in values.items()]), rank)},
-            {"_chunk_before": F.lag("_chunk_last").over(by_chunk)},
-        )
-        joined = self._join_carry(local, carry)
-        for n in values:
-            joined = joined.withColumn(n, F.when(F.col("_chunk_first"), F.col(f"_chunk_before.{n}")).otherwise(F.col(n)))
-        return self._with(joined.drop("_chunk_first", "_chunk_before"))
+        def local(df, window):
+            return df.select("*", *[F.lag(c).over(window).alias(n) for n, c in values.items()])
+
+        def across(df, window):
+            by_chunk = Window.partitionBy(*self.keys).orderBy(CHUNK)
+            here = local(df, window).withColumn("_chunk_first", F.row_number().over(window) == 1)
+            joined = self._join_carry(here, self._carry(
+                df, {"_chunk_last": F.max_by(F.struct(*[c.alias(n) for n, c in values.items()]), F.struct(*self.order))},
+                {"_chunk_before": F.lag("_chunk_last").over(by_chunk)}))
+            for n in values:
+                joined = joined.withColumn(n, F.when(F.col("_chunk_first"), F.col(f"_chunk_before.{n}")).otherwise(F.col(n)))
+            return joined.drop("_chunk_first", "_chunk_before")
+
+        return self._windowed(local, across)
 
     def position(self, name: str) -> "Ordered":
         """1, 2, 3, ... in order within the group."""
         return self.running_sum(**{name: F.lit(1).cast("bigint")})
 
     def result(self) -> DataFrame:
-        return self.df.drop(CHUNK) if self.chunked else self.df
+        parts = [x for x in (self.plain, None if self.cut is None else self.cut.drop(CHUNK)) if x is not None]
+        return reduce(DataFrame.unionByName, parts)
 
 
 def quintile(position: Column, size) -> Column:

@@ -1,16 +1,15 @@
 """Exact quantiles with linear interpolation, per group and column, at any group size.
 
-Spark's ``percentile`` keeps every distinct value of a group in one aggregation buffer. It is
-used while the table is at most ``GROUP_LIMIT`` rows. Larger tables go through value counts:
-(group, column, value) is counted with partial aggregation, the counts get a distributed
-running total, and the two neighbours of the wanted rank are picked from it.
+(group, column, value) is counted with partial aggregation, so that a frequent value is one row; the
+counts get a running total in the order of values, and the two neighbours of the wanted rank are picked
+from it. Every group of the table comes back, also one whose values are all missing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillpoint.functions import ordered
+from tillpoint.functions.lineage import stage
 from tillpoint.functions.ordered import Ordered
 from tillpoint.functions.stats import number
 
@@ -24,14 +23,9 @@ def _finite(c: Column) -> Column:
 def quantiles(df: DataFrame, groups: list[str], columns: list[str], probability: float = 0.5,
               limit: int | None = None) -> DataFrame:
     """One row per group, one quantile per column, under the column's own name."""
-    limit = ordered.GROUP_LIMIT if limit is None else limit
     narrow = df.select(*groups, *[_finite(F.col(c)).alias(c) for c in columns])
-    if df.count() <= limit:
-        picks = [F.percentile(F.col(c), F.lit(probability)).alias(c) for c in columns]
-        return narrow.groupBy(*groups).agg(*picks) if groups else narrow.agg(*picks)
-
     long = narrow.unpivot(groups, columns, "_column", "_value").filter("_value is not null")
-    counts = long.groupBy(*groups, "_column", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    counts = stage(long.groupBy(*groups, "_column", "_value").agg(F.count(F.lit(1)).alias("_n")))
     keys = groups + ["_column"]
     walked = Ordered.of(counts, keys, ["_value"], limit=limit).running_sum(_upto=F.col("_n")).result()
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_rows"))
@@ -53,4 +47,11 @@ def quantiles(df: DataFrame, groups: list[str], columns: list[str], probability:
     part = F.col("_at") - F.floor("_at")
     picked = ends.withColumn("_q", F.col("_low") + (F.col("_high") - F.col("_low")) * part)
     wide = [F.max(F.when(F.col("_column") == c, F.col("_q"))).alias(c) for c in columns]
-    return picked.groupBy(*groups).agg(*wide) if groups else picked.agg(*wide)
+    if not groups:
+        return picked.agg(*wide)
+    found = picked.groupBy(*groups).agg(*wide)
+    same = F.lit(True)
+    for g in groups:
+        same = same & F.col(f"g.{g}").eqNullSafe(F.col(f"f.{g}"))
+    every = df.select(*groups).distinct()
+    return every.alias("g").join(found.alias("f"), same, "left").select("g.*", *[F.col(f"f.{c}") for c in columns])

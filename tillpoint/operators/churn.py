@@ -237,36 +237,38 @@ def evaluate_model(model: PipelineModel, test: DataFrame, threshold: float = 0.5
     return evaluate_scores(stage(churn_probability(model, test).select("CustomerID", "ChurnProbability", "Churn")), threshold)
 
 
-def calculate_feature_importance(model: PipelineModel, spark) -> DataFrame:
-    """Importances by feature name, largest first."""
+def calculate_feature_importance(model: PipelineModel, spark, top: int | None = None) -> DataFrame:
+    """Importances by feature name, largest first; the ``top`` largest where that is given."""
     names, values = model.stages[0].getInputCols(), model.stages[-1].featureImportances.toArray()
     rows = [(n, float(v)) for n, v in zip(names, values)]
-    return spark.createDataFrame(rows, "Feature string, Importance double").orderBy(F.desc("Importance"), "Feature")
+    ranked = spark.createDataFrame(rows, "Feature string, Importance double").orderBy(F.desc("Importance"), "Feature")
+    return ranked if top is None else ranked.limit(top)
 
 
-def explain_by_permutation(model: PipelineModel, test: DataFrame, max_samples: int = 1000, random_state: int = SEED) -> DataFrame:
+def explain_by_permutation(model: PipelineModel, test: DataFrame, max_samples: int | None = None, random_state: int = SEED) -> DataFrame:
     """How much the AUC drops when one feature's values are exchanged between customers.
 
-    Works on a sample of at most ``max_samples`` customers, chosen by hash. Every feature gets a copy
-    of the sample whose values of that feature come from the customer at the same place of another
-    hash order; all copies are scored in one pass.
+    Works on all customers of ``test``, or on at most ``max_samples`` of them, chosen by hash, where that is
+    given. Every feature gets a copy of them whose values of that feature come from the customer at the
+    same place of another hash order; all copies are scored in one pass.
     """
     columns = list(model.stages[0].getInputCols())
 
     def shuffled(*salt) -> Column:
         return F.xxhash64(F.col("CustomerID"), *[F.lit(s) for s in salt])
 
-    sample = stage(test.orderBy(shuffled(random_state), "CustomerID").limit(max_samples))
+    chosen = test if max_samples is None else test.orderBy(shuffled(random_state), "CustomerID").limit(max_samples)
+    sample = stage(chosen)
     size = sample.count()
     per_feature = sample.withColumn("Feature", F.explode(F.array(*[F.lit(c) for c in columns])))
     value = F.lit(None).cast("double")
     for c in columns:
         value = F.when(F.col("Feature") == c, F.col(c)).otherwise(value)
     keyed = per_feature.withColumn("_value", value)
-    here = Ordered.of(keyed, ["Feature"], ["CustomerID"], row_count=size).position("_place").result()
+    here = Ordered.of(keyed, ["Feature"], ["CustomerID"], measure=size).position("_place").result()
     mixed = keyed.select("Feature", "_value", shuffled(random_state + 1, "x").alias("_h"), "CustomerID")
     mixed = mixed.withColumn("_h", F.xxhash64("_h", "Feature"))
-    there = Ordered.of(mixed, ["Feature"], ["_h", "CustomerID"], row_count=size).position("_place").result()
+    there = Ordered.of(mixed, ["Feature"], ["_h", "CustomerID"], measure=size).position("_place").result()
     swapped = here.drop("_value").join(there.select("Feature", "_place", "_value"), ["Feature", "_place"])
     copies = swapped.select("Feature", "Churn", *[F.when(F.col("Feature") == c, F.col("_value")).otherwise(F.col(c)).alias(c) for c in columns])
     scored = stage(churn_probability(model, copies).select("Feature", "ChurnProbability", "Churn"))
@@ -282,11 +284,13 @@ class ChurnResults:
     feature_importance: DataFrame
     explanations: DataFrame | None
     predictions: DataFrame
+    #: CustomerID, ChurnProbability and Churn of the held-out customers
+    test_scores: DataFrame
 
 
 def perform_churn_prediction(features: DataFrame, transactions: DataFrame, churn_threshold_days: int = CHURN_DAYS,
                              train_end_date=None, use_smote: bool = True, hyperparameters: dict | None = None,
-                             random_state: int = SEED, explain: bool = True) -> ChurnResults:
+                             random_state: int = SEED, explain: bool = True, max_samples: int | None = None) -> ChurnResults:
     """Split, rebalance, train, evaluate, explain and score. Class weights apply when SMOTE does not."""
     train, test = create_temporal_split(features, transactions, train_end_date, churn_threshold_days)
     train, test = stage(train), stage(test)
@@ -296,8 +300,8 @@ def perform_churn_prediction(features: DataFrame, transactions: DataFrame, churn
     return ChurnResults(
         model, evaluate_scores(scored), classification_report(scored),
         calculate_feature_importance(model, features.sparkSession),
-        explain_by_permutation(model, test, 500, random_state) if explain else None,
-        predict_churn_risk(model, features))
+        explain_by_permutation(model, test, max_samples, random_state) if explain else None,
+        predict_churn_risk(model, features), scored)
 
 
 def save_churn_model(results: ChurnResults, output_path: str) -> None:

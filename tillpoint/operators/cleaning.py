@@ -166,10 +166,13 @@ def clean_survey_data(df: DataFrame) -> DataFrame:
     return out
 
 
-def normalize_dates(df: DataFrame, date_columns: list[str]) -> DataFrame:
-    """Named text columns become dates (timestamps where the text carries a time of day); bad text becomes null."""
+def normalize_dates(df: DataFrame, date_columns: list[str], time_columns: tuple[str, ...] = ()) -> DataFrame:
+    """Named text columns become dates, those in ``time_columns`` timestamps that keep the time of day.
+
+    Bad text becomes null; columns of dates or timestamps stay, and names that the table lacks are passed over.
+    """
     out = df
-    for c in date_columns:
+    for c in [*date_columns, *time_columns]:
         if c in df.columns and not isinstance(df.schema[c].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            out = out.withColumn(c, F.try_to_timestamp(F.col(c).cast("string")).cast("date"))
+            out = out.withColumn(c, F.try_to_timestamp(F.col(c).cast("string")).cast("timestamp" if c in time_columns else "date"))
     return out

@@ -104,7 +104,7 @@ def with_rfm_scores(df: DataFrame, size: int, limit: int | None = None) -> DataF
     metrics = {"Recency": "RecencyScore", "Frequency": "FrequencyScore", "TotalSpend": "MonetaryScore"}
     scores = df.select("CustomerID", *metrics)
     for metric, score in metrics.items():
-        ranked = Ordered.of(scores, [], [metric, "CustomerID"], limit=limit, row_count=size).position("_rank").result()
+        ranked = Ordered.of(scores, [], [metric, "CustomerID"], limit=limit).position("_rank").result()
         bucket = quintile(F.col("_rank"), size)
         scores = ranked.withColumn(score, 6 - bucket if metric == "Recency" else bucket).drop("_rank")
     combined = combined_score(F.col("RecencyScore"), F.col("FrequencyScore"), F.col("MonetaryScore")).alias("RFMScore")

@@ -61,15 +61,16 @@ def build_points_ledger(transactions: DataFrame, order: list[str], redeemed: Col
 
     ``order`` puts a customer's lines in a total order. LoyaltyRecordID numbers all records by
     (CustomerID, order): customer totals give each customer's offset, so no window runs over all
-    lines. With ``record_ids=False`` the number restarts per customer.
+    lines. With ``record_ids=False`` the number restarts per customer. Lines without a customer count
+    as those of one customer.
     """
     amount = F.col("LineTotal") if spend is None else spend
     lines = transactions.withColumn("_amount", amount).withColumn("PointsRedeemed", redeemed.cast("bigint"))
     rows = Ordered.of(lines, ["CustomerID"], order, measure=measure, limit=limit)
     rows = rows.running_sum(CumulativeSpend=F.col("_amount"), _seq=F.lit(1).cast("bigint"))
     earned = F.bround(F.col("_amount") * F.col("PointsPerDollar"), 0).cast("bigint")
-    rows = rows._with(
-        rows.df.withColumn("Tier", tier_of(F.col("CumulativeSpend"), tiers))
+    rows = rows.map(
+        lambda df: df.withColumn("Tier", tier_of(F.col("CumulativeSpend"), tiers))
         .withColumn("PointsPerDollar", rate_of(F.col("Tier"), tiers))
         .withColumn("PointsEarned", earned)
     )
@@ -79,8 +80,9 @@ def build_points_ledger(transactions: DataFrame, order: list[str], redeemed: Col
     if record_ids:
         sizes = transactions.groupBy("CustomerID").agg(F.count(F.lit(1)).alias("_lines"))
         offsets = Ordered.of(sizes, [], ["CustomerID"], limit=limit).running_sum(_upto=F.col("_lines")).result()
-        offsets = offsets.select("CustomerID", (F.col("_upto") - F.col("_lines")).alias("_offset"))
-        ledger = ledger.join(offsets, "CustomerID").withColumn("LoyaltyRecordID", F.col("_offset") + F.col("_seq"))
+        offsets = offsets.select(F.col("CustomerID").alias("_owner"), (F.col("_upto") - F.col("_lines")).alias("_offset"))
+        ledger = ledger.join(offsets, F.col("CustomerID").eqNullSafe(F.col("_owner")), "left").withColumn(
+            "LoyaltyRecordID", F.col("_offset") + F.col("_seq"))
     else:
         ledger = ledger.withColumn("LoyaltyRecordID", F.col("_seq"))
     return ledger.select("LoyaltyRecordID", "CustomerID", "TransactionID", "TransactionDate", "PointsEarned",

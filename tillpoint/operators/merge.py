@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tillpoint.functions.lineage import stage
 from tillpoint.functions.stats import mean
 
 
@@ -40,17 +41,22 @@ def merge_datasets(transactions: DataFrame, loyalty: DataFrame, surveys: DataFra
 
     Points are summed per transaction and repeat on each of its lines: do not add them up again.
     No side carries a broadcast hint. Spark broadcasts the ones it measures to be small; beyond
-    that AQE splits a hot customer, product or store on the line side of the left join. Customers
-    and surveys share the CustomerID partitioning.
+    that AQE splits a hot customer, product or store on the line side of the left join. It can do so
+    only where a join stands between two exchanges, so customers and their surveys are one staged table,
+    met by the lines in one join.
     """
     people = customers.select(
         "CustomerID", "FirstName", "LastName", "EnrollmentDate",
         F.col("City").alias("City_customer"), F.col("Province").alias("Province_customer"))
+    answers = survey_per_customer(surveys)
+    people = stage(people.join(answers, "CustomerID", "left").select(
+        F.col("CustomerID").alias("_who"), *[c for c in people.columns if c != "CustomerID"],
+        *[c for c in answers.columns if c != "CustomerID"]).unionByName(
+            answers.join(people, "CustomerID", "left_anti").withColumnRenamed("CustomerID", "_who"), allowMissingColumns=True))
     return (
         transactions
         .join(products.select("ProductID", "ProductName", "Category", "Price", "Cost"), "ProductID", "left")
         .join(stores.select("StoreID", "StoreName", "City", "Province"), "StoreID", "left")
         .join(loyalty_per_transaction(loyalty), "TransactionID", "left")
-        .join(people, "CustomerID", "left")
-        .join(survey_per_customer(surveys), "CustomerID", "left")
+        .join(people, F.col("CustomerID") == F.col("_who"), "left").drop("_who")
     )

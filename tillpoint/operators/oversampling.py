@@ -165,7 +165,7 @@ def oversample_minority(train: DataFrame, columns: list[str], label: str, key: s
     k = min(most_neighbours, size - 1)
 
     ordered = Ordered.of(train.filter(F.col(label) == small), [], [F.xxhash64(F.col(key), F.lit(seed)), F.col(key)],
-                         row_count=size, limit=limit)
+                         limit=limit)
     minority = stage(ordered.position("_id").result())
     points = stage(minority.select(F.col("_id").alias("id"), F.array(*[F.col(c).cast("double") for c in columns]).alias("x")))
     near = nearest_neighbours(points, size, k, seed, block)

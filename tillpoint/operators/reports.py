@@ -58,7 +58,7 @@ def rfm_scores(transactions: DataFrame, reference_date=None, limit: int | None =
     size = base.count()
     scored = base.withColumn("_late", -F.col("Recency"))
     for metric, score in (("_late", "RecencyScore"), ("Frequency", "FrequencyScore"), ("Monetary", "MonetaryScore")):
-        ranked = Ordered.of(scored, [], [metric, "CustomerID"], limit=limit, row_count=size).position("_rank").result()
+        ranked = Ordered.of(scored, [], [metric, "CustomerID"], limit=limit).position("_rank").result()
         scored = ranked.withColumn(score, ntile(F.col("_rank"), size)).drop("_rank")
     return scored.drop("_late").withColumn(
         "RFMScore", combined_score(F.col("RecencyScore"), F.col("FrequencyScore"), F.col("MonetaryScore")))
@@ -154,7 +154,8 @@ def monthly_product_sales(transactions: DataFrame, products: DataFrame) -> DataF
 def daily_summary(transactions: DataFrame) -> DataFrame:
     """Distinct transactions, customers and products, and sales, per day.
 
-    Each distinct count dedupes its own narrow (day, value) pairs, so a busy day spreads over many tasks.
+    The three distinct counts share one narrow pass, in which each line gives one (day, value) pair to each of
+    them; pairs are deduplicated before they are counted, so a busy day spreads over many tasks.
     """
     day = F.to_date("TransactionDate")
     out = transactions.groupBy(day.alias("TransactionDate")).agg(

@@ -132,7 +132,7 @@ def key_averages(joined: DataFrame) -> list[Column]:
 
 def profile_segments(features: DataFrame, labels: DataFrame, limit: int | None = None) -> DataFrame:
     """One row per segment: six statistics per numeric feature, size, share and key averages."""
-    joined = features.join(labels.select("CustomerID", "Segment"), "CustomerID")
+    joined = stage(features.join(labels.select("CustomerID", "Segment"), "CustomerID"))
     columns = numeric_columns(features, exclude=["CustomerID", "Segment"])
     measures = {"mean": lambda c: mean(c), "std": lambda c: F.stddev_samp(number(c)),
                 "min": lambda c: number(F.min(c)), "max": lambda c: number(F.max(c)), "count": F.count}
@@ -140,14 +140,14 @@ def profile_segments(features: DataFrame, labels: DataFrame, limit: int | None =
         *[f(F.col(c)).alias(f"{c}_{n}") for c in columns for n, f in measures.items()],
         F.count(F.lit(1)).alias("SegmentSize"), *key_averages(joined))
     medians = quantiles(joined, ["Segment"], columns, 0.5, limit)
-    medians = medians.select("Segment", *[F.col(c).alias(f"{c}_median") for c in columns])
+    medians = medians.select(F.col("Segment").alias("_of"), *[F.col(c).alias(f"{c}_median") for c in columns])
     whole = labels.agg(F.count(F.lit(1)).alias("n")).scalar()
     rounded = [
         F.col(f"{c}_{n}") if n == "count" else F.bround(f"{c}_{n}", 2).alias(f"{c}_{n}")
         for c in columns for n in PROFILE_STATISTICS]
     share = F.bround(F.col("SegmentSize") / whole * 100, 2).alias("SegmentPercentage")
     averages = [n for n, c in KEY_AVERAGES.items() if c in joined.columns]
-    return stats.join(medians, "Segment").select("Segment", *rounded, "SegmentSize", share, *averages)
+    return stats.join(medians, F.col("Segment").eqNullSafe(F.col("_of")), "left").select("Segment", *rounded, "SegmentSize", share, *averages)
 
 
 def profile_rows(profiles: DataFrame) -> DataFrame:

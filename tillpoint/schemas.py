@@ -92,10 +92,10 @@ REQUIRED = {
 SCHEMAS = {"transactions": TRANSACTIONS, "loyalty": LOYALTY, "surveys": SURVEYS,
            "products": PRODUCTS, "stores": STORES, "customers": CUSTOMERS}
 
-# File names of the raw tables. The loyalty export carries the programme's name after "loyalty".
+# File names of the raw tables; a folder with other names passes its own mapping.
 RAW_FILES = {
     "transactions": "transactions.csv",
-    "loyalty": "loyalty*.csv",
+    "loyalty": "loyalty.csv",
     "surveys": "surveys.csv",
     "products": "products.csv",
     "stores": "stores.csv",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillpoint import schemas
@@ -32,8 +33,11 @@ def validate_dataframe(df: DataFrame, required_columns: list[str]) -> bool:
 
 def _load(spark: SparkSession, table: str, path, reject_empty: bool = False, **options) -> DataFrame:
     path = str(path)
-    if not _matches(spark, path):
+    found = _matches(spark, path)
+    if not found:
         raise FileNotFoundError(f"{table}: {path} does not exist")
+    if len(found) > 1:
+        raise ValueError(f"{table}: {path} matches {len(found)} files, which would count their rows together")
     if path.lower().endswith(".parquet"):
         df = spark.read.options(**options).parquet(path)
         require_columns(df, schemas.REQUIRED[table], table)
@@ -44,18 +48,35 @@ def _load(spark: SparkSession, table: str, path, reject_empty: bool = False, **o
     return df
 
 
+BAD_RECORD = "_bad_record"
+
+
 def _read_csv(spark: SparkSession, table: str, path: str, options: dict) -> DataFrame:
-    """CSV columns are matched by header name; known ones get their pinned type, others stay text."""
-    settings = {"header": True, "enforceSchema": False, **options}
+    """CSV columns are matched by header name; known ones get their pinned type, others stay text.
+
+    A value that doesn't fit its type fails the read. With ``mode="PERMISSIVE"`` it becomes null instead, and
+    ``_bad_record`` holds the whole line, so that ``bad_records`` can count what was lost.
+    """
+    settings = {"header": True, "enforceSchema": False, "mode": "FAILFAST", **options}
     header = spark.read.options(**settings).csv(path).columns
     known = {f.name: f.dataType for f in schemas.SCHEMAS[table].fields}
     absent = sorted(set(schemas.REQUIRED[table]) - set(header))
     if absent:
         raise ValueError(f"{table}: missing required columns {absent}")
     pinned = T.StructType([T.StructField(c, known.get(c, T.StringType())) for c in header])
+    if settings["mode"].upper() == "PERMISSIVE":
+        pinned = pinned.add(BAD_RECORD, T.StringType())
+        settings.setdefault("columnNameOfCorruptRecord", BAD_RECORD)
     return spark.read.options(**settings).schema(pinned).csv(path)
 
 
+def bad_records(df: DataFrame) -> DataFrame:
+    """Lines and bad lines of a table that was read with ``mode="PERMISSIVE"``."""
+    held = df.cache()  # Spark does not count the bad-record column of a file on its own
+    bad = F.count(BAD_RECORD) if BAD_RECORD in df.columns else F.lit(0).cast("long")
+    return held.agg(F.count(F.lit(1)).alias("Lines"), bad.alias("BadLines"))
+
+
 def load_transactions(spark: SparkSession, file_path, **options) -> DataFrame:
     return _load(spark, "transactions", file_path, reject_empty=True, **options)
 
@@ -90,8 +111,8 @@ LOADERS = {
 }
 
 
-def _raw_path(data_dir, table: str) -> str:
-    return f"{str(data_dir).rstrip('/')}/{schemas.RAW_FILES[table]}"
+def _raw_path(data_dir, table: str, files: dict[str, str] | None = None) -> str:
+    return f"{str(data_dir).rstrip('/')}/{(schemas.RAW_FILES | (files or {}))[table]}"
 
 
 def load_reference_data(spark: SparkSession, data_dir) -> dict[str, DataFrame]:
@@ -99,9 +120,9 @@ def load_reference_data(spark: SparkSession, data_dir) -> dict[str, DataFrame]:
     return {t: LOADERS[t](spark, _raw_path(data_dir, t)) for t in ("products", "stores", "customers")}
 
 
-def load_all_data(spark: SparkSession, data_dir) -> dict[str, DataFrame]:
-    """All six tables from a folder of raw files."""
-    return {t: load(spark, _raw_path(data_dir, t)) for t, load in LOADERS.items()}
+def load_all_data(spark: SparkSession, data_dir, files: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """All six tables from a folder of raw files; ``files`` names those that differ from the usual names."""
+    return {t: load(spark, _raw_path(data_dir, t, files)) for t, load in LOADERS.items()}
 
 
 def load_warehouse_tables(spark: SparkSession, folder) -> dict[str, DataFrame]:
@@ -110,10 +131,12 @@ def load_warehouse_tables(spark: SparkSession, folder) -> dict[str, DataFrame]:
     return {t: load(spark, f"{base}/{t}.parquet") for t, load in LOADERS.items()}
 
 
-def validate_data_sources(spark: SparkSession, data_dir, raise_missing: bool = True) -> dict[str, bool]:
+def validate_data_sources(spark: SparkSession, data_dir, raise_missing: bool = True,
+                          files: dict[str, str] | None = None) -> dict[str, bool]:
     """Which raw files exist; raises for absent ones unless told not to."""
-    present = {t: bool(_matches(spark, _raw_path(data_dir, t))) for t in schemas.RAW_FILES}
-    absent = [schemas.RAW_FILES[t] for t, ok in present.items() if not ok]
+    names = schemas.RAW_FILES | (files or {})
+    present = {t: bool(_matches(spark, _raw_path(data_dir, t, files))) for t in names}
+    absent = [names[t] for t, ok in present.items() if not ok]
     if absent and raise_missing:
         raise FileNotFoundError(f"missing data files in {data_dir}: {', '.join(absent)}")
     return present
