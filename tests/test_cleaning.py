@@ -102,6 +102,9 @@ def test_dates_from_text(spark):
     got = cleaning.normalize_dates(df, ["a", "b", "c"])
     assert dict(got.dtypes) == {"a": "date", "b": "date"}
     assert {tuple(r) for r in got.collect()} == {(None, None), (day("2023-05-01"), day("2023-05-01"))}
+    timed = cleaning.normalize_dates(df, ["a"], ("b",))
+    assert dict(timed.dtypes) == {"a": "date", "b": "timestamp"}
+    assert timed.filter("b = timestamp'2023-05-01 23:00:00'").count() == 1
 
 
 def test_orphans_and_null_keys(spark, tx, loyalty, customers, products):

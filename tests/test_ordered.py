@@ -89,3 +89,21 @@ def test_floored_balance_identity(spark, moves):
         balance = max(0, balance + earned - redeemed)
         expected.append(balance)
     assert got == expected
+
+
+def test_only_hot_keys_are_cut(spark, rows):
+    sizes = {r["k"]: r["count"] for r in rows.groupBy("k").count().collect()}
+    limit = max(sizes.values()) - 1
+    scan = Ordered.of(rows, ["k"], ["at"], limit=limit)
+    cut, plain = ({r["k"] for r in part.select("k").distinct().collect()} for part in (scan.cut, scan.plain))
+    assert cut == {k for k, n in sizes.items() if n > limit} and plain == sizes.keys() - cut
+
+
+def test_quantiles_keep_every_group(spark):
+    """A group without any value, a group without a name, and values that are not finite."""
+    data = [(1, 1.0, None), (1, 3.0, None), (2, None, 5.0), (2, float("nan"), float("inf")), (None, 7.0, 1.0), (3, None, None)]
+    df = spark.createDataFrame(data, "g int, a double, b double")
+    for limit in (None, 1):
+        got = {r["g"]: (r["a"], r["b"]) for r in quantiles(df, ["g"], ["a", "b"], 0.5, limit).collect()}
+        assert got == {1: (2.0, None), 2: (None, 5.0), None: (7.0, 1.0), 3: (None, None)}
+    assert quantiles(df.filter("false"), [], ["a"]).first()["a"] is None

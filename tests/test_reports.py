@@ -190,3 +190,10 @@ def test_kpis(spark, lines, goods):
     assert [r["CustomerID"] for r in kpis.at_risk_customers(risks, n=2).collect()] == ["a", "c"]
     headline = kpis.kpi_metrics(lines, labels, risks, features).first()
     assert (headline["total_customers"], headline["total_transactions"], headline["unique_products"], headline["active_customers"]) == (3, 5, 3, 2)
+
+
+def test_ledger_numbers_lines_without_customer(tx):
+    lines = tx([("T1", "C1", "2023-01-01", "S1", "P1", 1, 10, 10), ("T2", None, "2023-01-02", "S1", "P1", 1, 10, 10)])
+    for record_ids in (True, False):
+        got = loy.build_points_ledger(lines, ["TransactionDate", "TransactionID"], F.lit(0), record_ids=record_ids)
+        assert got.count() == 2 and got.filter("LoyaltyRecordID IS NULL").count() == 0

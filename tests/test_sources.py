@@ -109,3 +109,21 @@ def test_whole_etl(spark, raw, tmp_path):
     assert fact.filter("SalesMonth = '2023-01'").count() == 2
     assert fact.agg({"TransactionDate": "max"}).first()[0] == day("2023-01-02")
     assert readers.load_warehouse_tables(spark, tmp_path / "processed")["surveys"].count() == 2
+
+
+def test_bad_numbers_are_not_lost_in_silence(spark, tmp_path):
+    (tmp_path / "surveys.csv").write_text("SurveyID,CustomerID,SurveyDate,SatisfactionScore,NPSScore\n1,C1,2023-01-01,4,9\n2,C2,2023-01-01,abc,9\n")
+    path = tmp_path / "surveys.csv"
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        readers.load_survey_data(spark, path).collect()
+    loose = readers.load_survey_data(spark, path, mode="PERMISSIVE")
+    assert tuple(readers.bad_records(loose).first()) == (2, 1)
+    assert loose.filter("_bad_record IS NOT NULL").first()["SatisfactionScore"] is None
+
+
+def test_one_file_for_each_table(spark, tmp_path):
+    for name in ("surveys_a.csv", "surveys_b.csv"):
+        (tmp_path / name).write_text("SurveyID,CustomerID,SurveyDate,SatisfactionScore,NPSScore\n1,C1,2023-01-01,4,9\n")
+    with pytest.raises(ValueError, match="matches 2 files"):
+        readers.load_survey_data(spark, tmp_path / "surveys_*.csv")
+    assert readers.validate_data_sources(spark, tmp_path, False, {"surveys": "surveys_a.csv"})["surveys"]
