@@ -37,7 +37,7 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with at most ``most`` bytes of text each (a longer text stands alone)."""
     sizes = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
     start, held = 0, 0

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Bytes hashed at once.
-AT_ONCE = 4_000_000
+AT_ONCE = 500_000
 U = np.uint64
 
 
