@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from tillpoint.llm.common import staged
 
+#: Links in one file of a step's result; a step on few links writes few files.
+IN_A_FILE = 500_000
+
 
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component`` (the least node that links reach) for every node of ``links`` (a, b: longs)."""
@@ -35,7 +38,8 @@ def components(links: DataFrame) -> DataFrame:
     mark = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
     seen = mark(edges)
     while seen[0]:
-        edges = staged(star(star(edges, True), False), "stars")
+        files = max(1, -(-seen[0] // IN_A_FILE))
+        edges = staged(star(star(edges, True), False).coalesce(files), "stars")
         now = mark(edges)
         if now == seen:
             break
