@@ -1,4 +1,4 @@
-"""Queries of this subpackage on the given tables, and their SQL counterparts."""
+"""Queries of this subpackage on the given tables; their SQL counterparts are in ``oracles``."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillpoint.llm import chat, exact_dedup, jaccard_join, line_dedup, mixing, packing, quality, token_counts, token_files, topk
 from tillpoint.llm.common import read
+from tillpoint.llm.oracles import ORACLES  # noqa: F401  registered with the queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,5 +70,3 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_topk, op2_token_files, op3_mixing, op4_token_counts, op5_exact_dedup, op6_line_dedup, op7_packing, op8_chat, op9_quality,
     op10_jaccard_join)}
-
-ORACLES: dict[str, str] = {}
