@@ -104,29 +104,21 @@ def top_products(transactions: DataFrame, products: DataFrame) -> DataFrame:
         F.desc("TotalRevenue"), "ProductID")
 
 
-def _category_lines(transactions: DataFrame, products: DataFrame, *columns: str) -> DataFrame:
-    return transactions.select("ProductID", *columns).join(products.select("ProductID", "Category"), "ProductID")
-
-
 def _category_sales(transactions: DataFrame, products: DataFrame, distinct: dict[str, str]) -> DataFrame:
-    """Sums come from per-product totals; each distinct count from its own narrow, deduplicated branch.
+    """Sums and distinct counts per category, from one pass over the lines.
 
-    Mixing sums with several distinct counts in one aggregate would expand every line once per
-    count and carry all sums through the widest shuffle.
+    Lines that agree in what is counted are combined in each task, so a category shared by most lines is spread
+    over (category, value) pairs before they are counted.
     """
-    per_product = transactions.groupBy("ProductID").agg(
-        F.sum("Quantity").alias("_units"), F.sum("LineTotal").alias("_revenue"), F.count("LineTotal").alias("_lines"))
-    out = products.select("ProductID", "Category").join(per_product, "ProductID").groupBy("Category").agg(
+    lines = transactions.select("ProductID", "Quantity", "LineTotal", *distinct)
+    sold = lines.join(products.select("ProductID", "Category"), "ProductID")
+    return sold.groupBy("Category").agg(
         F.countDistinct("ProductID").alias("ProductCount"),
-        F.sum("_units").alias("TotalUnitsSold"),
-        F.sum("_revenue").alias("TotalRevenue"),
-        ratio(F.sum("_revenue"), F.sum("_lines")).alias("AvgTransactionValue"),
+        F.sum("Quantity").alias("TotalUnitsSold"),
+        F.sum("LineTotal").alias("TotalRevenue"),
+        ratio(F.sum("LineTotal"), F.count("LineTotal")).alias("AvgTransactionValue"),
+        *[F.countDistinct(column).alias(name) for column, name in distinct.items()],
     )
-    for column, name in distinct.items():
-        counted = _category_lines(transactions, products, column).groupBy("Category").agg(F.countDistinct(column).alias(name))
-        match = F.col("a.Category").eqNullSafe(F.col("b.Category"))
-        out = out.alias("a").join(counted.alias("b"), match).select("a.*", f"b.{name}")
-    return out
 
 
 def category_performance(transactions: DataFrame, products: DataFrame) -> DataFrame:
@@ -152,23 +144,16 @@ def monthly_product_sales(transactions: DataFrame, products: DataFrame) -> DataF
 
 
 def daily_summary(transactions: DataFrame) -> DataFrame:
-    """Distinct transactions, customers and products, and sales, per day.
+    """Distinct transactions, customers and products, and sales, per day, from one pass over the lines.
 
-    The three distinct counts share one narrow pass, in which each line gives one (day, value) pair to each of
-    them; pairs are deduplicated before they are counted, so a busy day spreads over many tasks.
+    Each line gives one (day, value) pair to each distinct count; pairs are deduplicated before they are counted,
+    so a busy day spreads over many tasks.
     """
-    day = F.to_date("TransactionDate")
-    out = transactions.groupBy(day.alias("TransactionDate")).agg(
-        F.sum("Quantity").alias("TotalQuantity"),
-        F.sum("LineTotal").alias("TotalRevenue"),
-        mean(F.col("LineTotal")).alias("AvgTransactionValue"),
-    )
-    distinct = transactions.groupBy(day.alias("TransactionDate")).agg(
+    return transactions.groupBy(F.to_date("TransactionDate").alias("TransactionDate")).agg(
         F.countDistinct("TransactionID").alias("TransactionCount"),
         F.countDistinct("CustomerID").alias("UniqueCustomers"),
         F.countDistinct("ProductID").alias("UniqueProducts"),
+        F.sum("Quantity").alias("TotalQuantity"),
+        F.sum("LineTotal").alias("TotalRevenue"),
+        mean(F.col("LineTotal")).alias("AvgTransactionValue"),
     )
-    match = F.col("a.TransactionDate").eqNullSafe(F.col("b.TransactionDate"))
-    return out.alias("a").join(distinct.alias("b"), match).select(
-        "a.TransactionDate", "TransactionCount", "UniqueCustomers", "UniqueProducts",
-        "TotalQuantity", "TotalRevenue", "AvgTransactionValue")
