@@ -23,9 +23,9 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillpoint.llm.common import UPPER, staged, text_of
+from tillpoint.llm.common import staged, text_of
 
-SIGNS = "|!?*#$%&@^~=<>{}[]_+/"
+SIGNS = r"[|!?*#$%&@^~=<>{}\[\]_+/]"
 #: Lower edges of the bins of each measure.
 EDGES = {
     "signs": (0.001, 0.003, 0.01, 0.02, 0.03, 0.05, 0.08, 0.12, 0.2),
@@ -45,14 +45,16 @@ def _bin(value: Column, edges: tuple[float, ...]) -> Column:
 def bins(text: Column) -> Column:
     """The numbers of the bins a text falls in, one for each measure."""
     chars = F.greatest(F.length(text), F.lit(1))
-    counted = lambda signs: (F.length(text) - F.length(F.translate(text, signs, ""))) / chars
+    counted = lambda signs: F.regexp_count(text, F.lit(signs)) / chars
     words = F.split(F.trim(text), SPACE)
     # the split text is bound to a variable, or Spark would split it again for every word
     again = F.transform(F.array(words), lambda ws: F.struct(
-        F.size(ws).alias("n"), F.size(F.filter(ws, lambda w, i: (i > 0) & (w == F.get(ws, i - 1)))).alias("same")))[0]
-    parts = [_bin(counted(SIGNS), EDGES["signs"]), _bin(counted(UPPER), EDGES["capitals"]),
-             _bin(chars / again["n"], EDGES["word_length"]), _bin(again["same"] / again["n"], EDGES["repeats"])]
-    return F.array(*[(p + 1000 * i).cast("int") for i, p in enumerate(parts)])
+        F.size(ws).alias("n"), F.size(F.filter(ws, lambda w, i: (i > 0) & (w == F.get(ws, i - 1)))).alias("same")))
+    measured = F.transform(again, lambda a: F.struct(counted(SIGNS).alias("signs"), counted("[A-Z]").alias("capitals"), (chars / a["n"]).alias("word_length"),
+                                                     (a["same"] / a["n"]).alias("repeats")))
+    # bound likewise: every edge of a bin would count the signs of the text anew
+    return F.transform(measured, lambda m: F.array(*[
+        (_bin(m[name], edges) + 1000 * i).cast("int") for i, (name, edges) in enumerate(EDGES.items())]))[0]
 
 
 @dataclass
