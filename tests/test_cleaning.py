@@ -148,3 +148,15 @@ def test_merge_keeps_lines_and_names_customer_place(spark, tx, loyalty, customer
     assert (first["SatisfactionScore"], first["NPSScore"], first["WouldRecommend"]) == (4.5, 5.0, "Yes")
     assert (first["City"], first["City_customer"]) == ("Old Town", "Town")
     assert got["T4"]["PointsEarned"] is None and got["T2"]["SatisfactionScore"] is None
+
+
+def test_steps_add_up(tx):
+    rows = [(f"T{i}", "C1", "2023-01-01", "S1", "P1", 1, 10, 10) for i in range(40)]
+    rows += [("T0", "C1", "2023-01-01", "S1", "P1", 1, 10, 10), (None, "C1", "2023-01-01", "S1", "P1", 1, 10, 10), ("Q", "C1", "2023-01-01", "S1", "P1", 0, 10, 10),
+             ("N", "C1", "2023-01-01", "S1", "P1", 1, -1, 10), ("X", "C1", "2023-01-01", "S1", "P1", 1, 9000, 9000), ("W", "C1", "2023-01-01", "S1", "P1", 2, 10, 99),
+             ("D", "C1", "2019-01-01", "S1", "P1", 1, 10, 10)]
+    lines = tx(rows)
+    got = cleaning.cleaning_steps(lines).first().asDict()
+    assert got == {"Lines": 47, "MissingKey": 1, "Duplicate": 1, "BadQuantity": 1, "BadPrice": 1, "CappedPrice": 1, "WrongTotal": 1,
+                   "DateOutside": 1, "Kept": 43}
+    assert cleaning.clean_transactions(lines).count() == got["Kept"]

@@ -51,6 +51,11 @@ def line_total(price: Column, quantity: Column) -> Column:
 
 def cap_prices(df: DataFrame) -> DataFrame:
     """Clip UnitPrice to mean +- 3 sample standard deviations (not below 0); totals of capped lines follow."""
+    return _with_caps(df).drop("_capped")
+
+
+def _with_caps(df: DataFrame) -> DataFrame:
+    """``cap_prices`` with ``_capped``, which lines it changed."""
     price = number(F.col("UnitPrice"))
     spread = df.agg(F.struct(F.avg(price).alias("mean"), F.stddev_samp(price).alias("sd")).alias("s"))
     stats = spread.scalar()
@@ -62,14 +67,18 @@ def cap_prices(df: DataFrame) -> DataFrame:
     flagged = df.withColumn("_capped", outside).withColumn(
         "UnitPrice", F.when(F.col("_capped"), capped.cast(PRICE)).otherwise(F.col("UnitPrice").cast(PRICE)))
     total = F.when(F.col("_capped"), line_total(F.col("UnitPrice"), F.col("Quantity")))
-    return flagged.withColumn("LineTotal", total.otherwise(F.col("LineTotal").cast(TOTAL))).drop("_capped")
+    return flagged.withColumn("LineTotal", total.otherwise(F.col("LineTotal").cast(TOTAL)))
+
+
+def _off_total() -> Column:
+    right = line_total(F.col("UnitPrice"), F.col("Quantity"))
+    return F.coalesce(F.abs(F.col("LineTotal") - right) > TOTAL_TOLERANCE, F.lit(False))
 
 
 def repair_totals(df: DataFrame) -> DataFrame:
     """Replace LineTotal where it is off price x quantity by more than a cent; nulls stay."""
     right = line_total(F.col("UnitPrice"), F.col("Quantity"))
-    off = F.coalesce(F.abs(F.col("LineTotal") - right) > TOTAL_TOLERANCE, F.lit(False))
-    return df.withColumn("LineTotal", F.when(off, right).otherwise(F.col("LineTotal")).cast(TOTAL))
+    return df.withColumn("LineTotal", F.when(_off_total(), right).otherwise(F.col("LineTotal")).cast(TOTAL))
 
 
 def within_dates(day: Column, first, last) -> Column:
@@ -119,6 +128,32 @@ def audit_transactions(df: DataFrame, first_date=FIRST_DATE, last_date=LAST_DATE
     )
 
 
+def cleaning_steps(df: DataFrame, first_date=FIRST_DATE, last_date=LAST_DATE,
+                   order: tuple[str, ...] = ("StoreID", "Quantity", "UnitPrice", "LineTotal")) -> DataFrame:
+    """How many lines each step of ``clean_transactions`` drops or changes, as one row.
+
+    Every step is judged on what the steps before it left, so Lines less the dropped ones (MissingKey, Duplicate,
+    BadPrice, DateOutside) are the lines Kept.
+    """
+    complete = drop_incomplete(df, LINE_KEY)
+    single = stage(keep_first(complete, LINE_KEY, list(order)))
+    bad_quantity = F.coalesce((F.col("Quantity") <= 0) | (F.col("Quantity") > LARGEST_QUANTITY), F.lit(False))
+    before = df.agg(F.count(F.lit(1)).alias("Lines"))
+    keyed = complete.agg(F.count(F.lit(1)).alias("_complete"))
+    repaired = single.agg(F.count(F.lit(1)).alias("_single"), count_if(bad_quantity).alias("BadQuantity"),
+                          count_if(has_bad_price(F.col("UnitPrice"))).alias("BadPrice"))
+    priced = single.withColumn("Quantity", repaired_quantity(F.col("Quantity"))).filter(~has_bad_price(F.col("UnitPrice")))
+    outside = ~within_dates(F.col("TransactionDate"), first_date, last_date)
+    ended = _with_caps(priced).agg(
+        count_if(F.col("_capped")).alias("CappedPrice"), count_if(_off_total()).alias("WrongTotal"),
+        count_if(outside).alias("DateOutside"), count_if(~outside).alias("Kept"))
+    one = before.crossJoin(keyed).crossJoin(repaired).crossJoin(ended)  # one row each
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+    return one.select(
+        "Lines", (F.col("Lines") - F.col("_complete")).alias("MissingKey"), (F.col("_complete") - F.col("_single")).alias("Duplicate"),
+        *[zero(c) for c in ("BadQuantity", "BadPrice", "CappedPrice", "WrongTotal", "DateOutside", "Kept")])
+
+
 def not_negative(c: Column) -> Column:
     return F.when(c < 0, F.lit(0)).otherwise(c)
 

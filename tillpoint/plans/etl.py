@@ -16,6 +16,8 @@ class EtlResult:
     integrity: DataFrame
     quality: DataFrame
     warehouse: dict[str, str]
+    #: lines that each cleaning step dropped or changed
+    steps: DataFrame
 
 
 def run_etl_pipeline(spark: SparkSession, raw_dir, processed_dir, warehouse_dir, first_date=cleaning.FIRST_DATE,
@@ -35,7 +37,7 @@ def run_etl_pipeline(spark: SparkSession, raw_dir, processed_dir, warehouse_dir,
     }
     cleaned = {
         "transactions": cleaning.clean_transactions(dated["transactions"], first_date=first_date, last_date=last_date),
-        "loyalty": cleaning.clean_loyalty_data(dated["loyalty"]),
+        "loyalty": cleaning.clean_loyalty_data(dated["loyalty"], flag_suspicious=True),
         "surveys": cleaning.clean_survey_data(dated["surveys"]),
         "customers": dated["customers"],
         "products": raw["products"],
@@ -60,4 +62,5 @@ def run_etl_pipeline(spark: SparkSession, raw_dir, processed_dir, warehouse_dir,
     written |= sinks.prepare_dimension_tables(tables["customers"], tables["products"], tables["stores"], warehouse_dir)
     sinks.create_date_dimension(spark, first_date, last_date, warehouse_dir)
     written["dim_dates"] = f"{str(warehouse_dir).rstrip('/')}/dimension_tables/dim_dates.parquet"
-    return EtlResult(tables, integrity, checks, written)
+    steps = cleaning.cleaning_steps(dated["transactions"], first_date, last_date)
+    return EtlResult(tables, integrity, checks, written, steps)
