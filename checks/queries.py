@@ -1038,6 +1038,17 @@ def _(t):
     return seg.perform_kmeans_clustering(prepared, n_init=2)[1]
 
 
+@query("seg_04_nearest", f"SELECT {I('CustomerID')} AS CustomerID, true AS AtNearestCentre FROM features", "features")
+def _(t):
+    """Every customer carries the label of the centre closest to it."""
+    prepared = seg.prepare_features_for_clustering(seg.select_features_for_clustering(t.features))[0]
+    model, labels = seg.perform_kmeans_clustering(prepared, n_init=1)
+    columns = [c for c in prepared.columns if c != "CustomerID"]
+    far = [sum((F.pow(F.col(c) - F.lit(float(x)), 2) for c, x in zip(columns, centre)), F.lit(0.0)) for centre in model.clusterCenters()]
+    own = F.element_at(F.array(*far), F.col("Segment") + 1)
+    return prepared.join(labels, "CustomerID").select("CustomerID", (own <= F.least(*far) + 1e-9).alias("AtNearestCentre"))
+
+
 @query("seg_07")
 def _(t):
     found = seg.perform_customer_segmentation(t.features, n_clusters=5, n_init=2)
@@ -1146,6 +1157,19 @@ def _(t):
     return churn.perform_churn_prediction(features, t.tx, use_smote=False, hyperparameters=small, explain=False).predictions
 
 
+@query("chn_10_rules", f"SELECT {I('CustomerID')} AS CustomerID, true AS InRange, true AS ClassFollows, true AS RiskFollows "
+       "FROM (SELECT DISTINCT CustomerID FROM tx)", "tx")
+def _(t):
+    """Every customer with purchases is scored once; class and risk follow from the score."""
+    features = cf.calculate_engagement_features(t.tx, t.products)
+    small = {"n_estimators": 5, "max_depth": 4, "learning_rate": 0.1}
+    found = churn.perform_churn_prediction(features, t.tx, use_smote=True, hyperparameters=small, explain=False).predictions
+    p = F.col("ChurnProbability")
+    risk = F.when(p > 0.8, "Critical").when(p > 0.6, "High").when(p > 0.3, "Medium").when(p > 0, "Low")
+    return found.select("CustomerID", p.between(0, 1).alias("InRange"), (F.col("ChurnPrediction") == F.when(p >= 0.5, 1).otherwise(0)).alias("ClassFollows"),
+                        F.col("RiskLevel").eqNullSafe(risk).alias("RiskFollows"))
+
+
 # --- whole jobs ----------------------------------------------------------------------------------------
 
 @query("etl_pipeline", f"""

@@ -200,3 +200,25 @@ def test_oversampling_reaches_parity_inside_the_minority(spark, block):
     assert len(made) == 31 and all(10 <= r["a"] <= 11 and 20 <= r["b"] <= 21 for r in made)
     again = oversampling.oversample_minority(df, ["a", "b"], "Churn", "CustomerID", 42, block=block).filter("CustomerID is null")
     assert sorted((r["a"], r["b"]) for r in again.collect()) == sorted((r["a"], r["b"]) for r in made)
+
+
+def test_whole_churn_job(spark, tx, tmp_path):
+    """Split, oversampling, trees, explanation, held-out scores and the saved tables."""
+    rows = []
+    for i in range(24):
+        for k in range(8 if i % 3 else 3):
+            rows.append((f"T{i}.{k}", f"C{i}", f"2023-{1 + k:02d}-{1 + i:02d}", "S1", "P1", 1 + i % 4, 10, 10 * (1 + i % 4)))
+        rows.append((f"T{i}.z", f"C{i}", "2023-11-20" if i % 2 else "2023-09-01", "S1", "P1", 1, 10, 10))
+    rows.append(("T", "C0", "2023-12-31", "S1", "P1", 1, 10, 10))
+    lines = tx(rows)
+    features = lines.groupBy("CustomerID").agg(F.count("*").alias("Lines"), F.sum("Quantity").alias("Units"))
+    small = {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.1}
+    done = churn.perform_churn_prediction(features, lines, train_end_date="2023-08-01", hyperparameters=small)
+    scores = done.test_scores.collect()
+    assert len({r["CustomerID"] for r in scores}) == len(scores) == 24 and all(0 <= r["ChurnProbability"] <= 1 for r in scores)
+    assert {r["Feature"] for r in done.explanations.collect()} == {"Lines", "Units"}
+    assert done.predictions.count() == 24
+    assert len(churn.calculate_feature_importance(done.model, spark, top=1).collect()) == 1
+    churn.save_churn_model(done, tmp_path)
+    assert spark.read.parquet(f"{tmp_path}/churn_predictions.parquet").count() == 24
+    assert spark.read.parquet(f"{tmp_path}/feature_importance.parquet").count() == 2

@@ -36,8 +36,8 @@ def feature_columns(features: DataFrame) -> list[str]:
 def prepare_churn_features(features: DataFrame, target: DataFrame) -> DataFrame:
     """CustomerID, complete numeric features and Churn of the customers in both inputs."""
     columns = feature_columns(features)
-    joined = features.select("CustomerID", *columns).join(target.select("CustomerID", "Churn"), "CustomerID")
-    return impute_median(joined, columns)
+    joined = stage(features.select("CustomerID", *columns).join(target.select("CustomerID", "Churn"), "CustomerID"))
+    return impute_median(joined, columns)  # reads it for the gaps, for the medians and for the result
 
 
 def split_date(transactions: DataFrame, share: float = 0.8):
