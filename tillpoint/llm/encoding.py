@@ -1,8 +1,8 @@
 """Token ids of whole texts by a ``tokenizers`` file, with the ids of repeated chunks remembered.
 
 Byte-pair merges never cross white space, so a text can be encoded chunk by chunk, each chunk reaching from one
-single space to the next. The library encodes a chunk the first time a task's process meets it; later its ids are
-looked up. A text with a space inside a run of other white space, where chunks would not be independent, goes to
+single space to the next. The library encodes a chunk the first time a task's process meets it (a comma or full stop
+after a word apart from the word); later its ids are looked up. A text with a space inside a run of other white space, where chunks would not be independent, goes to
 the library whole.
 """
 
@@ -31,11 +31,28 @@ class ChunkEncoder:
         #: True where the tokenizer drops white space; otherwise a chunk keeps the space before it.
         self.spaces_dropped = spaces_dropped
         self.known: dict[str, bytes] = {}
+        self.tails = {"": b""} | {x: self.whole(x) for x in ",."}
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _stem(self, chunk: str) -> tuple[str, str]:
+        """A chunk as a word and a comma or full stop, which are split before any merge; in lower case where the
+        tokenizer lowers it. Only for letters that every version of the character tables knows."""
+        word = chunk
+        if self.spaces_dropped and word.isascii() and "<" not in word:  # special strings are told by their case
+            word = word.lower()
+        if word[-1:] in (",", ".") and word[:-1].lower().isalpha() and max(word) < "\u0250":
+            return word[:-1], word[-1]
+        return word, ""
+
     def _learn(self, chunks: list[str]) -> None:
+        stems = {c: self._stem(c) for c in chunks}
+        self._encode_new(list(dict.fromkeys(s for s, _ in stems.values() if s not in self.known)))
+        for c, (stem, tail) in stems.items():
+            self.known[c] = self.known[stem] + self.tails[tail]
+
+    def _encode_new(self, chunks: list[str]) -> None:
         lead = "" if self.spaces_dropped else " "
         plain = []
         for c in chunks:
