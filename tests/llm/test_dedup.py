@@ -128,7 +128,9 @@ def test_linked_sets_share_a_key():
                 inter = len(np.intersect1d(a, b))
                 if not len(b) or len(a) == len(b) == inter or s.whole * inter < s.part * (len(a) + len(b) - inter):
                     continue
-                assert np.intersect1d(jaccard_join.piece_keys(a, s), jaccard_join.piece_keys(b, s)).size, (n, cut, new)
+                for share in (0, 0.3, 0.8, 1):  # any n-grams can be taken for common
+                    common = np.sort(draw.permutation(np.union1d(a, b))[:int(share * len(a))])
+                    assert np.intersect1d(jaccard_join.piece_keys(a, s, common), jaccard_join.piece_keys(b, s, common)).size, (n, cut, new, share)
 
 
 def test_overlaps_are_exact():
@@ -159,6 +161,7 @@ def test_registered_near_groups(spark):
 def test_many_near_copies_in_small_blocks(spark, monkeypatch):
     """A group cut into many blocks, a chain that links only step by step, and sizes too far apart."""
     monkeypatch.setattr(jaccard_join, "BLOCK", 5)
+    monkeypatch.setattr(jaccard_join, "COMMON", 6)
     draw = np.random.default_rng(9)
     base = [f"w{i}" for i in range(120)]
     rows = []

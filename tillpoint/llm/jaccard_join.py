@@ -6,10 +6,11 @@ vertical pieces, one for each fragment.
 *Candidates.* Two sets of n and m shingles with a Jaccard similarity of t differ in at most (n + m)(1 - t)/(1 + t)
 shingles, so of more fragments than that, they agree on one whole fragment. A document sends a hash of each of its
 pieces, under the fragments of its size class and of those above it where a partner can be; documents that share a
-piece are candidates. A piece holds several shingles, so a common passage alone makes no candidates. There are some
-fragments more than needed; a document with so many empty pieces that all agreement might be on empty ones sends its
-pieces under other cuts of the order too (under the last it falls back on its class). No pair of the stated
-similarity is missed.
+piece are candidates. Common n-grams, as of a passage that many documents share, are left out of the pieces. A document
+of which so little is left that the differences could touch all its pieces sends pieces of its whole set as well.
+There are some fragments more than needed for these; where even so all agreement might be on empty pieces, pieces under
+other cuts of the order follow (under the last the document falls back on its class). No pair of the stated similarity
+is missed, whatever counts as common: that only decides how many candidates there are.
 
 *Counting.* Candidates are gathered by connected groups, sorted by size and cut into blocks; for every two blocks of a
 group whose sizes allow a link, the overlap of each pair is counted in each fragment separately and the counts are
@@ -44,6 +45,9 @@ from tillpoint.llm.shingles import U, mix, shingle_sets, text_bytes
 
 #: Cuts of the order that a document with too many empty pieces is sent under.
 CUTS = 4
+#: An n-gram is common from so many documents on, counted where so many of about a megabyte of texts hold it; the
+#: most frequent ones, at most so many, are sent to all tasks.
+COMMON, COMMON_HERE, COMMON_MOST = 40, 3, 1_000_000
 #: Documents in a block, shingles in a block, and columns of a partial count: bounds of one task's memory.
 BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 4_000_000, 4096
 #: Fragments in which a block pair counts overlaps, at least.
@@ -85,20 +89,32 @@ def _fragments(k: int, s: Similarity) -> tuple[int, int]:
     return (most + 1 + spare, spare) if most else (0, 0)
 
 
-def piece_keys(own: np.ndarray, s: Similarity) -> np.ndarray:
-    """Keys of a sorted set; linked sets that differ share at least one."""
+def piece_hashes(order: np.ndarray, count: int, k: int, cut: int) -> np.ndarray:
+    """A hash of each of the pieces, of ``count`` fragments, that aren't empty."""
+    if not len(order):
+        return order
+    fragment = ((order >> U(32)) * U(count)) >> U(32)
+    starts = np.flatnonzero(np.concatenate([[True], fragment[1:] != fragment[:-1]]))
+    pieces = np.add.reduceat(mix(order ^ U(0xA5A5A5A5)), starts)
+    return mix(pieces + mix(fragment[starts] * U(64) + U(cut)) * U(31) + U(k))
+
+
+def piece_keys(own: np.ndarray, s: Similarity, common: np.ndarray = np.empty(0, dtype=U)) -> np.ndarray:
+    """Keys of a sorted set; linked sets that differ share at least one. common: sorted n-grams to leave out."""
     n, out = len(own), []
+    rare = own
+    if len(common) and n:
+        rare = own[common[np.minimum(np.searchsorted(common, own), len(common) - 1)] != own]
     for k in range(s.size_class(n), s.size_class(floor(n / s.t)) + 1):
         count, spare = s.fragments(k)
         if not count:
             continue
+        out.append(piece_hashes(rare, count, k, CUTS))
+        if count - len(out[-1]) <= spare:  # more pieces than there can be differences
+            continue
         for cut in range(CUTS):
-            order = own if cut == 0 else np.sort(mix(own + U(cut)))
-            fragment = ((order >> U(32)) * U(count)) >> U(32)
-            starts = np.flatnonzero(np.concatenate([[True], fragment[1:] != fragment[:-1]]))
-            pieces = np.add.reduceat(mix(order ^ U(0xA5A5A5A5)), starts)
-            out.append(mix(pieces + mix(fragment[starts] * U(64) + U(cut)) * U(31) + U(k)))
-            if count - len(starts) <= spare:
+            out.append(piece_hashes(own if cut == 0 else np.sort(mix(own + U(cut))), count, k, cut))
+            if count - len(out[-1]) <= spare:
                 break
             if cut == CUTS - 1:
                 out.append(mix(np.asarray([k], dtype=U) + U(0xFEED)))
@@ -128,8 +144,28 @@ def document_sets(docs: DataFrame, s: Similarity) -> DataFrame:
     return rows.mapInArrow(scan, "doc_id long, n_shingles long, low long, high long")
 
 
+def common_ngrams(docs: DataFrame, s: Similarity) -> np.ndarray:
+    """Sorted hashes of common n-grams. Counts of all documents, combined in each task; copies there count once."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for some in slices(batch, "text"):
+                sets = list(shingle_sets(*text_bytes(some.column("text")), s.words))
+                fresh = [x for x, sig in zip(sets, signatures(sets)[0].tolist()) if not (sig in seen or seen.add(sig))]
+                values, n = np.unique(np.concatenate(fresh or [np.empty(0, dtype=U)]), return_counts=True)
+                often = n >= COMMON_HERE
+                yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(n[often].astype(np.int64))], ["ngram", "n"])
+
+    here = docs.select(text_of().alias("text")).mapInArrow(scan, "ngram long, n long")
+    often = here.groupBy("ngram").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON)
+    found = often.orderBy(F.desc("n"), "ngram").limit(COMMON_MOST).select("ngram").toArrow().column("ngram")
+    return np.sort(found.to_numpy().astype(np.int64).view(U))
+
+
 def candidates(docs: DataFrame, s: Similarity) -> DataFrame:
     """Links (a, b) between digests (low) of sets that share a key: each to the least of those with the key."""
+    common = docs.sparkSession.sparkContext.broadcast(common_ngrams(docs, s))  # at most 8 MB
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies within the task are sent once
@@ -144,7 +180,7 @@ def candidates(docs: DataFrame, s: Similarity) -> DataFrame:
                     if sig not in seen:
                         seen.add(sig)
                         ids.append(sig)
-                        keys.append(piece_keys(own, s))
+                        keys.append(piece_keys(own, s, common.value))
                 if ids:
                     ends = np.cumsum([0, *map(len, keys)])
                     yield pa.RecordBatch.from_arrays(
