@@ -93,6 +93,56 @@ def test_passages_shift_without_harm(spark):
     assert len(text[2].split("\n")) < 25 and "an insertion" in text[2] and "other start" in text[2]
 
 
+def plain_passage_dedup(rows, least=line_dedup.LEAST):
+    def runs(text):
+        lines = text.split("\n")
+        solid = [i for i, x in enumerate(lines) if x.strip(" \t\x0b\x0c\r")]
+        return lines, [(solid[k], solid[k + least - 1]) for k in range(len(solid) - least + 1)]
+
+    first = {}
+    for i, t in rows:
+        lines, found = runs(t or "")
+        for k, (a, b) in enumerate(found):
+            if i is not None:
+                run = "\n".join(lines[a:b + 1])
+                first[run] = min(first.get(run, (i, k)), (i, k))
+    out = []
+    for i, t in rows:
+        lines, found = runs(t or "")
+        gone = {x for k, (a, b) in enumerate(found) if i is not None and (i, k) > first["\n".join(lines[a:b + 1])] for x in range(a, b + 1)}
+        out.append((i, "\n".join(x for n, x in enumerate(lines) if n not in gone), len(gone)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("least", [2, 3])
+def test_passage_dedup_of_table_and_odd_rows(spark, least):
+    shared = "\n".join(f"shared line number {i}" + "\n \n" * (i % 3 == 0) for i in range(30))
+    more = [(300 + i, f"own {i}\n{shared}\nend {i}") for i in range(6)] + [(400, shared), (401, shared), (402, "\n\n\n\n"), (403, "\n\n\n\n"),
+                                                                          (404, "a\nb\nc\nd"), (404, "b\nc\nd\ne"), (404, "b\nc\nd\ne")]
+    odd = odd_documents(spark).unionByName(documents(spark, more)).selectExpr("*", "1 AS _id", "'x' AS _text", "2 AS _row", "3 AS _gone", "4 AS _print")
+    for docs in (spark.read.parquet(f"{SF01}/documents.parquet"), odd):
+        rows = [(r.doc_id, r.text) for r in docs.collect()]
+        got = line_dedup.passage_dedup(docs, least)
+        assert got.columns == [*docs.columns, "removed_lines"]
+        assert sorted((tuple(r) for r in got.select("doc_id", "text", "removed_lines").collect()), key=str) == plain_passage_dedup(rows, least)
+        extra = [c for c in docs.columns if c not in ("text", "doc_id")]
+        assert pairs(got, *extra) == pairs(docs, *extra)
+    assert line_dedup.passage_dedup(odd.filter("false")).collect() == []
+
+
+def test_short_passages_between_own_lines_go(spark):
+    """Passages of 2 to 6 lines, and none of the lines around them."""
+    own = lambda i, side: [f"{side} {n} of document {i}" for n in range(8)]
+    passage = {n: [[f"line {x} of passage {p} with {n}" for x in range(n)] for p in range(20)] for n in range(2, 7)}
+    rows = []
+    for n, each in passage.items():
+        for p, lines in enumerate(each):
+            rows += [(i, "\n".join([*own(i, "before"), *lines, *own(i, "after")])) for i in (1000 * n + p, 1000 * n + 500 + p)]
+    text = {r.doc_id: r.text for r in line_dedup.passage_dedup(documents(spark, rows)).collect()}
+    for i, t in rows:
+        assert text[i] == (t if i % 1000 < 500 else "\n".join(own(i, "before") + own(i, "after")))
+
+
 def pairs(df, *columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
 

@@ -13,6 +13,10 @@ A null text counts as empty. Texts without a repeated chunk come back as they we
 becomes empty. Rows without an id neither lose nor lend chunks. Rows that repeat an id count as one document, in which
 each chunk has the place where it stands. All columns of ``docs`` come back, whatever their names; an empty table gives
 no rows.
+
+Chunks find a short passage between foreign lines only where two boundaries fall within it. ``passage_dedup`` has no
+boundaries: it compares every run of ``least`` lines that are not blank with every other, and finds all passages of that
+many lines or more.
 """
 
 from __future__ import annotations
@@ -26,6 +30,10 @@ from tillpoint.llm.common import staged, text_of
 MODULUS = 4
 #: Rolling hashes stay below this prime.
 PRIME = 2147483647
+#: A passage has this many lines that are not blank, or more.
+LEAST = 2
+#: A line that is not blank.
+SOLID = r"[^\x20\x09\x0B-\x0D]"
 
 
 def line_hash(line: Column) -> Column:
@@ -93,3 +101,51 @@ def line_dedup(docs: DataFrame, modulus: int = MODULUS, salts: int = 32) -> Data
     count = F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone"))
     kept = [new.alias("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns]
     return cut.select(*kept, count.alias("removed_chunks"))
+
+
+def with_runs(rows: DataFrame, least: int) -> DataFrame:
+    """``rows`` with ``_lines``, ``_solid``, the places from 0 of the lines that are not blank, and ``_last``, the number
+    from 0 of the last run, -1 where there is none. A run goes from one solid line to the ``least - 1``-th after it."""
+    cut = rows.withColumn("_lines", F.split("_text", "\n"))
+    solid = F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: F.get("_lines", i).rlike(SOLID))
+    return cut.withColumn("_solid", solid).withColumn("_last", F.greatest(F.size("_solid") - least, F.lit(-1)))
+
+
+def repeated_runs(rows: DataFrame, least: int) -> DataFrame:
+    """The runs that stand earlier too: ``_id``, ``_print`` (which tells apart rows that repeat an id) and ``_gone``.
+
+    Runs are grouped by the SHA-256 of their whole text; a common run is combined in each task. Explode is outer as above.
+    """
+    def key(k: Column) -> Column:
+        start, end = F.get("_solid", k), F.get("_solid", k + (least - 1))
+        return F.unhex(F.sha2(F.array_join(F.slice(F.col("_lines"), start + 1, end - start + 1), "\n"), 256))
+
+    keys = F.when(F.col("_last") >= 0, F.transform(F.sequence(F.lit(0), F.col("_last")), key))
+    runs = (with_runs(rows.filter("_id IS NOT NULL"), least)
+            .select("_id", F.xxhash64("_text").alias("_print"), F.posexplode_outer(keys).alias("_k", "_key"))
+            .filter("_key IS NOT NULL")
+            .withColumn("_at", F.col("_id").cast("decimal(38,0)") * 2147483648 + F.col("_k")))
+    first = staged(runs.groupBy("_key").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+                   .filter("_n > 1").drop("_n"), "repeated-runs")
+    return runs.join(first, "_key").filter("_at > _first").groupBy("_id", "_print").agg(F.collect_set("_k").alias("_gone"))
+
+
+def passage_dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """``docs`` without the passages of ``least`` lines or more that stand earlier, and ``removed_lines`` of each.
+
+    Blank lines don't count; those within a passage must be the same and go with it. A run's first occurrence is by
+    ``doc_id`` and then by place. A line goes when any run it is in stands earlier, so every line that goes
+    equals one that stays. Null texts, rows without an id and other columns are treated
+    as by ``line_dedup``. Rows that repeat an id lend nothing to each other at the same place.
+    """
+    own = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"), text_of().alias("_text"))
+    own = own.withColumn("_print", F.xxhash64("_text"))
+    both = with_runs(own.join(repeated_runs(own.select("_id", "_text"), least), ["_id", "_print"], "left"), least)
+    places = F.sequence(F.lit(0), F.size("_lines") - 1)
+    taken = F.flatten(F.transform("_gone", lambda k: F.sequence(F.get("_solid", k), F.get("_solid", k + (least - 1)))))
+    cut = both.withColumn("_left", F.when(F.col("_gone").isNotNull(), F.array_except(places, taken)))
+    new = F.when(F.col("_left").isNull(), F.col("_text")).otherwise(
+        F.array_join(F.transform("_left", lambda i: F.get("_lines", i)), "\n"))
+    count = F.when(F.col("_left").isNull(), F.lit(0)).otherwise(F.size("_lines") - F.size("_left"))
+    kept = [new.alias("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns]
+    return cut.select(*kept, count.alias("removed_lines"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tillpoint.llm.common import LOWER, UPPER
-from tillpoint.llm.line_dedup import MODULUS, PRIME
+from tillpoint.llm.line_dedup import MODULUS, PRIME, SOLID
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -40,6 +40,19 @@ OP6 = f"""
   SELECT doc_id, coalesce(string_agg(c, chr(10) ORDER BY k) FILTER (NOT gone), '') AS text,
          cast(count(*) FILTER (gone) AS INTEGER) AS removed_chunks FROM placed GROUP BY doc_id"""
 
+OP6_PASSAGES = rf"""
+  WITH lists AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+  lines AS (SELECT doc_id, l, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM lists),
+  runs AS (
+    SELECT doc_id, l, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM lines WHERE regexp_matches(line, '{SOLID}')),
+  placed AS (
+    SELECT doc_id, i, e, row_number() OVER (PARTITION BY array_to_string(l[i:e], chr(10)) ORDER BY doc_id, i) > 1 AS again
+    FROM runs WHERE e IS NOT NULL),
+  gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, e)) AS i FROM placed WHERE again)
+  SELECT lines.doc_id, coalesce(string_agg(line, chr(10) ORDER BY lines.i) FILTER (gone.i IS NULL), '') AS text,
+         cast(count(gone.i) AS INTEGER) AS removed_lines
+  FROM lines LEFT JOIN gone ON gone.doc_id = lines.doc_id AND gone.i = lines.i GROUP BY lines.doc_id"""
+
 _SAID = r"'\### Assistant: </turn> ok'"
 OP8 = rf"""
   WITH c AS (
@@ -67,4 +80,5 @@ OP10 = rf"""
   SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
   JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) m ON m.a = d.doc_id"""
 
-ORACLES: dict[str, str] = {"op1_topk": OP1, "op5_exact_dedup": OP5, "op6_line_dedup": OP6, "op8_chat": OP8, "op10_jaccard_join": OP10}
+ORACLES: dict[str, str] = {"op1_topk": OP1, "op5_exact_dedup": OP5, "op6_line_dedup": OP6, "op6_passage_dedup": OP6_PASSAGES,
+                           "op8_chat": OP8, "op10_jaccard_join": OP10}

@@ -47,6 +47,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(read(spark, sf_dir, "documents")).select("doc_id", "text", "removed_chunks")
 
 
+def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.passage_dedup(read(spark, sf_dir, "documents")).select("doc_id", "text", "removed_lines")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
@@ -68,5 +72,5 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_topk, op2_token_files, op3_mixing, op4_token_counts, op5_exact_dedup, op6_line_dedup, op7_packing, op8_chat, op9_quality,
-    op10_jaccard_join)}
+    op1_topk, op2_token_files, op3_mixing, op4_token_counts, op5_exact_dedup, op6_line_dedup, op6_passage_dedup, op7_packing, op8_chat,
+    op9_quality, op10_jaccard_join)}
