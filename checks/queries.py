@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from checks.ctes import D, DATES, FEATURES, I, MEAN, REAL, TABLES, WHOLE, typed, with_tables
 from checks.mapping import CLEAN_ORDER, FIRST_DATE, LAST_DATE, LINE_ORDER, Tables
-from tillpoint.functions.lineage import scratch_path
+from tillpoint.functions.lineage import scratch_path, stage
 from tillpoint.functions.quantiles import quantiles
 from tillpoint.operators import (
     baskets, churn, cleaning, customer_features as cf, kpis, loyalty as loy, merge, ml_prep, product_features as pf,
@@ -1028,21 +1028,21 @@ def _(t):
 
 @query("seg_03")
 def _(t):
-    prepared = seg.prepare_features_for_clustering(seg.select_features_for_clustering(t.features, ("rfm",)))[0]
-    return seg.find_optimal_k_clusters(prepared, range(3, 6), n_init=1, max_iter=20)
+    prepared = seg.prepare_features_for_clustering(seg.select_features_for_clustering(t.features))[0]
+    return seg.find_optimal_k_clusters(prepared)
 
 
 @query("seg_04")
 def _(t):
-    prepared = seg.prepare_features_for_clustering(seg.select_features_for_clustering(t.features, ("rfm", "loyalty")))[0]
-    return seg.perform_kmeans_clustering(prepared, n_init=2)[1]
+    prepared = seg.prepare_features_for_clustering(seg.select_features_for_clustering(t.features))[0]
+    return seg.perform_kmeans_clustering(prepared)[1]
 
 
 @query("seg_04_nearest", f"SELECT {I('CustomerID')} AS CustomerID, true AS AtNearestCentre FROM features", "features")
 def _(t):
     """Every customer carries the label of the centre closest to it."""
     prepared = seg.prepare_features_for_clustering(seg.select_features_for_clustering(t.features))[0]
-    model, labels = seg.perform_kmeans_clustering(prepared, n_init=1)
+    model, labels = seg.perform_kmeans_clustering(prepared)
     columns = [c for c in prepared.columns if c != "CustomerID"]
     far = [sum((F.pow(F.col(c) - F.lit(float(x)), 2) for c, x in zip(columns, centre)), F.lit(0.0)) for centre in model.clusterCenters()]
     own = F.element_at(F.array(*far), F.col("Segment") + 1)
@@ -1051,7 +1051,7 @@ def _(t):
 
 @query("seg_07")
 def _(t):
-    found = seg.perform_customer_segmentation(t.features, n_clusters=5, n_init=2)
+    found = seg.perform_customer_segmentation(t.features)
     return kpis.segment_distribution(found.labels, found.names)
 
 
@@ -1104,9 +1104,13 @@ def _(t):
     return balanced.groupBy("Churn").agg(F.count(F.lit(1)).alias("Rows"))
 
 
+def _whole_training_frame(t: Tables) -> DataFrame:
+    return stage(churn.prepare_churn_features(t.features, churn.create_churn_target(t.tx, t.ref)))
+
+
 @query("chn_05")
 def _(t):
-    model = churn.train_churn_model(_training_frame(t), {"n_estimators": 5, "max_depth": 4, "learning_rate": 0.1})
+    model = churn.train_churn_model(_whole_training_frame(t))
     return churn.calculate_feature_importance(model, t.spark)
 
 
@@ -1140,9 +1144,8 @@ def _(t):
 
 @query("chn_08")
 def _(t):
-    frame = _training_frame(t)
-    model = churn.train_churn_model(frame, {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.1})
-    return churn.explain_by_permutation(model, frame)
+    frame = _whole_training_frame(t)
+    return churn.explain_by_permutation(churn.train_churn_model(frame), frame)
 
 
 @query("chn_09", mapped("predictions", "CustomerID:i", "ChurnProbability:d", "ChurnPrediction:i", "RiskLevel"), "predictions")
@@ -1152,18 +1155,14 @@ def _(t):
 
 @query("chn_10")
 def _(t):
-    features = cf.calculate_engagement_features(t.tx, t.products)
-    small = {"n_estimators": 5, "max_depth": 4, "learning_rate": 0.1}
-    return churn.perform_churn_prediction(features, t.tx, use_smote=False, hyperparameters=small, explain=False).predictions
+    return churn.perform_churn_prediction(t.features, t.tx).predictions
 
 
 @query("chn_10_rules", f"SELECT {I('CustomerID')} AS CustomerID, true AS InRange, true AS ClassFollows, true AS RiskFollows "
        "FROM (SELECT DISTINCT CustomerID FROM tx)", "tx")
 def _(t):
-    """Every customer with purchases is scored once; class and risk follow from the score."""
-    features = cf.calculate_engagement_features(t.tx, t.products)
-    small = {"n_estimators": 5, "max_depth": 4, "learning_rate": 0.1}
-    found = churn.perform_churn_prediction(features, t.tx, use_smote=True, hyperparameters=small, explain=False).predictions
+    """Every customer with purchases is scored once; class and risk follow from the score. All others are scored, too."""
+    found = churn.perform_churn_prediction(t.features, t.tx).predictions.join(t.tx.select("CustomerID").distinct(), "CustomerID", "left_semi")
     p = F.col("ChurnProbability")
     risk = F.when(p > 0.8, "Critical").when(p > 0.6, "High").when(p > 0.3, "Medium").when(p > 0, "Low")
     return found.select("CustomerID", p.between(0, 1).alias("InRange"), (F.col("ChurnPrediction") == F.when(p >= 0.5, 1).otherwise(0)).alias("ClassFollows"),
@@ -1189,7 +1188,6 @@ def _(t):
 def _(t):
     frames = {"transactions": t.tx.select(*TX_NAMES), "loyalty": t.loyalty.drop("CumulativeSpend"), "surveys": t.surveys,
               "products": t.products, "stores": t.stores, "customers": t.customers}
-    small = {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.1}
     out = scratch_path(t.spark, "results")
-    analysis.precompute_all_analysis(t.spark, frames, out, hyperparameters=small, n_init=1)
+    analysis.precompute_all_analysis(t.spark, frames, out)
     return readers.load_precomputed_data(t.spark, out)["kpi_metrics"]
