@@ -9,12 +9,12 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tillpoint.functions.lineage import scratch_path
-from tillpoint.llm import packing, token_counts, token_files
+from tillpoint.llm import mixing, packing, token_counts, token_files
 from tillpoint.llm.encoding import ChunkEncoder
 from tillpoint.llm.queries import QUERIES, tokenizer
 
 from .conftest import SF
-from .helpers import documents, odd_documents
+from .helpers import DOCS, documents, odd_documents
 
 SIGNS = [" ", " ", "\n", "\t", "a", "b", "th", "'s", "É", "é", "1", ".", "<|endoftext|>", "日", "😀", "́", "\x85", "\x1c", "İ", "Σ", "▁", "\x00", "<s>", "ﬁ"]
 TEXTS = st.lists(st.sampled_from(SIGNS), max_size=25).map("".join)
@@ -159,6 +159,23 @@ def test_packed_sequences_hold_the_ids(spark):
     assert sum(len(r.ids) for r in got) == sum(len(r.ids) for r in found.collect())
 
 
+def test_packed_sequences_of_repeated_and_mixed_documents(spark):
+    """Every piece stands once, at its place, also where documents share an id, are copies or have none."""
+    rows = [(i, "some words " * (1 + i % 9), "ab"[i % 2]) for i in range(30)]
+    rows += [(3, "some words " * 4, "a")] * 2 + [(5, "another text", "b"), (5, "a third text, " * 20, "b"), (None, "no id", "a"), (None, "no id", "a")]
+    mixed = spark.createDataFrame(mixing.mix(documents(spark, rows), weights=(5, 1)).collect(), DOCS)
+    assert mixed.count() > mixed.distinct().count()
+    for docs in (documents(spark, rows), mixed):
+        found = packing.pieces(docs, tokenizer(BYTE), 0, 32)
+        places = packing.pack(docs, tokenizer(BYTE), 0, 32)
+        ids = {r.sequence_id: r.ids for r in packing.sequences(found, places).collect()}
+        assert all(len(x) <= 4 * 32 for x in ids.values())
+        each = places.collect()
+        assert sum(map(len, ids.values())) == 4 * sum(r.length for r in each) == sum(len(r.ids) for r in found.collect())
+        for r in each:
+            assert zlib.crc32(ids[r.sequence_id][4 * r.offset:4 * (r.offset + r.length)]) == r.ids_crc32
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(2, 64).flatmap(lambda c: st.tuples(st.just(c), st.lists(st.tuples(st.integers(1, c), st.integers(1, 400)), max_size=12))))
 def test_plans_place_every_piece_once(case):

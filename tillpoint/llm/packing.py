@@ -206,9 +206,18 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 2048, spa
 def sequences(found: DataFrame, places: DataFrame) -> DataFrame:
     """The packed sequences: sequence_id and the ids of its pieces, in order, as one binary of at most ``capacity`` ids.
 
-    ``found`` has ``ids`` (see ``pieces``), ``places`` comes from ``pack`` of the same documents, whose ids are unique.
+    ``found`` has ``ids`` (see ``pieces``), ``places`` comes from ``pack`` of the same documents. Ids may repeat or be null:
+    equal pieces are numbered on both sides, and each meets one place.
     """
-    both = places.join(found.select("doc_id", "piece", "ids"), ["doc_id", "piece"])
+    keys = ["doc_id", "piece", "length", "ids_crc32"]
+
+    def numbered(rows: DataFrame, *order: str) -> DataFrame:
+        return rows.withColumn("copy", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+
+    left = numbered(places.select(*keys, "sequence_id", "offset"), "sequence_id", "offset").alias("p")
+    right = numbered(found.select("doc_id", "piece", "length", F.crc32("ids").alias("ids_crc32"), "ids"), "ids").alias("f")
+    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"f.{c}")) for c in (*keys, "copy")]
+    both = left.join(right, same).select("sequence_id", "offset", "ids")
     parts = both.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
     joined = F.aggregate("parts", F.lit(b""), lambda held, part: F.concat(held, part["ids"]))
     return parts.select("sequence_id", joined.alias("ids"))
