@@ -12,7 +12,7 @@ from .conftest import SF
 @pytest.mark.parametrize("name", ORACLES)
 def test_table_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "conversations"):
+    for table in ("documents", "embeddings", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.execute(ORACLES[name])
     columns = [c[0] for c in want.description]

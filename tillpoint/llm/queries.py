@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillpoint.llm import chat, exact_dedup, jaccard_join, line_dedup, mixing, packing, quality, token_counts, token_files, topk
+from tillpoint.llm import (
+    chat, decontamination, exact_dedup, hard_negatives, jaccard_join, line_dedup, mixing, packing, quality, token_counts, token_files, topk,
+    value_codes)
 from tillpoint.llm.common import read
 from tillpoint.llm.oracles import ORACLES  # noqa: F401  registered with the queries
 
@@ -71,6 +73,23 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_groups(read(spark, sf_dir, "documents"), words=3, part=90)
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), size=10)
+    items = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", items, "contaminated")
+
+
+def op12_value_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = value_codes.vector_codes(read(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256.0)
+    return found.select("vec_id", "code", "error", "label_error", F.lit(value_codes.digest(books)).alias("codebooks_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label, positives=5, negatives=5)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_topk, op2_token_files, op3_mixing, op4_token_counts, op5_exact_dedup, op6_line_dedup, op6_passage_dedup, op7_packing, op8_chat,
-    op9_quality, op10_jaccard_join)}
+    op9_quality, op10_jaccard_join, op11_decontamination, op12_value_codes,
+    op13_hard_negatives)}
