@@ -12,7 +12,7 @@ from checks.mapping import CLEAN_ORDER, FIRST_DATE, LAST_DATE, LINE_ORDER, Table
 from tillpoint.functions.lineage import scratch_path, stage
 from tillpoint.functions.quantiles import quantiles
 from tillpoint.operators import (
-    baskets, churn, cleaning, customer_features as cf, kpis, loyalty as loy, merge, ml_prep, product_features as pf,
+    baskets, churn, cleaning, customer_features as cf, explanations, kpis, loyalty as loy, merge, ml_prep, product_features as pf,
     quality, reports, segmentation as seg,
 )
 from tillpoint.plans import analysis, etl
@@ -333,6 +333,23 @@ def _(t):
     return cleaning.audit_transactions(t.dirty_tx, FIRST_DATE, LAST_DATE)
 
 
+@query("dq_04_steps", f"""
+  SELECT (SELECT count(*) FROM dirty_tx) AS Lines, (SELECT count(*) FROM dirty_tx) - (SELECT count(*) FROM cln1) AS MissingKey,
+         (SELECT count(*) FROM cln1) - (SELECT count(*) FROM cln2) AS Duplicate,
+         (SELECT count(*) FROM cln2 WHERE Quantity <= 0 OR Quantity > 1000) AS BadQuantity,
+         (SELECT count(*) FROM cln2 WHERE UnitPrice <= 0) AS BadPrice,
+         (SELECT count(*) FROM cln4, clnstat WHERE UnitPrice > mu + 3 * sd OR UnitPrice < mu - 3 * sd) AS CappedPrice,
+         (SELECT count(*) FROM cln5 WHERE abs(LineTotal - round(UnitPrice * Quantity, 2)) > 0.01) AS WrongTotal,
+         (SELECT count(*) FROM cln6 WHERE TransactionDate < DATE '{DATES[0]}' OR TransactionDate > DATE '{DATES[1]}') AS DateOutside,
+         (SELECT count(*) FROM cln7) AS Kept""", "cln7", "clnstat")
+def _(t):
+    """The counts observed while the cleaned lines are written, once."""
+    counts = cleaning.CleaningCounts()
+    cleaned = cleaning.clean_transactions(t.dirty_tx, first_date=FIRST_DATE, last_date=LAST_DATE, order=CLEAN_ORDER, counts=counts)
+    cleaned.write.parquet(scratch_path(t.spark, "cleaned"))
+    return counts.table(t.spark)
+
+
 # --- joins -----------------------------------------------------------------------------------
 
 @query("j_01", f"""
@@ -1148,6 +1165,26 @@ def _(t):
     return churn.explain_by_permutation(churn.train_churn_model(frame), frame)
 
 
+_model_features = [n for n, (_, kind) in FEATURES.items() if kind in (WHOLE, REAL)]
+
+
+@query("chn_08_values", " UNION ALL ".join(
+    f"SELECT {I('CustomerID')} AS CustomerID, '{c}' AS Feature, {D(c)} AS FeatureValue, true AS AddsUp, true AS MatchesScore FROM f" for c in _model_features).replace(
+    "FROM f", "FROM (SELECT * FROM features WHERE CustomerID IN (SELECT CustomerID FROM tx))"), "features", "tx")
+def _(t):
+    """What every feature of every customer added to the score: with the base value it is the log-odds of the churn probability."""
+    frame = _whole_training_frame(t)
+    model = churn.train_churn_model(frame)
+    explained = stage(explanations.explain_customers(model, frame))
+    each = explained.groupBy("CustomerID").agg(F.sum("Contribution").alias("_sum"), F.first("BaseValue").alias("_base"), F.first("LogOdds").alias("_odds"))
+    scored = churn.churn_probability(model, frame).select(F.col("CustomerID").alias("_id"), "ChurnProbability")
+    total = F.col("_sum") + F.col("_base")
+    sums = each.join(scored, each["CustomerID"] == scored["_id"]).select(
+        "_id", (F.abs(total - F.col("_odds")) < 1e-6).alias("AddsUp"),
+        (F.abs(1 / (1 + F.exp(-total)) - F.col("ChurnProbability")) < 1e-9).alias("MatchesScore"))
+    return explained.join(sums, explained["CustomerID"] == sums["_id"]).select("CustomerID", "Feature", "FeatureValue", "AddsUp", "MatchesScore")
+
+
 @query("chn_09", mapped("predictions", "CustomerID:i", "ChurnProbability:d", "ChurnPrediction:i", "RiskLevel"), "predictions")
 def _(t):
     return _predictions(t)

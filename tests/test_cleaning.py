@@ -160,3 +160,34 @@ def test_steps_add_up(tx):
     assert got == {"Lines": 47, "MissingKey": 1, "Duplicate": 1, "BadQuantity": 1, "BadPrice": 1, "CappedPrice": 1, "WrongTotal": 1,
                    "DateOutside": 1, "Kept": 43}
     assert cleaning.clean_transactions(lines).count() == got["Kept"]
+
+
+def test_steps_are_observed_in_the_write(spark, tx, tmp_path):
+    """The counts come from the one run that writes the cleaned lines, and equal the recount."""
+    rows = [(f"T{i}", "C1", "2023-01-01", "S1", "P1", 1, 10, 10) for i in range(40)]
+    rows += [("T0", "C1", "2023-01-01", "S1", "P1", 1, 10, 10)] * 3 + [(None, "C1", "2023-01-01", "S1", "P1", 1, 10, 10), ("Q", "C1", "2023-01-01", "S1", "P1", 0, 10, 10),
+             ("Q2", "C1", "2023-01-01", "S1", "P1", 5000, 10, 10), ("N", "C1", "2023-01-01", "S1", "P1", 1, -1, 10), ("X", "C1", "2023-01-01", "S1", "P1", 1, 9000, 9000),
+             ("W", "C1", "2023-01-01", "S1", "P1", 2, 10, 99), ("D", "C1", "2019-01-01", "S1", "P1", 1, 10, 10), ("M", "C1", None, "S1", "P1", None, None, None)]
+    lines = tx(rows).repartition(3)
+    counts = cleaning.CleaningCounts()
+    cleaning.clean_transactions(lines, counts=counts).write.parquet(str(tmp_path / "clean"))
+    want = cleaning.cleaning_steps(lines).first().asDict()
+    assert counts.row == want and want["Duplicate"] == 3 and want["BadQuantity"] == 2
+    assert counts.table(spark).first().asDict() == want
+    assert spark.read.parquet(str(tmp_path / "clean")).count() == want["Kept"]
+
+
+@pytest.mark.parametrize("options", [{"handle_outliers": False}, {"remove_duplicates": False}, {"handle_outliers": False, "remove_duplicates": False}])
+def test_observing_changes_no_line(tx, options):
+    lines = tx([(f"T{i % 9}", "C1", "2023-01-01", "S1", "P1", i, 10 + i, 99) for i in range(20)])
+    plain = sorted(map(str, cleaning.clean_transactions(lines, **options).collect()))
+    counts = cleaning.CleaningCounts()
+    assert sorted(map(str, cleaning.clean_transactions(lines, counts=counts, **options).collect())) == plain
+    assert counts.row["Kept"] == len(plain) and counts.row["Duplicate"] == (0 if "remove_duplicates" in options else counts.row["Duplicate"])
+
+
+def test_no_lines_give_zero_counts(tx):
+    lines = tx([("T", "C1", "2023-01-01", "S1", "P1", 1, 10, 10)]).filter("false")
+    counts = cleaning.CleaningCounts()
+    assert cleaning.clean_transactions(lines, counts=counts).collect() == []
+    assert set(counts.row.values()) == {0}

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillpoint.functions.lineage import stage
 from tillpoint.functions.ordered import Ordered
 from tillpoint.functions.stats import as_of, count_if, days_between, numeric_columns, ratio
+from tillpoint.operators.explanations import explain_customers
 from tillpoint.operators.ml_prep import impute_median
 from tillpoint.operators.oversampling import oversample_minority
 from tillpoint.schemas import CHURN_DAYS, SEED
@@ -286,6 +287,8 @@ class ChurnResults:
     predictions: DataFrame
     #: CustomerID, ChurnProbability and Churn of the held-out customers
     test_scores: DataFrame
+    #: what every feature added to the score of each held-out customer
+    contributions: DataFrame | None = None
 
 
 def perform_churn_prediction(features: DataFrame, transactions: DataFrame, churn_threshold_days: int = CHURN_DAYS,
@@ -301,7 +304,8 @@ def perform_churn_prediction(features: DataFrame, transactions: DataFrame, churn
         model, evaluate_scores(scored), classification_report(scored),
         calculate_feature_importance(model, features.sparkSession),
         explain_by_permutation(model, test, max_samples, random_state) if explain else None,
-        predict_churn_risk(model, features), scored)
+        predict_churn_risk(model, features), scored,
+        explain_customers(model, test, max_samples, random_state) if explain else None)
 
 
 def save_churn_model(results: ChurnResults, output_path: str) -> None:
@@ -310,5 +314,7 @@ def save_churn_model(results: ChurnResults, output_path: str) -> None:
     results.model.write().overwrite().save(f"{base}/churn_model")
     tables = {"churn_predictions": results.predictions, "feature_importance": results.feature_importance,
               "model_metrics": results.metrics}
+    if results.contributions is not None:
+        tables["customer_explanations"] = results.contributions
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{base}/{name}.parquet")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tillpoint.functions.lineage import stage
@@ -86,21 +86,68 @@ def within_dates(day: Column, first, last) -> Column:
     return ~F.coalesce((day < F.lit(first).cast("date")) | (day > F.lit(last).cast("date")), F.lit(False))
 
 
+# What each cleaning step reports, in the order of the steps.
+STEP_COUNTS = ["Lines", "MissingKey", "Duplicate", "BadQuantity", "BadPrice", "CappedPrice", "WrongTotal", "DateOutside", "Kept"]
+
+
+class CleaningCounts:
+    """Counts of the cleaning steps, observed while the cleaned lines are computed for someone else.
+
+    Pass one to ``clean_transactions`` and write the result once; then ``row`` or ``table`` have the numbers. They are
+    of the first run of the plan; reading them before there was one waits for it. A lost executor's tasks that run
+    again may count again, as with every accumulator; ``cleaning_steps`` recounts from the lines.
+    """
+
+    def __init__(self):
+        self.given, self.single, self.ended = (Observation() for _ in range(3))
+
+    @property
+    def row(self) -> dict[str, int]:
+        given, single, ended = (o.get for o in (self.given, self.single, self.ended))
+        found = {**given, **single, **ended}
+        found["MissingKey"] = given["Lines"] - given["Complete"]
+        found["Duplicate"] = given["Complete"] - single["Single"]
+        return {c: found[c] for c in STEP_COUNTS}
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([tuple(self.row.values())], ", ".join(f"{c} long" for c in STEP_COUNTS))
+
+
+def _bad_quantity() -> Column:
+    return F.coalesce((F.col("Quantity") <= 0) | (F.col("Quantity") > LARGEST_QUANTITY), F.lit(False))
+
+
 def clean_transactions(df: DataFrame, remove_duplicates: bool = True, handle_outliers: bool = True,
                        first_date=FIRST_DATE, last_date=LAST_DATE,
-                       order: tuple[str, ...] = ("StoreID", "Quantity", "UnitPrice", "LineTotal")) -> DataFrame:
+                       order: tuple[str, ...] = ("StoreID", "Quantity", "UnitPrice", "LineTotal"),
+                       counts: CleaningCounts | None = None) -> DataFrame:
     """All line repairs in their fixed order: keys, duplicates, quantity, price, outliers, totals, dates.
 
-    ``order`` names the columns that decide which of several lines with one key is the first.
+    ``order`` names the columns that decide which of several lines with one key is the first. ``counts`` learns from
+    the run that computes the result what each step dropped or changed.
     """
+    if counts is not None:
+        whole = F.lit(True)
+        for c in LINE_KEY:
+            whole = whole & F.col(c).isNotNull()
+        df = df.observe(counts.given, F.count(F.lit(1)).alias("Lines"), count_if(whole).alias("Complete"))
     out = drop_incomplete(df, LINE_KEY)
     if remove_duplicates:
         out = keep_first(out, LINE_KEY, list(order))
+    if counts is not None:
+        out = out.observe(counts.single, F.count(F.lit(1)).alias("Single"), count_if(_bad_quantity()).alias("BadQuantity"),
+                          count_if(has_bad_price(F.col("UnitPrice"))).alias("BadPrice"))
     out = out.withColumn("Quantity", repaired_quantity(F.col("Quantity")))
     out = out.filter(~has_bad_price(F.col("UnitPrice")))
     if handle_outliers:
-        out = cap_prices(stage(out))  # the price spread and the lines come from one deduplicated copy
-    return repair_totals(out).filter(within_dates(F.col("TransactionDate"), first_date, last_date))
+        out = _with_caps(stage(out))  # the price spread and the lines come from one deduplicated copy
+    else:
+        out = out.withColumn("_capped", F.lit(False))
+    inside = within_dates(F.col("TransactionDate"), first_date, last_date)
+    if counts is not None:
+        out = out.observe(counts.ended, count_if(F.col("_capped")).alias("CappedPrice"), count_if(_off_total()).alias("WrongTotal"),
+                          count_if(~inside).alias("DateOutside"), count_if(inside).alias("Kept"))
+    return repair_totals(out.drop("_capped")).filter(inside)
 
 
 def audit_transactions(df: DataFrame, first_date=FIRST_DATE, last_date=LAST_DATE) -> DataFrame:
@@ -137,10 +184,9 @@ def cleaning_steps(df: DataFrame, first_date=FIRST_DATE, last_date=LAST_DATE,
     """
     complete = drop_incomplete(df, LINE_KEY)
     single = stage(keep_first(complete, LINE_KEY, list(order)))
-    bad_quantity = F.coalesce((F.col("Quantity") <= 0) | (F.col("Quantity") > LARGEST_QUANTITY), F.lit(False))
     before = df.agg(F.count(F.lit(1)).alias("Lines"))
     keyed = complete.agg(F.count(F.lit(1)).alias("_complete"))
-    repaired = single.agg(F.count(F.lit(1)).alias("_single"), count_if(bad_quantity).alias("BadQuantity"),
+    repaired = single.agg(F.count(F.lit(1)).alias("_single"), count_if(_bad_quantity()).alias("BadQuantity"),
                           count_if(has_bad_price(F.col("UnitPrice"))).alias("BadPrice"))
     priced = single.withColumn("Quantity", repaired_quantity(F.col("Quantity"))).filter(~has_bad_price(F.col("UnitPrice")))
     outside = ~within_dates(F.col("TransactionDate"), first_date, last_date)

@@ -24,7 +24,7 @@ def run_etl_pipeline(spark: SparkSession, raw_dir, processed_dir, warehouse_dir,
                      last_date=cleaning.LAST_DATE) -> EtlResult:
     """Validate sources, load, clean, check, merge, and write.
 
-    Cleaned tables are written once and read back, so integrity, quality, merge and the warehouse
+    Cleaned tables are written once and read back (what each cleaning step did is observed in that write), so integrity, quality, merge and the warehouse
     start from compact Parquet and a lost executor never repeats the cleaning.
     """
     readers.validate_data_sources(spark, raw_dir)
@@ -35,8 +35,9 @@ def run_etl_pipeline(spark: SparkSession, raw_dir, processed_dir, warehouse_dir,
         "surveys": cleaning.normalize_dates(raw["surveys"], ["SurveyDate"]),
         "customers": cleaning.normalize_dates(raw["customers"], ["EnrollmentDate", "DateOfBirth"]),
     }
+    counts = cleaning.CleaningCounts()
     cleaned = {
-        "transactions": cleaning.clean_transactions(dated["transactions"], first_date=first_date, last_date=last_date),
+        "transactions": cleaning.clean_transactions(dated["transactions"], first_date=first_date, last_date=last_date, counts=counts),
         "loyalty": cleaning.clean_loyalty_data(dated["loyalty"], flag_suspicious=True),
         "surveys": cleaning.clean_survey_data(dated["surveys"]),
         "customers": dated["customers"],
@@ -62,5 +63,4 @@ def run_etl_pipeline(spark: SparkSession, raw_dir, processed_dir, warehouse_dir,
     written |= sinks.prepare_dimension_tables(tables["customers"], tables["products"], tables["stores"], warehouse_dir)
     sinks.create_date_dimension(spark, first_date, last_date, warehouse_dir)
     written["dim_dates"] = f"{str(warehouse_dir).rstrip('/')}/dimension_tables/dim_dates.parquet"
-    steps = cleaning.cleaning_steps(dated["transactions"], first_date, last_date)
-    return EtlResult(tables, integrity, checks, written, steps)
+    return EtlResult(tables, integrity, checks, written, counts.table(spark))
