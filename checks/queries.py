@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -1066,6 +1068,59 @@ def _(t):
     return prepared.join(labels, "CustomerID").select("CustomerID", (own <= F.least(*far) + 1e-9).alias("AtNearestCentre"))
 
 
+@query("seg_03_rules", "SELECT cast(k AS bigint) AS K, true AS CostFalls, true AS SilhouetteFollows, true AS BestIsHighest FROM range(3, 9) r(k)")
+def _(t):
+    """More centres cost less; the silhouette marked best is the highest, and is what Spark's evaluator finds for the labels of its K."""
+    prepared = seg.prepare_features_for_clustering(seg.select_features_for_clustering(t.features))[0]
+    scores = stage(seg.find_optimal_k_clusters(prepared))
+    best = scores.filter("IsBest").first()
+    labels = seg.perform_kmeans_clustering(prepared, best["K"])[1]
+    columns = [c for c in prepared.columns if c != "CustomerID"]
+    judged = VectorAssembler(inputCols=columns, outputCol="features").transform(prepared.join(labels, "CustomerID"))
+    again = ClusteringEvaluator(predictionCol="Segment", featuresCol="features").evaluate(judged)
+    after = scores.select((F.col("K") - 1).alias("_before"), F.col("WCSS").alias("_next"))
+    falls = F.coalesce(F.col("_next") < F.col("WCSS"), F.col("K") == 8)
+    highest = F.col("IsBest") == (F.col("Silhouette") == F.lit(best["Silhouette"]))
+    follows = ~F.col("IsBest") | (F.abs(F.col("Silhouette") - F.lit(float(again))) < 1e-9)
+    return scores.join(after, scores["K"] == after["_before"], "left").select(
+        "K", falls.alias("CostFalls"), follows.alias("SilhouetteFollows"), (highest & (F.col("Silhouette") <= F.lit(best["Silhouette"]))).alias("BestIsHighest"))
+
+
+@query("seg_04_rules", f"SELECT {I('s')} AS Segment, true AS HasCustomers, true AS CentreIsMean, (SELECT count(*) FROM features)::bigint AS Customers, "
+       "true AS CostFollows FROM range(5) r(s)", "features")
+def _(t):
+    """Five segments that hold every customer once; each centre is its members' mean, and the cost their squared distance from it."""
+    prepared = seg.prepare_features_for_clustering(seg.select_features_for_clustering(t.features))[0]
+    model, labels = seg.perform_kmeans_clustering(prepared)
+    columns = [c for c in prepared.columns if c != "CustomerID"]
+    joined = stage(prepared.join(labels, "CustomerID"))
+    means = joined.groupBy("Segment").agg(F.count(F.lit(1)).alias("n"), F.array(*[F.avg(c) for c in columns]).alias("m"))
+    own = joined.join(means, "Segment").select(sum((F.pow(F.col(c) - F.col("m")[i], 2) for i, c in enumerate(columns)), F.lit(0.0)).alias("d"))
+    cost, customers = own.agg(F.sum("d")).first()[0], joined.count()
+    centres = model.as_table(t.spark).select(F.col("Segment").alias("_of"), "Centre")
+    off = F.aggregate(F.zip_with("m", "Centre", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda held, x: F.greatest(held, x))
+    return centres.join(means, centres["_of"] == means["Segment"], "left").select(
+        F.col("_of").alias("Segment"), (F.col("n") > 0).alias("HasCustomers"), (off < 1e-3).alias("CentreIsMean"), F.lit(customers).cast("long").alias("Customers"),
+        F.lit(abs(cost - model.cost) <= 1e-6 * model.cost).alias("CostFollows"))
+
+
+@query("seg_07_rules", f"""
+  SELECT (SELECT count(*) FROM features)::bigint AS Customers, 100.0::double AS Share, true AS Named, true AS ProfilesAddUp,
+         {D('sum(TotalSpend)')} AS TotalSpend FROM features""", "features")
+def _(t):
+    """The whole job: sizes, shares and mean spends of the segments add up to those of all customers."""
+    found = seg.perform_customer_segmentation(t.features)
+    shares = kpis.segment_distribution(found.labels, found.names)
+    size, spend = F.col("SegmentSize"), F.col("AvgTotalSpend") * F.col("SegmentSize")
+    totals = found.profiles.agg(F.sum(size).alias("n"), F.sum(spend).alias("s"), F.count(F.lit(1)).alias("k")).first()
+    named = found.names.join(found.profiles.select("Segment"), "Segment").filter("SegmentName IS NOT NULL").count()
+    told = {c: t for c, t in shares.dtypes}
+    share = next(c for c in told if "ercent" in c)
+    return shares.agg(F.lit(totals["n"]).cast("long").alias("Customers"), F.round(F.sum(share)).cast("double").alias("Share"),
+                      F.lit(named == totals["k"] == found.n_clusters).alias("Named"), F.lit(totals["n"] == t.features.count()).alias("ProfilesAddUp"),
+                      F.lit(float(totals["s"])).alias("TotalSpend"))
+
+
 @query("seg_07")
 def _(t):
     found = seg.perform_customer_segmentation(t.features)

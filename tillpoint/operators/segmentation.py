@@ -5,8 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
@@ -14,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillpoint.functions.lineage import stage
 from tillpoint.functions.quantiles import quantiles
 from tillpoint.functions.stats import mean, number, numeric_columns
+from tillpoint.operators.kmeans import CentreModel, cheapest, fit_all, silhouettes
 from tillpoint.operators.ml_prep import Scaler, impute_median
 from tillpoint.schemas import SEED
 
@@ -67,43 +66,29 @@ def prepare_features_for_clustering(features: DataFrame, use_pca: bool = False,
 
 
 def _vectors(prepared: DataFrame) -> DataFrame:
-    """The matrix every K-Means run reads: staged once, kept in memory where it fits.
+    """The matrix every scan reads: CustomerID (where there is one), h and features; staged once, kept in memory where it fits.
 
     Rows are placed by CustomerID, so a seed gives the same start, and so the same labels, every time.
     """
     columns = [c for c in prepared.columns if c != "CustomerID"]
     keys = [c for c in prepared.columns if c == "CustomerID"]
-    assembled = VectorAssembler(inputCols=columns, outputCol="features").transform(prepared)
-    narrow = assembled.select(*keys, "features")
+    narrow = prepared.select(*keys, F.xxhash64(*(keys or columns)).alias("h"), F.array(*[number(F.col(c)) for c in columns]).alias("features"))
     if keys:
         narrow = narrow.repartition(*keys).sortWithinPartitions(*keys)
     return stage(narrow).persist()
 
 
-def _best_kmeans(vectors: DataFrame, k: int, seed: int, max_iter: int, n_init: int):
-    """The cheapest of ``n_init`` seeded runs."""
-    best = None
-    for i in range(n_init):
-        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features", predictionCol="Segment").fit(vectors)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
-
-
 def find_optimal_k_clusters(prepared: DataFrame, k_range=range(3, 9), random_state: int = SEED, n_init: int = 10,
                             max_iter: int = 300) -> DataFrame:
     """Inertia and silhouette per K; IsBest marks the best silhouette, the smaller K on a tie.
 
-    The silhouette is the squared-Euclidean one, which is linear in the rows.
+    All starts of all K are fitted together. The silhouette is the squared-Euclidean one, which is linear in the rows.
     """
     vectors = _vectors(prepared)
-    judge = ClusteringEvaluator(predictionCol="Segment", featuresCol="features")
-    rows = []
-    for k in k_range:
-        model = _best_kmeans(vectors, k, random_state, max_iter, n_init)
-        found = sum(1 for size in model.summary.clusterSizes if size > 0)
-        silhouette = judge.evaluate(model.transform(vectors)) if found > 1 else -1.0
-        rows.append((k, float(model.summary.trainingCost), float(silhouette)))
+    sizes = list(k_range)
+    found = fit_all(vectors, [k for k in sizes for _ in range(n_init)], [random_state + i for _ in sizes for i in range(n_init)], max_iter)
+    models = [cheapest(found[i * n_init:(i + 1) * n_init]) for i in range(len(sizes))]
+    rows = [(k, float(m.cost), float(s)) for k, m, s in zip(sizes, models, silhouettes(vectors, models))]
     vectors.unpersist()
     best = max(rows, key=lambda r: (r[2], -r[0]))[0]
     return prepared.sparkSession.createDataFrame(
@@ -112,10 +97,10 @@ def find_optimal_k_clusters(prepared: DataFrame, k_range=range(3, 9), random_sta
 
 def perform_kmeans_clustering(prepared: DataFrame, n_clusters: int = 5, random_state: int = SEED, max_iter: int = 300,
                               n_init: int = 10):
-    """(model, labels by CustomerID)."""
+    """(model, labels by CustomerID): the cheapest of ``n_init`` starts, fitted together."""
     vectors = _vectors(prepared)
-    model = _best_kmeans(vectors, n_clusters, random_state, max_iter, n_init)
-    labels = stage(model.transform(vectors).drop("features"))
+    model = cheapest(fit_all(vectors, [n_clusters] * n_init, [random_state + i for i in range(n_init)], max_iter))
+    labels = stage(model.transform(vectors).drop("features", "h"))
     vectors.unpersist()
     return model, labels
 
@@ -195,7 +180,7 @@ def assign_segment_names(features: DataFrame, labels: DataFrame, spend_unit: int
 
 @dataclass
 class Segmentation:
-    model: Any
+    model: CentreModel
     labels: DataFrame
     profiles: DataFrame
     names: DataFrame
@@ -225,10 +210,9 @@ def perform_customer_segmentation(features: DataFrame, n_clusters: int | None =
 def save_segmentation_results(results: Segmentation, output_path: str) -> None:
     """Model, scaler, PCA, labels, profiles and names under one folder."""
     base = str(output_path).rstrip("/")
-    results.model.write().overwrite().save(f"{base}/kmeans_model")
     if results.pca is not None:
         results.pca.write().overwrite().save(f"{base}/pca")
-    tables = {"scaler": results.scaler.as_table(results.labels.sparkSession), "segment_labels": results.labels,
+    tables = {"kmeans_model": results.model.as_table(results.labels.sparkSession), "scaler": results.scaler.as_table(results.labels.sparkSession), "segment_labels": results.labels,
               "segment_profiles": results.profiles, "segment_names": results.names}
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{base}/{name}.parquet")
