@@ -1,8 +1,9 @@
 """Many K-Means models fitted together: every scan of the matrix serves all starts of all K.
 
-A start is k-means++: its next centre is a row drawn with weight D², the squared distance to its centres so far. Every row runs
-an exponential race, -log(u) / D², with u from a hash of its id, the seed and the step; the least time wins. Races of all
-models are one scan, as are the sums and counts of a Lloyd step for all models that still move. A model stops when no
+A start is k-means++: a row, or for every second seed a few rows, are drawn with weight D², the squared distance to the centres
+so far, and the one that lowers the cost most is the next centre. Every row runs an exponential race, -log(u) / D², with u from a hash of its id, the
+seed and the step; the least time wins. Races of all models are one scan, as are the costs with what was drawn, and the sums
+and counts of a Lloyd step for all models that still move. A model stops when no
 centre moves more than ``tolerance`` or after ``max_iter`` steps. The driver holds centres only (models x K x features).
 """
 
@@ -89,43 +90,89 @@ def uniform(hashes: np.ndarray, seed: int, step: int) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0 ** 53
 
 
+def tries(k: int, seed: int) -> int:
+    """Rows drawn for each centre of a start of ``k``, of which the one that lowers the cost most is taken: one for even seeds, so starts differ."""
+    return 2 + int(np.log(k)) if seed % 2 else 1
+
+
 def first_centres(vectors: DataFrame, sizes: list[int], seeds: list[int]) -> list[np.ndarray]:
-    """k-means++ starts for models of ``sizes`` centres, one scan for each step; fewer where rows repeat."""
+    """k-means++ starts for models of ``sizes`` centres, two scans for each step; fewer centres where rows repeat."""
     models: list[list[np.ndarray]] = [[] for _ in sizes]
     for step in range(max(sizes)):
         waiting = [i for i, k in enumerate(sizes) if k > step and len(models[i]) == step]
         if not waiting:
             break
-        so_far = [np.asarray(models[i]) for i in waiting]
-
-        def race() -> Work:
-            least: dict[int, tuple[float, int, list]] = {}
-
-            def work(hashes: np.ndarray, m: np.ndarray) -> None:
-                for at in _pieces(m, step or 1):
-                    for i, centres in zip(waiting, so_far):
-                        d = distances(m[at], centres).min(axis=1) if step else np.ones(len(m[at]))
-                        scale = (m[at] * m[at]).sum(axis=1)
-                        with np.errstate(divide="ignore"):  # rows on a centre (but for rounding) never win
-                            time = np.where(d > 1e-12 * (1 + scale), -np.log(uniform(hashes[at], seeds[i], step)) / d, np.inf)
+        drawn = _drawn(vectors, {i: np.asarray(models[i]) for i in waiting}, sizes, seeds, step)
+        if not drawn:
+            break
+        if step == 0:
+            chosen = {i: c[0] for i, c in drawn.items()}
+        else:
+            left = _costs_with(vectors, {i: np.asarray(models[i]) for i in drawn}, drawn)
+            chosen = {i: c[int(np.argmin(left[i]))] for i, c in drawn.items()}
+        for i, x in chosen.items():
+            models[i].append(x)
+    return [np.asarray(of) for of in models]
+
+
+def _drawn(vectors: DataFrame, so_far: dict[int, np.ndarray], sizes: list[int], seeds: list[int], step: int) -> dict[int, list[np.ndarray]]:
+    """For each model the rows that win its races."""
+
+    def race() -> Work:
+        least: dict[tuple[int, int], tuple[float, int, list]] = {}
+
+        def work(hashes: np.ndarray, m: np.ndarray) -> None:
+            for at in _pieces(m, step or 1):
+                scale = (m[at] * m[at]).sum(axis=1)
+                for i, centres in so_far.items():
+                    d = distances(m[at], centres).min(axis=1) if step else np.ones(len(m[at]))
+                    away = d > 1e-12 * (1 + scale)  # rows on a centre (but for rounding) never win
+                    for n in range(tries(sizes[i], seeds[i]) if step else 1):
+                        u = uniform(hashes[at], seeds[i], step * 100 + n)
+                        time = np.where(away, -np.log(u) / np.where(away, d, 1.0), np.inf)
                         j = int(time.argmin())
                         if np.isfinite(time[j]):
                             mine = float(time[j]), int(hashes[at][j]), m[at][j].tolist()
-                            least[i] = min(least.get(i, mine), mine)
+                            least[i, n] = min(least.get((i, n), mine), mine)
 
-            def done() -> pa.RecordBatch | None:
-                if not least:
-                    return None
-                rows = [(i, *x) for i, x in sorted(least.items())]
-                kinds = (pa.int32(), pa.float64(), pa.int64(), pa.list_(pa.float64()))
-                return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["model", "time", "h", "x"])
+        def done() -> pa.RecordBatch | None:
+            if not least:
+                return None
+            rows = [(*key, *x) for key, x in sorted(least.items())]
+            kinds = (pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.list_(pa.float64()))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["model", "try", "time", "h", "x"])
 
-            return work, done
+        return work, done
 
-        won = _scan(vectors, race, "model int, time double, h long, x array<double>")
-        for r in won.groupBy("model").agg(F.min_by("x", F.struct("time", "h")).alias("x")).collect():  # one row a model
-            models[r["model"]].append(np.asarray(r["x"]))
-    return [np.asarray(of) for of in models]
+    won = _scan(vectors, race, "model int, try int, time double, h long, x array<double>")
+    out: dict[int, list[np.ndarray]] = {}
+    for r in won.groupBy("model", "try").agg(F.min_by("x", F.struct("time", "h")).alias("x")).orderBy("model", "try").collect():  # a few a model
+        out.setdefault(r["model"], []).append(np.asarray(r["x"]))
+    return out
+
+
+def _costs_with(vectors: DataFrame, so_far: dict[int, np.ndarray], drawn: dict[int, list[np.ndarray]]) -> dict[int, np.ndarray]:
+    """Each model's cost with each of the rows drawn for it as one more centre."""
+    together = np.asarray([x for of in drawn.values() for x in of])
+    ends = np.cumsum([0, *(len(of) for of in drawn.values())])
+
+    def measure() -> Work:
+        cost = np.zeros(len(together))
+
+        def work(_, m: np.ndarray) -> None:
+            for at in _pieces(m, len(together)):
+                new = distances(m[at], together)
+                for i, low, high in zip(drawn, ends, ends[1:]):
+                    now = distances(m[at], so_far[i]).min(axis=1)
+                    cost[low:high] += np.minimum(new[:, low:high], now[:, None]).sum(axis=0)
+
+        return work, lambda: pa.RecordBatch.from_arrays([pa.array(np.arange(len(together))), pa.array(cost)], ["c", "cost"])
+
+    told = _scan(vectors, measure, "c long, cost double").groupBy("c").agg(F.sum("cost").alias("cost")).collect()
+    cost = np.zeros(len(together))
+    for r in told:
+        cost[r["c"]] = r["cost"]
+    return {i: cost[low:high] for i, low, high in zip(drawn, ends, ends[1:])}
 
 
 def lloyd_sums(vectors: DataFrame, models: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, float]]:
