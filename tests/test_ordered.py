@@ -107,3 +107,45 @@ def test_quantiles_keep_every_group(spark):
         got = {r["g"]: (r["a"], r["b"]) for r in quantiles(df, ["g"], ["a", "b"], 0.5, limit).collect()}
         assert got == {1: (2.0, None), 2: (None, 5.0), None: (7.0, 1.0), 3: (None, None)}
     assert quantiles(df.filter("false"), [], ["a"]).first()["a"] is None
+
+
+@pytest.mark.parametrize("shape", ["spread", "hot", "steps", "tiny"])
+def test_bracketed_quantiles_equal_the_sorted_values(spark, monkeypatch, shape):
+    """Groups of many sizes, hot values at and beside the wanted rank; a crude sketch, and one that misses, too."""
+    pick = random.Random(8)
+    draw = {"spread": lambda i: pick.gauss(0, 1), "hot": lambda i: 5.0 if i % 3 else pick.random() * 10, "steps": lambda i: float(i % 4),
+            "tiny": lambda i: float(i)}[shape]
+    n = 12 if shape == "tiny" else 4000
+    data = [(None if i % 11 == 0 else i % 3, draw(i), None if i % 5 else draw(i)) for i in range(n)] + [(9, None, float("nan"))]
+    df = spark.createDataFrame(data, "g int, a double, b double").repartition(4)
+    have = {}
+    for g, a, b in data:
+        for c, v in (("a", a), ("b", b)):
+            have.setdefault((g, c), []).extend([] if v is None or v != v else [v])
+
+    def by_hand(values, p):
+        if not values:
+            return None
+        values, at = sorted(values), (len(values) - 1) * p
+        low, high = values[int(at)], values[-int(-at // 1)]
+        return low + (high - low) * (at - int(at))
+
+    def check(*probabilities):
+        for p in probabilities:
+            rows = quantiles(df, ["g"], ["a", "b"], p).collect()
+            assert sorted(str(r["g"]) for r in rows) == sorted({str(g) for g, _ in have})
+            for r in rows:
+                for c in "ab":
+                    assert r[c] == (None if not have[r["g"], c] else pytest.approx(by_hand(have[r["g"], c], p), abs=1e-12))
+            whole = quantiles(df, [], ["b", "a"], p).first()
+            for c in "ab":
+                assert whole[c] == pytest.approx(by_hand([v for (g, k), vs in have.items() if k == c for v in vs], p), abs=1e-12)
+
+    check(0.0, 0.5, 0.99)
+    if shape in ("spread", "hot"):
+        from tillpoint.functions import quantiles as module
+
+        wrong = lambda narrow, groups, columns, p: narrow.groupBy(*groups).agg(
+            *[F.array(F.max(c), F.max(c)).alias(f"_e{i}") for i, c in enumerate(columns)])
+        monkeypatch.setattr(module, "brackets", wrong)
+        check(0.5)

@@ -36,3 +36,10 @@ def stage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a table written and read back within one job."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back: its size is known, so a join can tell whether it is small."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
