@@ -149,6 +149,17 @@ class Ordered:
         return reduce(DataFrame.unionByName, parts)
 
 
+def ranks(df: DataFrame, key: str, metrics: dict[str, Column], size: int, limit: int | None = None) -> DataFrame:
+    """``key`` and, for each metric, the row's position when all ``size`` rows are sorted by it; the key decides ties.
+
+    The metrics (whole numbers or decimals) are ranked in one scan over narrow rows, one for each key and metric.
+    """
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("_metric"), c.cast("decimal(38,6)").alias("_value")) for i, c in enumerate(metrics.values())]))
+    long = df.select(key, each.alias("_e")).select(key, "_e.*")
+    ranked = Ordered.of(long, ["_metric"], ["_value", key], measure=size, limit=limit).position("_rank").result()
+    return ranked.groupBy(key).agg(*[F.max(F.when(F.col("_metric") == i, F.col("_rank"))).alias(n) for i, n in enumerate(metrics)])
+
+
 def quintile(position: Column, size) -> Column:
     """Bucket 1..5 of a 1-based rank by linear quantile cuts, as ``qcut`` does over first-ranks."""
     n = F.lit(size).cast("bigint") if isinstance(size, int) else size

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillpoint.functions.lineage import stage
-from tillpoint.functions.ordered import Ordered, quintile
+from tillpoint.functions.ordered import quintile, ranks
 from tillpoint.functions.stats import as_of, count_if, days_between, mean, number, numeric_columns, ratio, zero_filled
 from tillpoint.operators.loyalty import RECORD_ORDER, tier_code, with_previous_tier
 from tillpoint.operators.merge import newest
@@ -98,17 +98,15 @@ def _with_life(df: DataFrame, ref: Column) -> DataFrame:
 def with_rfm_scores(df: DataFrame, size: int, limit: int | None = None) -> DataFrame:
     """Quintile scores by first-rank; CustomerID decides ties.
 
-    Only the three metrics are ranked; the scores join back by customer, so wide rows are never
-    sorted as a whole table. ``df`` should be staged: it is read twice.
+    The three metrics are ranked in one scan; the scores join back by customer, so wide rows are never sorted as a
+    whole table. ``df`` should be staged: it is read twice.
     """
-    metrics = {"Recency": "RecencyScore", "Frequency": "FrequencyScore", "TotalSpend": "MonetaryScore"}
-    scores = df.select("CustomerID", *metrics)
-    for metric, score in metrics.items():
-        ranked = Ordered.of(scores, [], [metric, "CustomerID"], limit=limit).position("_rank").result()
-        bucket = quintile(F.col("_rank"), size)
-        scores = ranked.withColumn(score, 6 - bucket if metric == "Recency" else bucket).drop("_rank")
+    metrics = {"RecencyScore": F.col("Recency"), "FrequencyScore": F.col("Frequency"), "MonetaryScore": F.col("TotalSpend")}
+    placed = ranks(df, "CustomerID", metrics, size, limit)
+    scores = placed.select("CustomerID", (6 - quintile(F.col("RecencyScore"), size)).alias("RecencyScore"),
+                           *[quintile(F.col(c), size).alias(c) for c in ("FrequencyScore", "MonetaryScore")])
     combined = combined_score(F.col("RecencyScore"), F.col("FrequencyScore"), F.col("MonetaryScore")).alias("RFMScore")
-    return df.join(scores.select("CustomerID", *metrics.values(), combined), "CustomerID")
+    return df.join(scores.select("*", combined), "CustomerID")
 
 
 def calculate_rfm_features(transactions: DataFrame, reference_date=None, limit: int | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillpoint.functions.lineage import stage
-from tillpoint.functions.ordered import Ordered, ntile
+from tillpoint.functions.ordered import ntile, ranks
 from tillpoint.functions.stats import as_of, days_between, mean, ratio
 
 
@@ -56,12 +56,11 @@ def rfm_scores(transactions: DataFrame, reference_date=None, limit: int | None =
     """NTILE(5) scores over all customers; CustomerID decides ties."""
     base = stage(rfm_base(transactions, reference_date).drop("LastPurchaseDate"))
     size = base.count()
-    scored = base.withColumn("_late", -F.col("Recency"))
-    for metric, score in (("_late", "RecencyScore"), ("Frequency", "FrequencyScore"), ("Monetary", "MonetaryScore")):
-        ranked = Ordered.of(scored, [], [metric, "CustomerID"], limit=limit).position("_rank").result()
-        scored = ranked.withColumn(score, ntile(F.col("_rank"), size)).drop("_rank")
-    return scored.drop("_late").withColumn(
-        "RFMScore", combined_score(F.col("RecencyScore"), F.col("FrequencyScore"), F.col("MonetaryScore")))
+    metrics = {"RecencyScore": -F.col("Recency"), "FrequencyScore": F.col("Frequency"), "MonetaryScore": F.col("Monetary")}
+    placed = ranks(base, "CustomerID", metrics, size, limit)
+    scores = placed.select(F.col("CustomerID").alias("_of"), *[ntile(F.col(c), size).alias(c) for c in metrics])
+    combined = combined_score(*[F.col(c) for c in metrics]).alias("RFMScore")
+    return base.join(scores, F.col("CustomerID").eqNullSafe(F.col("_of"))).select(*base.columns, *metrics, combined)
 
 
 # Customer segments, first match wins (R days, F distinct days, M spend).
