@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -11,14 +12,15 @@ from pyspark.sql import types as T
 
 from checks.ctes import D, DATES, FEATURES, I, MEAN, REAL, TABLES, WHOLE, typed, with_tables
 from checks.mapping import CLEAN_ORDER, FIRST_DATE, LAST_DATE, LINE_ORDER, Tables
+from checks.plans import exchanges
 from tillpoint.functions.lineage import scratch_path, stage
 from tillpoint.functions.quantiles import quantiles
 from tillpoint.operators import (
     baskets, churn, cleaning, customer_features as cf, explanations, kpis, loyalty as loy, merge, ml_prep, product_features as pf,
-    quality, reports, segmentation as seg,
+    quality, reports, segmentation as seg, sessions,
 )
 from tillpoint.plans import analysis, etl
-from tillpoint.sources import readers, sinks
+from tillpoint.sources import clustered, readers, sinks
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -174,6 +176,21 @@ def _(t):
     return out
 
 
+@query("snk_04_clustered", f"""
+  SELECT {I('CustomerID')} AS CustomerID, count(*) AS Lines, {D('sum(LineTotal)')} AS Spend, {I('max(last)')} AS PointsBalance,
+         0::bigint AS Exchanges
+  FROM (SELECT tx.CustomerID, LineTotal, NULL AS last FROM tx
+        UNION ALL SELECT CustomerID, NULL, arg_max(PointsBalance, LoyaltyRecordID) FROM loyalty GROUP BY CustomerID)
+  GROUP BY CustomerID HAVING count(LineTotal) > 0""".replace("count(*) AS Lines", "count(LineTotal) AS Lines"), "tx", "loyalty")
+def _(t):
+    """Sales and ledger of every customer, joined from facts clustered by customer: no fact is shuffled."""
+    names = clustered.cluster_facts(t.tx, t.loyalty, t.surveys, f"shop_{uuid.uuid4().hex[:12]}", scratch_path(t.spark, "clustered"))
+    sales = t.spark.table(names["fact_transactions"]).groupBy("CustomerID").agg(F.count(F.lit(1)).alias("Lines"), F.sum("LineTotal").alias("Spend"))
+    newest = t.spark.table(names["fact_loyalty_points"]).groupBy("CustomerID").agg(F.max_by("PointsBalance", "LoyaltyRecordID").alias("PointsBalance"))
+    joined = sales.hint("merge").join(newest, "CustomerID")
+    return joined.withColumn("Exchanges", F.lit(exchanges(joined)))
+
+
 @query("snk_05", " UNION ALL ".join(f"SELECT 'dim_{n}' AS TableName, count(*) AS Rows FROM {n}" for n in ("customers", "products", "stores")),
        "customers", "products", "stores")
 def _(t):
@@ -352,6 +369,26 @@ def _(t):
     return counts.table(t.spark)
 
 
+_keyed = {"dim_customers": "customers", "dim_products": "products", "dim_stores": "stores", "fact_transactions": "dirty_tx",
+          "fact_loyalty_points": "dirty_loyalty", "fact_surveys": "dirty_surveys"}
+
+
+def _key_sql(name: str, source: str) -> str:
+    keys = quality.PRIMARY_KEYS[name]
+    whole = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    return (f"SELECT '{name}' AS TableName, {I('sum(n)')} AS Rows, {I(f'coalesce(sum(n) FILTER (NOT ({whole})), 0)')} AS IncompleteKeys, "
+            f"count(*) FILTER ({whole} AND n > 1) AS RepeatedKeys, {I(f'coalesce(sum(n - 1) FILTER ({whole}), 0)')} AS ExtraRows, "
+            f"count(*) FILTER (NOT ({whole}) OR n > 1) = 0 AS Passed FROM (SELECT {', '.join(keys)}, count(*) AS n FROM {source} GROUP BY ALL)")
+
+
+@query("ddl_keys", " UNION ALL ".join(_key_sql(n, s) for n, s in _keyed.items()), *_keyed.values())
+def _(t):
+    """Primary keys of the warehouse tables, on the faulty lines, records and surveys."""
+    frames = {"dim_customers": t.customers, "dim_products": t.products, "dim_stores": t.stores, "fact_transactions": t.dirty_tx,
+              "fact_loyalty_points": t.dirty_loyalty, "fact_surveys": t.dirty_surveys}
+    return quality.validate_primary_keys(frames)
+
+
 # --- joins -----------------------------------------------------------------------------------
 
 @query("j_01", f"""
@@ -562,6 +599,28 @@ def _(t):
     return _stored(t, reports.daily_summary(t.tx), "agg_daily_transactions")
 
 
+@query("ctas_01_refreshed", _daily, "tx")
+def _(t):
+    """Built without the sales that come late, then refreshed for their months: the same table."""
+    late = F.pmod(F.col("TransactionID"), F.lit(50)) == 3
+    newest = F.col("TransactionDate") >= F.add_months(F.lit(t.ref), -2)
+    path, month = scratch_path(t.spark, "agg_daily"), clustered.month_of(F.col("TransactionDate"))
+    clustered.build_by_month(t.tx.filter(~(late & newest)), reports.daily_summary, month, path)
+    days = [r[0] for r in t.tx.filter(late & newest).select("TransactionDate").distinct().collect()]  # days of two months
+    return clustered.refresh_months(t.tx, reports.daily_summary, month, path, days)
+
+
+@query("ctas_04_refreshed", _monthly_loyalty, "loyalty")
+def _(t):
+    late = F.pmod(F.col("TransactionID"), F.lit(50)) == 3
+    newest = F.col("TransactionDate") >= F.add_months(F.lit(t.ref), -2)
+    path = scratch_path(t.spark, "agg_monthly")
+    month = F.concat_ws("-", F.col("Year"), F.lpad(F.col("Month").cast("string"), 2, "0"))
+    clustered.build_by_month(t.loyalty.filter(~(late & newest)), loy.monthly_loyalty_summary, month, path)
+    days = [r[0] for r in t.loyalty.filter(late & newest).select("TransactionDate").distinct().collect()]
+    return clustered.refresh_months(t.loyalty, loy.monthly_loyalty_summary, month, path, days)
+
+
 @query("ctas_02", _segments, "rfm")
 def _(t):
     return _stored(t, reports.customer_segments(t.tx, t.ref, 100), "agg_customer_segments")
@@ -643,6 +702,28 @@ def _(t):
     return cf.calculate_engagement_features(t.tx, t.products)
 
 
+_sessions = f"""
+  (SELECT CustomerID, min(d) AS SessionStart, max(d) AS SessionEnd, count(*) AS ActiveDays, sum(n) AS Lines, sum(u) AS Units, sum(s) AS Spend
+   FROM (SELECT *, sum(fresh) OVER (PARTITION BY CustomerID ORDER BY d) AS island
+         FROM (SELECT *, CASE WHEN d - lag(d) OVER (PARTITION BY CustomerID ORDER BY d) <= {sessions.GAP_DAYS} THEN 0 ELSE 1 END AS fresh
+               FROM (SELECT CustomerID, TransactionDate AS d, count(*) AS n, sum(Quantity) AS u, sum(LineTotal) AS s FROM tx GROUP BY 1, 2)))
+   GROUP BY CustomerID, island)"""
+
+
+@query("fea_04_sessions", f"SELECT {I('CustomerID')} AS CustomerID, SessionStart, SessionEnd, ActiveDays, {I('Lines')} AS Lines, {I('Units')} AS Units, "
+       f"{D('Spend')} AS Spend FROM {_sessions}", "tx")
+def _(t):
+    return sessions.purchase_sessions(t.tx)
+
+
+@query("fea_04_session_features", f"""
+  SELECT {I('CustomerID')} AS CustomerID, count(*) AS Sessions, {D(MEAN('Spend'))} AS AvgSessionSpend,
+         {I("max(datediff('day', SessionStart, SessionEnd) + 1)")} AS LongestSessionDays, {D(MEAN('ActiveDays'))} AS AvgActiveDays,
+         min(SessionStart) AS FirstSession, max(SessionStart) AS LastSession FROM {_sessions} GROUP BY CustomerID""", "tx")
+def _(t):
+    return sessions.calculate_session_features(t.tx)
+
+
 @query("fea_05", _features_sql("f_trend", cf.TREND_COLUMNS), "f_trend")
 def _(t):
     return cf.calculate_behavioral_features(t.tx, t.ref)
@@ -1240,6 +1321,33 @@ def _(t):
     return explained.join(sums, explained["CustomerID"] == sums["_id"]).select("CustomerID", "Feature", "FeatureValue", "AddsUp", "MatchesScore")
 
 
+@query("snk_07_loaded", f"SELECT {I('CustomerID')} AS CustomerID, true AS SameSegment, true AS SameName FROM features", "features")
+def _(t):
+    """Every customer gets the same segment from the segmentation read back from its files."""
+    found = seg.perform_customer_segmentation(t.features, 5)
+    path = scratch_path(t.spark, "segmentation")
+    seg.save_segmentation_results(found, path)
+    again = seg.load_segmentation(t.spark, path).assign(t.features)
+    first = found.labels.join(found.names, "Segment").select(F.col("CustomerID").alias("_id"), F.col("Segment").alias("_s"), F.col("SegmentName").alias("_n"))
+    return again.join(first, again["CustomerID"] == first["_id"], "left").select(
+        "CustomerID", F.col("Segment").eqNullSafe(F.col("_s")).alias("SameSegment"), F.col("SegmentName").eqNullSafe(F.col("_n")).alias("SameName"))
+
+
+@query("snk_08_loaded", f"SELECT {I('CustomerID')} AS CustomerID, true AS SameScore, true AS SameRisk FROM features", "features")
+def _(t):
+    """Every customer gets the same churn risk from the model read back from its files."""
+    model = churn.train_churn_model(_whole_training_frame(t))
+    found = churn.ChurnResults(model, *[churn.calculate_feature_importance(model, t.spark)] * 3, None, churn.predict_churn_risk(model, t.features),
+                               t.spark.range(0).toDF("CustomerID"))
+    path = scratch_path(t.spark, "churn")
+    churn.save_churn_model(found, path)
+    first = t.spark.read.parquet(f"{path}/churn_predictions.parquet").toDF("_id", "_p", "_c", "_r")
+    again = churn.predict_churn_risk(churn.load_churn_model(path), t.features)
+    return again.join(first, again["CustomerID"] == first["_id"], "left").select(
+        "CustomerID", F.col("ChurnProbability").eqNullSafe(F.col("_p")).alias("SameScore"),
+        (F.col("ChurnPrediction").eqNullSafe(F.col("_c")) & F.col("RiskLevel").eqNullSafe(F.col("_r"))).alias("SameRisk"))
+
+
 @query("chn_09", mapped("predictions", "CustomerID:i", "ChurnProbability:d", "ChurnPrediction:i", "RiskLevel"), "predictions")
 def _(t):
     return _predictions(t)

@@ -318,3 +318,8 @@ def save_churn_model(results: ChurnResults, output_path: str) -> None:
         tables["customer_explanations"] = results.contributions
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{base}/{name}.parquet")
+
+
+def load_churn_model(path: str) -> PipelineModel:
+    """The model that ``save_churn_model`` wrote; ``predict_churn_risk`` and ``explain_customers`` take it."""
+    return PipelineModel.load(f"{str(path).rstrip('/')}/churn_model")

@@ -83,7 +83,7 @@ def distances(m: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 def uniform(hashes: np.ndarray, seed: int, step: int) -> np.ndarray:
     """A number in (0, 1) for each row, seed and step."""
-    x = hashes.view(np.uint64) + np.uint64((seed * 1_000_003 + step * 7_919 + 1) % 2 ** 32) * np.uint64(0x9E3779B97F4A7C15)
+    x = hashes.view(np.uint64) + np.uint64((seed * 1_000_003 + step * 7_919 + 1) * 0x9E3779B97F4A7C15 % 2 ** 64)
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):  # the finaliser of splitmix64; fixed values
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
     x ^= x >> np.uint64(31)

@@ -107,8 +107,13 @@ class Scaler:
         return df.select(*[scaled(c).alias(c) if c in self.columns else F.col(c) for c in df.columns])
 
     def as_table(self, spark) -> DataFrame:
-        rows = [(c, self.means[c], self.deviations[c]) for c in self.columns]
-        return spark.createDataFrame(rows, "Feature string, Mean double, Deviation double")
+        rows = [(c, self.means[c], self.deviations[c], i) for i, c in enumerate(self.columns)]
+        return spark.createDataFrame(rows, "Feature string, Mean double, Deviation double, Place int")
+
+    @classmethod
+    def from_table(cls, table: DataFrame) -> "Scaler":
+        rows = table.orderBy("Place").collect()  # one row for each feature
+        return cls([r["Feature"] for r in rows], {r["Feature"]: r["Mean"] for r in rows}, {r["Feature"]: r["Deviation"] for r in rows})
 
 
 def scale_features(df: DataFrame, exclude_columns: list[str] | None = None, scaler: Scaler | None = None):

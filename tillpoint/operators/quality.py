@@ -79,3 +79,37 @@ def survey_score_rules() -> dict[str, Column]:
         "SatisfactionScore": F.col("SatisfactionScore").between(1, 5),
         "NPSScore": F.col("NPSScore").between(0, 10),
     }
+
+
+# The primary keys of the warehouse tables.
+PRIMARY_KEYS = {
+    "dim_customers": ["CustomerID"], "dim_products": ["ProductID"], "dim_stores": ["StoreID"], "dim_dates": ["DateKey"],
+    "fact_transactions": ["TransactionID", "CustomerID", "ProductID", "TransactionDate"],
+    "fact_loyalty_points": ["LoyaltyRecordID"], "fact_surveys": ["SurveyID"],
+}
+
+
+def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with an incomplete key, keys that several rows share and the rows too many, as one row.
+
+    Rows are counted per key, so copies of a key combine in each task before anything is shuffled.
+    """
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    return per_key.agg(
+        zero(F.sum("_n")).alias("Rows"), zero(F.sum(F.when(~complete, F.col("_n")))).alias("IncompleteKeys"),
+        count_if(complete & (F.col("_n") > 1)).alias("RepeatedKeys"),
+        zero(F.sum(F.when(complete, F.col("_n") - 1))).alias("ExtraRows"))
+
+
+def validate_primary_keys(tables: dict[str, DataFrame], keys: dict[str, list[str]] | None = None) -> DataFrame:
+    """One row per table: TableName, Rows, IncompleteKeys, RepeatedKeys, ExtraRows and Passed."""
+    known = PRIMARY_KEYS if keys is None else keys
+    rows = [key_violations(df, known[name]).select(F.lit(name).alias("TableName"), "*") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, rows).withColumn("Passed", (F.col("IncompleteKeys") == 0) & (F.col("RepeatedKeys") == 0))
+
+
+def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys that several rows share, with how many."""
+    return df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("Rows")).filter("Rows > 1")

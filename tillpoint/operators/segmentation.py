@@ -5,9 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillpoint.functions.lineage import stage
 from tillpoint.functions.quantiles import quantiles
@@ -60,9 +60,14 @@ def prepare_features_for_clustering(features: DataFrame, use_pca: bool = False,
         kept, explained = kept + 1, explained + float(share)
         if explained > pca_variance:
             break
+    return _reduced(scaled, columns, model, kept), scaler, model
+
+
+def _reduced(scaled: DataFrame, columns: list[str], model: PCAModel, kept: int) -> DataFrame:
+    """CustomerID and the first ``kept`` components."""
+    assembled = VectorAssembler(inputCols=columns, outputCol="_v").transform(scaled)
     parts = vector_to_array(F.col("_pc"))
-    reduced = model.transform(assembled).select("CustomerID", *[parts[i].alias(f"PC{i + 1}") for i in range(kept)])
-    return reduced, scaler, model
+    return model.transform(assembled).select("CustomerID", *[parts[i].alias(f"PC{i + 1}") for i in range(kept)])
 
 
 def _vectors(prepared: DataFrame) -> DataFrame:
@@ -216,3 +221,33 @@ def save_segmentation_results(results: Segmentation, output_path: str) -> None:
               "segment_profiles": results.profiles, "segment_names": results.names}
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{base}/{name}.parquet")
+
+
+@dataclass
+class SavedSegmentation:
+    """What ``save_segmentation_results`` wrote, ready to label customers."""
+
+    model: CentreModel
+    scaler: Scaler
+    pca: PCAModel | None
+    names: DataFrame
+
+    def assign(self, features: DataFrame) -> DataFrame:
+        """(CustomerID, Segment, SegmentName) of customers with the columns the segmentation was fitted on."""
+        columns = self.scaler.columns
+        scaled = self.scaler.transform(impute_median(features.select("CustomerID", *columns), columns))
+        if self.pca is not None:
+            scaled = _reduced(scaled, columns, self.pca, len(self.model.centres[0]))
+        measured = [c for c in scaled.columns if c != "CustomerID"]
+        labels = scaled.select("CustomerID", self.model.segment(F.array(*[number(F.col(c)) for c in measured])).alias("Segment"))
+        return labels.join(self.names.select(F.col("Segment").alias("_of"), "SegmentName"), F.col("Segment") == F.col("_of"), "left").drop("_of")
+
+
+def load_segmentation(spark: SparkSession, path: str, pca: bool | None = None) -> SavedSegmentation:
+    """Read back centres, scaler, components (where there are any) and names."""
+    base = str(path).rstrip("/")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/pca")
+    there = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder) if pca is None else pca
+    return SavedSegmentation(
+        CentreModel.from_table(spark.read.parquet(f"{base}/kmeans_model.parquet")), Scaler.from_table(spark.read.parquet(f"{base}/scaler.parquet")),
+        PCAModel.load(f"{base}/pca") if there else None, spark.read.parquet(f"{base}/segment_names.parquet"))
