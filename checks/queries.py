@@ -21,6 +21,7 @@ from tillpoint.operators import (
 )
 from tillpoint.plans import analysis, etl
 from tillpoint.sources import clustered, readers, sinks
+from tillpoint.streaming import ledger, windows
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -850,6 +851,43 @@ def _(t):
     return t.ledger(True)
 
 
+def _arriving(t: Tables, columns: list[str], parts: int = 4):
+    """The sales as a stream of files that arrive in the order of their dates, ``parts`` spans of the calendar, two files each."""
+    folder, sales = scratch_path(t.spark, "arriving"), t.tx.select(*columns)
+    span = t.tx.agg(F.min("TransactionDate").alias("a"), F.max("TransactionDate").alias("b")).first()
+    days = (span["b"] - span["a"]).days + 1
+    part = F.floor(F.datediff("TransactionDate", F.lit(span["a"])) * parts / days)
+    for i in range(parts):
+        sales.filter(part == i).repartition(2, "CustomerID").write.mode("append").parquet(folder)
+    return t.spark.readStream.schema(sales.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+
+
+@query("re_01_stream", f"""
+  SELECT {I('LoyaltyRecordID')} AS LoyaltyRecordID, {I('CustomerID')} AS CustomerID, {I('TransactionID')} AS TransactionID, TransactionDate,
+         PointsEarned, PointsRedeemed, {I('PointsBalance')} AS PointsBalance, Tier, {D('PointsPerDollar')} AS PointsPerDollar,
+         {D('CumulativeSpend')} AS CumulativeSpend FROM loyalty""", "loyalty")
+def _(t):
+    """The ledger of sales that arrive in several batches, from the state store."""
+    stream = _arriving(t, [*LINE_ORDER, "CustomerID", "ReturnFlag"])
+    path = scratch_path(t.spark, "ledger")
+    redeemed = F.when(F.col("ReturnFlag") == "R", 500).otherwise(0)
+    ledger.start_points_ledger(stream, path, scratch_path(t.spark, "ledger-state"), LINE_ORDER, redeemed, t.points).awaitTermination()
+    return t.spark.read.parquet(path)
+
+
+@query("flt_01_stream", f"""
+  SELECT {I('CustomerID')} AS CustomerID, DATE '1970-01-01' + w * 30 AS WindowStart, DATE '1970-01-01' + w * 30 + 60 AS WindowEnd, count(*) AS Lines,
+         {D('sum(LineTotal)')} AS Spend
+  FROM (SELECT *, unnest([d // 30, d // 30 - 1]) AS w FROM (SELECT *, cast(TransactionDate - DATE '1970-01-01' AS integer) AS d FROM tx))
+  WHERE DATE '1970-01-01' + w * 30 + 60 <= (SELECT ref FROM refd) - 7 GROUP BY CustomerID, w""", "tx", "refd")
+def _(t):
+    """Sliding windows of 60 days on event time: those that the watermark has closed."""
+    path = scratch_path(t.spark, "sliding")
+    stream = _arriving(t, ["CustomerID", "TransactionDate", "LineTotal"])
+    windows.start_sliding_sales(stream, path, scratch_path(t.spark, "sliding-state"), length_days=60, slide_days=30).awaitTermination()
+    return t.spark.read.parquet(path)
+
+
 @query("re_04", f"""
   SELECT {I('TransactionID')} AS TransactionID, {I('ProductID')} AS ProductID, {I('LineNumber')} AS LineNumber, {I('q')} AS Quantity,
          {D('CASE WHEN lifted THEN cast(round(UnitPrice * q, 2) AS decimal(18,2)) ELSE LineTotal END')} AS LineTotal
