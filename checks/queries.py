@@ -1128,6 +1128,33 @@ def _(t):
     return ml_prep.prepare_features_for_ml(t.features, target_column="TierNumeric")["features"]
 
 
+_matrix_features = [n for n, (_, kind) in FEATURES.items() if kind in (WHOLE, REAL)]
+
+
+def _uncorrelated_sql(names: list[str]) -> str:
+    """The features whose correlation with no earlier one is beyond 0.95 either way; tier is the target."""
+    def kept(i: int) -> str:
+        far = " OR ".join([f"coalesce(abs(CASE WHEN stddev_pop({a}) > 0 AND stddev_pop({names[i]}) > 0 THEN corr({a}, {names[i]}) END) > 0.95, false)"
+                           for a in names[:i]]) or "false"
+        return f"SELECT '{names[i]}' AS Feature, NOT ({far}) AS kept, stddev_pop({names[i]}::double) > 0 AS varies FROM features"
+
+    return ("SELECT Feature, true AS Centred, varies AS UnitSpread, (SELECT count(*) FROM features)::bigint AS Customers FROM ("
+            + " UNION ALL ".join(kept(i) for i in range(len(names))) + ") WHERE kept")
+
+
+_in_matrix = [c for c in cf.MATRIX_COLUMNS if c in _matrix_features]
+
+
+@query("ml_04_rules", _uncorrelated_sql([c for c in _in_matrix if c != "TierNumeric"]), "features")
+def _(t):
+    """The features that are kept beside earlier ones, scaled: mean 0, and deviation 1 where a feature varies at all."""
+    ready = ml_prep.prepare_features_for_ml(t.features.drop("IsActive"), target_column="TierNumeric")
+    kept = [c for c in ready["feature_names"] if c in _matrix_features]
+    row = stage(ready["features"]).agg(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s"), F.count(c).alias("n")).alias(c) for c in kept])
+    long = row.unpivot([], kept, "Feature", "v")
+    return long.select("Feature", (F.abs("v.m") < 1e-9).alias("Centred"), (F.abs(F.col("v.s") - 1) < 1e-9).alias("UnitSpread"), F.col("v.n").alias("Customers"))
+
+
 @query("ml_05", " UNION ALL ".join(
     f"SELECT '{c}' AS Feature, {D(f'avg({c})')} AS Mean, {D(f'stddev_samp({c})')} AS Std, {D(f'min({c})')} AS Min, {D(f'max({c})')} AS Max, "
     f"0::bigint AS Missing, 0::double AS MissingPct FROM f_rfm" for c in _rfm_numeric), "f_rfm")
@@ -1164,6 +1191,24 @@ def _(t):
     return seg.prepare_features_for_clustering(seg.select_features_for_clustering(t.features), use_pca=True)[0]
 
 
+@query("seg_02_rules", "SELECT (SELECT count(*) FROM features)::bigint AS Customers, true AS Centred, true AS Uncorrelated, true AS Falling, "
+       "true AS EnoughVariance, true AS NoneTooMany", "features")
+def _(t):
+    """Components have mean 0, don't correlate, vary less and less, and are just enough for 95 % of the scaled features' variance."""
+    selected = seg.select_features_for_clustering(t.features)
+    whole = seg.prepare_features_for_clustering(selected)[0]
+    reduced = stage(seg.prepare_features_for_clustering(selected, use_pca=True)[0])
+    parts, columns = [c for c in reduced.columns if c != "CustomerID"], [c for c in whole.columns if c != "CustomerID"]
+    total = sum(whole.agg(*[F.var_samp(c) for c in columns]).first())
+    got = reduced.agg(F.count(F.lit(1)), *[F.avg(c) for c in parts], *[F.var_samp(c) for c in parts]).first()
+    means, spread = got[1:1 + len(parts)], got[1 + len(parts):]
+    pairs = [(a, b) for i, a in enumerate(parts) for b in parts[:i]]
+    together = reduced.agg(*[F.abs(F.covar_samp(a, b)).alias(f"{a}_{b}") for a, b in pairs]).first() if pairs else []
+    facts = {"Centred": max(map(abs, means)) < 1e-9, "Uncorrelated": max(together, default=0.0) < 1e-6, "Falling": list(spread) == sorted(spread, reverse=True),
+             "EnoughVariance": sum(spread) > 0.95 * total, "NoneTooMany": sum(spread[:-1]) <= 0.95 * total}
+    return reduced.agg(F.count(F.lit(1)).alias("Customers")).select("Customers", *[F.lit(bool(v)).alias(n) for n, v in facts.items()])
+
+
 @query("seg_03")
 def _(t):
     prepared = seg.prepare_features_for_clustering(seg.select_features_for_clustering(t.features))[0]
@@ -1386,6 +1431,35 @@ def _(t):
         (F.col("ChurnPrediction").eqNullSafe(F.col("_c")) & F.col("RiskLevel").eqNullSafe(F.col("_r"))).alias("SameRisk"))
 
 
+@query("chn_05_rules", " UNION ALL ".join(f"SELECT '{c}' AS Feature, true AS IsShare, true AS SumsToOne, true AS DropFollows" for c in _model_features))
+def _(t):
+    """Importances are shares of 1; a feature that no tree splits on has none, and exchanging its values changes nothing."""
+    frame = _whole_training_frame(t)
+    model = churn.train_churn_model(frame)
+    shares, drops = stage(churn.calculate_feature_importance(model, t.spark)), stage(churn.explain_by_permutation(model, frame))
+    whole = shares.agg(F.sum("Importance")).first()[0]
+    both = shares.join(drops.select(F.col("Feature").alias("_of"), "AucDrop"), F.col("Feature") == F.col("_of"), "left")
+    follows = F.col("AucDrop").isNotNull() & ((F.col("Importance") > 0) | (F.abs("AucDrop") < 1e-12)) & F.col("AucDrop").between(-1, 1)
+    return both.select("Feature", F.col("Importance").between(0, 1).alias("IsShare"), F.lit(abs(whole - 1) < 1e-9).alias("SumsToOne"), follows.alias("DropFollows"))
+
+
+@query("chn_04_whole", f"""
+  SELECT {I('Churn')} AS Churn, {I('n')} AS Given, {I('max(n) OVER ()')} AS Rows, true AS InRange
+  FROM (SELECT Churn, count(*) AS n FROM (SELECT CustomerID, cast(datediff('day', max(TransactionDate), max(ref)) > 90 AS integer) AS Churn
+        FROM tx, refd GROUP BY 1) GROUP BY 1)""", "tx", "refd")
+def _(t):
+    """Oversampling of the whole feature matrix: parity, and made rows within the range of their class in every feature."""
+    frame = _whole_training_frame(t)
+    balanced = stage(churn.handle_class_imbalance(frame))
+    columns = churn.feature_columns(frame)
+    ends = frame.groupBy("Churn").agg(F.count(F.lit(1)).alias("Given"), *[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("a", F.min), ("z", F.max))])
+    found = balanced.groupBy("Churn").agg(F.count(F.lit(1)).alias("Rows"), *[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("a", F.min), ("z", F.max))])
+    inside = F.lit(True)
+    for c in columns:  # a made row lies between two given ones, but for the rounding of doubles
+        inside = inside & (F.col(f"f.a_{c}") >= F.col(f"e.a_{c}") - 1e-6) & (F.col(f"f.z_{c}") <= F.col(f"e.z_{c}") + 1e-6)
+    return ends.alias("e").join(found.alias("f"), "Churn").select("Churn", "Given", "Rows", inside.alias("InRange"))
+
+
 @query("chn_09", mapped("predictions", "CustomerID:i", "ChurnProbability:d", "ChurnPrediction:i", "RiskLevel"), "predictions")
 def _(t):
     return _predictions(t)
