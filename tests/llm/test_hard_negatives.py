@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillpoint.llm import hard_negatives as hn
+from tillpoint.llm import common, hard_negatives as hn
 
 VECTORS = "vec_id long, embedding array<double>, label long"
 
@@ -102,7 +102,7 @@ def test_certified_windows_leave_cells_out(monkeypatch):
 
 def test_sortable_numbers(spark):
     numbers = [0, 1, -1, 9, 10, -10, 2 ** 63 - 1, -2 ** 63, 2 ** 63, 10 ** 60, -10 ** 60, 99, -99, 12345]
-    assert sorted(map(hn.sortable, numbers)) == [hn.sortable(x) for x in sorted(numbers)]
-    assert [hn.number(hn.sortable(x)) for x in numbers] == numbers
-    rows = spark.createDataFrame([(hn.sortable(x),) for x in numbers], "s string")
-    assert [r[0] for r in rows.select(hn.number_column(F.col("s"))).collect()] == [fits(x) for x in numbers]
+    assert sorted(map(common.sortable, numbers)) == [common.sortable(x) for x in sorted(numbers)]
+    assert [common.number(common.sortable(x)) for x in numbers] == numbers
+    rows = spark.createDataFrame([(common.sortable(x),) for x in numbers], "s string")
+    assert [r[0] for r in rows.select(common.number_column(F.col("s"))).collect()] == [fits(x) for x in numbers]

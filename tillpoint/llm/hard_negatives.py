@@ -33,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillpoint.llm.common import exact, matrices, salted_join, shuffle_partitions, staged, whole_vectors
+from tillpoint.llm.common import (
+    exact, matrices, number, number_column, salted_join, shuffle_partitions, sortable, staged, whole_vectors)
 
 #: Numbers in the sample that codebooks and first bounds come from; rows in a shard; anchors that share one copy of a shard.
 SAMPLE_NUMBERS, SHARD, LANE = 1_048_576, 4096, 100_000
@@ -45,26 +46,6 @@ ROUNDS = 8
 SLACK = 1e-9
 
 
-def sortable(x: int) -> str:
-    """A whole number as text that sorts like the number."""
-    digits = str(abs(x))
-    if x >= 0:
-        return f"1{len(digits):05d}{digits}"
-    return f"0{99999 - len(digits):05d}" + digits.translate(str.maketrans("0123456789", "9876543210"))
-
-
-def number(text: str) -> int:
-    if text[0] == "1":
-        return int(text[6:])
-    return -int(text[6:].translate(str.maketrans("0123456789", "9876543210")))
-
-
-def number_column(text: Column) -> Column:
-    """The number of a sortable text; null beyond 64 bits."""
-    below = -F.translate(F.substring(text, 7, 400), "0123456789", "9876543210").try_cast("decimal(38,0)")
-    return F.when(F.substring(text, 1, 1) == "1", F.substring(text, 7, 400).try_cast("decimal(38,0)")).otherwise(below).try_cast("long")
-
-
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact products of a vector with all rows: in floating point, 64 bits or Python's integers, as the numbers need."""
     if not a.size or not b.size:

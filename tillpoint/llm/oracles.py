@@ -10,7 +10,7 @@ _WORD = r"[^\x20\x09-\x0D]+"
 OP1 = """
   WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
-    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
   scored AS (
     SELECT q.vec_id AS query_id, c.vec_id, cast(list_inner_product(q.e, c.e) AS BIGINT) AS score

@@ -10,9 +10,10 @@ verified with whole-number products, so the result is exact, ties to the smaller
 Queries and buckets are packed into rows of numbers; every pair of a query block and a bucket that may matter is one
 small unit of work, dealt out over all tasks, and returns at most k products for each query.
 
-A vector that is null or empty, or holds a null, non-finite or (so that products fit 64 bits) over-large component,
-takes no part, nor does one without an id. Vectors meet vectors of their own dimension. A query never meets a row of
-its own id. Rows that repeat a candidate's id are candidates each; a query repeated with its vector is answered once.
+A vector that is null or holds a null or non-finite component takes no part, nor does one without an id. Vectors meet
+vectors of their own dimension, empty ones too. Products of any size are exact (Python's integers beyond 64 bits) and
+travel as text that sorts like the numbers; a score beyond 64 bits is null in the result, in its right place. A query
+never meets a row of its own id. Rows that repeat a candidate's id are candidates each; a query repeated with its vector is answered once.
 Other columns are ignored; an empty table gives no rows.
 """
 
@@ -25,27 +26,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillpoint.llm.common import shuffle_partitions, staged
+from tillpoint.llm.common import exact, number_column, shuffle_partitions, sortable, staged, whole_vectors
 
 #: Vectors in a bucket and queries in a block: one unit of work is their product.
 BUCKET, BLOCK = 2048, 1024
 #: Least local cosine from which coordinates prune better than lengths.
 COORDINATE_FROM = 0.7
-#: Largest scaled component, for which products of 2,000 dimensions still fit 64 bits.
-LARGEST = 2.0 ** 25
 PACKED = "pack long, dim int, longest double, ids binary, numbers binary"
 SLACK = 1e-9
 
 
 def scaled_vectors(rows: DataFrame, id_column: str, vector_column: str, scale: float) -> DataFrame:
-    """``id``, ``v`` (whole numbers floor(scale * x)), ``norm2`` and ``dim`` of the rows that take part."""
-    fit = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) <= LARGEST)
-    vector = F.col(vector_column)
-    usable = rows.filter(F.col(id_column).isNotNull() & vector.isNotNull() & (F.size(vector) > 0) & F.forall(vector, fit))
-    whole = F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(scale))))
-    v = usable.select(F.col(id_column).cast("long").alias("id"), whole.alias("v"))
-    square: Column = F.aggregate("v", F.lit(0).cast("long"), lambda held, x: held + x * x)
-    return v.select("id", "v", square.alias("norm2"), F.size("v").alias("dim"))
+    """``id``, ``v`` (whole numbers floor(scale * x), as doubles), ``norm2`` and ``dim`` of the rows that take part."""
+    v = rows.select(F.col(id_column).cast("long").alias("id"), whole_vectors(F.col(vector_column), scale).alias("v"))
+    square: Column = F.aggregate("v", F.lit(0.0), lambda held, x: held + x * x)
+    return v.filter("id IS NOT NULL AND v IS NOT NULL").select("id", "v", square.alias("norm2"), F.size("v").alias("dim"))
 
 
 def packed(vectors: DataFrame, most: int) -> DataFrame:
@@ -60,7 +55,9 @@ def packed(vectors: DataFrame, most: int) -> DataFrame:
         def out() -> pa.RecordBatch:
             nonlocal number
             number += 1
-            matrix = np.asarray([x[1] for x in held], dtype="<i4")
+            matrix = np.asarray([x[1] for x in held], dtype="<f8").reshape(len(held), held[0][3])
+            if np.abs(matrix).max(initial=0.0) < 2.0 ** 31:
+                matrix = matrix.astype("<i4")
             return pa.RecordBatch.from_arrays([
                 pa.array([number], pa.int64()), pa.array([matrix.shape[1]], pa.int32()), pa.array([float(np.sqrt(held[0][2]))]),
                 pa.array([np.asarray([x[0] for x in held], dtype="<i8").tobytes()], pa.binary()),
@@ -81,20 +78,40 @@ def packed(vectors: DataFrame, most: int) -> DataFrame:
 
 
 def unpack(row: dict, side: str = "") -> tuple[np.ndarray, np.ndarray]:
-    numbers = np.frombuffer(row[f"{side}numbers"], dtype="<i4").reshape(-1, row["dim"])
-    return np.frombuffer(row[f"{side}ids"], dtype="<i8"), numbers
+    ids, data = np.frombuffer(row[f"{side}ids"], dtype="<i8"), row[f"{side}numbers"]
+    wide = len(data) > 4 * len(ids) * row["dim"]
+    numbers = np.frombuffer(data, dtype="<f8" if wide else "<i4").reshape(len(ids), row["dim"])
+    return ids, exact(numbers) if wide else numbers
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact products of all rows of a with all of b; in floating point where no sum can exceed 2^53."""
-    top = lambda m: int(np.abs(m.astype(np.int64)).max(initial=0))
-    if a.shape[1] * top(a) * top(b) < 2 ** 53:
+    """Exact products of all rows of a with all of b: in floating point where no sum can exceed 2^53, in 64 bits or Python's integers."""
+    top = lambda m: int(np.abs(m if m.dtype == object else m.astype(np.int64)).max(initial=0))
+    most = a.shape[1] * top(a) * top(b)
+    if most < 2 ** 53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
+    kind = np.int64 if most < 2 ** 63 else object
+    return a.astype(kind) @ b.astype(kind).T
+
+
+def below(x: int) -> float:
+    """A float that is no larger than a whole number of any size."""
+    try:
+        return float(x) if abs(x) <= 2 ** 53 else float(np.nextafter(float(x), -np.inf))
+    except OverflowError:
+        return -np.inf if x < 0 else float(np.finfo(np.float64).max)
+
+
+def lengths(m: np.ndarray) -> np.ndarray:
+    """Infinite where the sum of squares leaves a float's range."""
+    with np.errstate(over="ignore"):
+        return np.sqrt((m.astype(np.float64) ** 2).sum(axis=1))
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k highest scores, ties to smaller ids."""
+    if scores.dtype == object:
+        return np.asarray(sorted(range(len(scores)), key=lambda i: (-scores[i], ids[i]))[:k], dtype=np.int64)
     if len(scores) > k:
         least = np.partition(scores, len(scores) - k)[len(scores) - k]
         near = np.flatnonzero(scores >= least)
@@ -105,28 +122,28 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 def local_best(q_ids, q, bounds, ids, v, k) -> Iterator[tuple[int, int, int]]:
     """(query place, vec_id, score) of every query's k best in one bucket that reach its bound."""
-    v_length = np.sqrt((v.astype(np.float64) ** 2).sum(axis=1))  # descending
-    q_length = np.sqrt((q.astype(np.float64) ** 2).sum(axis=1))
-    reach = q_length * v_length[0]
-    with np.errstate(divide="ignore", invalid="ignore"):
+    v_length, q_length = lengths(v), lengths(q)  # those of v descending
+    with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+        reach = q_length * v_length[0]
         cosine = np.where(reach > 0, bounds / reach, np.where(bounds > 0, np.inf, -np.inf))
+    cosine = np.where(np.isfinite(reach), cosine, -np.inf)  # beyond a float's range nothing is left out
     alive = np.flatnonzero(cosine <= 1 + SLACK)
     by_length = alive[cosine[alive] < COORDINATE_FROM]
     if len(by_length):  # rows are sorted by length: those long enough for some query are a prefix
         with np.errstate(divide="ignore", invalid="ignore"):
-            need = np.where(bounds[by_length] > 0, bounds[by_length] / q_length[by_length] * (1 - SLACK), 0.0)
+            need = np.nan_to_num(np.where(bounds[by_length] > 0, bounds[by_length] / q_length[by_length] * (1 - SLACK), 0.0))
         prefix = int(np.searchsorted(-v_length, -need.min(), side="right"))
         scores = products(q[by_length], v[:prefix])
         for i, row in zip(by_length, scores):
             yield from chosen(i, q_ids[i], bounds[i], ids[:prefix], row, k)
     for i in alive[cosine[alive] >= COORDINATE_FROM]:
         axis = int(np.argmax(np.abs(q[i])))
-        along = q[i, axis] / q_length[i]
+        along = float(q[i, axis]) / q_length[i]
         # a vector that reaches the bound has at least this cosine with the query, whatever its own length
         c = min(1.0, cosine[i]) * (1 - SLACK)
         spread = np.sqrt(max(0.0, 1 - along * along)) * np.sqrt(max(0.0, 1 - c * c)) + SLACK
         with np.errstate(divide="ignore", invalid="ignore"):
-            place = np.where(v_length > 0, v[:, axis] / v_length, np.nan)
+            place = np.where(v_length > 0, v[:, axis].astype(np.float64) / v_length, np.nan)
         if along < 0:
             near = np.flatnonzero(place <= along * c + spread)
         else:
@@ -136,7 +153,7 @@ def local_best(q_ids, q, bounds, ids, v, k) -> Iterator[tuple[int, int, int]]:
 
 
 def chosen(i, own, bound, ids, scores, k) -> Iterator[tuple[int, int, int]]:
-    ok = np.flatnonzero((ids != own) & (scores >= bound))
+    ok = np.flatnonzero((ids != own) & (scores >= bound).astype(bool))
     for j in ok[best(scores[ok], ids[ok], k)]:
         yield int(i), int(ids[j]), int(scores[j])
 
@@ -158,10 +175,10 @@ def top_products(rows: DataFrame, queries: DataFrame, k: int = 5, scale: float =
                 for i, own in enumerate(q_ids):
                     of = scores[i][ids != own]
                     if len(of) >= k:
-                        bounds[i] = np.partition(of, len(of) - k)[len(of) - k]
-                length = np.sqrt((q.astype(np.float64) ** 2).sum(axis=1))
+                        bounds[i] = below(sorted(of.tolist())[-k] if of.dtype == object else int(np.partition(of, len(of) - k)[len(of) - k]))
+                length = lengths(q)
                 with np.errstate(divide="ignore", invalid="ignore"):  # the least length of a bucket's longest that matters
-                    least = np.where(bounds > 0, bounds / length, 0.0)
+                    least = np.nan_to_num(np.where(bounds > 0, bounds / length, 0.0))
                 reach = float(least.min())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["pack"]], pa.int64()), pa.array([row["dim"]], pa.int32()), pa.array([reach * (1 - SLACK)]),
@@ -195,10 +212,10 @@ def top_products(rows: DataFrame, queries: DataFrame, k: int = 5, scale: float =
                 place = [row["block"] * BLOCK + x[0] for x in found]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(place, pa.int64()), pa.array([int(q_ids[x[0]]) for x in found], pa.int64()),
-                     pa.array([x[1] for x in found], pa.int64()), pa.array([x[2] for x in found], pa.int64())],
+                     pa.array([x[1] for x in found], pa.int64()), pa.array([sortable(x[2]) for x in found], pa.string())],
                     ["place", "query_id", "vec_id", "score"])
 
-    local = work.mapInArrow(verify, "place long, query_id long, vec_id long, score long")
+    local = work.mapInArrow(verify, "place long, query_id long, vec_id long, score string")
     order = Window.partitionBy("place").orderBy(F.col("score").desc(), "vec_id")
     return (local.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", number_column(F.col("score")).alias("score")))
