@@ -231,6 +231,44 @@ def test_many_near_copies_in_small_blocks(spark, monkeypatch):
         assert got == jaccard_groups(rows, words, part)
 
 
+def test_chained_candidates_stay_in_small_stars(spark):
+    """Neighbours share a passage, far from a link: no star has more than a document and its two neighbours."""
+    words = lambda a, n: [f"{a}.{i}" for i in range(n)]
+    rows = [(i, " ".join(words(f"p{i}", 40) + words(f"own{i}", 20) + words(f"p{i + 1}", 40))) for i in range(60)]
+    docs = documents(spark, rows)
+    s = jaccard_join.Similarity(5, 80)
+    stars = jaccard_join.candidates(docs, s).collect()
+    assert len({r.low for r in stars} | {r.least for r in stars}) > 50
+    assert max(Counter(r.least for r in stars).values()) <= 2
+    assert all(r.component_id == r.doc_id for r in jaccard_join.near_groups(docs, 5, 80).collect())
+
+
+def test_blocks_of_a_star(spark, monkeypatch):
+    """A large star is cut, blocks of the centre's component are marked, and a star of one component is left out."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 5)
+    rows = [(1, i, 100 + i % 30, 1) for i in range(1, 41)] + [(1, i, 100, i) for i in (50, 51, 52)]
+    rows += [(2, i, 10, 2) for i in range(2, 30)] + [(7, 7, 10, 7), (7, 8, 10, 8)]
+    stars = spark.createDataFrame(rows, "grp long, low long, n_shingles long, component long")
+    got = jaccard_join.star_blocks(stars, jaccard_join.Similarity(5, 80)).collect()
+    assert sorted((r.grp, r.low) for r in got) == sorted((g, i) for g, i, _, _ in rows if g != 2)
+    assert {r.low for r in got if r.core} == set(range(1, 41))
+    assert len({r.block for r in got if r.core}) >= 8
+    assert len({r.block for r in got if r.grp == 7}) == 1
+
+
+def test_partial_counts_of_fragments(spark, monkeypatch):
+    """Pairs with a centre of several parts; a text that stands twice counts once."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4)
+    base = [f"w{i}" for i in range(100)]
+    texts = [" ".join(base[:100 - i] + [f"x{i}.{j}" for j in range(i)]) for i in range(30)]
+    s = jaccard_join.Similarity(1, 80)
+    low = [r.low for r in jaccard_join.document_sets(documents(spark, list(enumerate(texts))), s).orderBy("doc_id").collect()]
+    held = spark.createDataFrame([(low[i], t) for i, t in enumerate(texts)] * 2, "low long, text string")
+    asked = spark.createDataFrame([(x, low[0]) for x in low[1:]], "low long, centre long")
+    got = {(r.a, r.b) for r in jaccard_join.centre_links(held, asked, s).collect()}
+    assert got == {(low[i], low[0]) for i in range(1, 30) if 100 * (100 - i) >= 80 * (100 + i)}
+
+
 def test_odd_rows_of_near_groups(spark):
     odd = odd_documents(spark).selectExpr("*", "1 AS low", "'x' AS keys", "2 AS component_id", "3 AS _left")
     got = jaccard_join.near_groups(odd, 3, 90).collect()

@@ -12,13 +12,17 @@ There are some fragments more than needed for these; where even so all agreement
 other cuts of the order follow (under the last the document falls back on its class). No pair of the stated similarity
 is missed, whatever counts as common: that only decides how many candidates there are.
 
-*Counting.* Candidates are gathered by connected groups, sorted by size and cut into blocks; for every two blocks of a
-group whose sizes allow a link, the overlap of each pair is counted in each fragment separately and the counts are
-summed. A block pair returns a spanning forest of its links, at most one row for each document, so a group of many
-near copies never becomes all its pairs.
+*Counting.* Sets that share a piece make a star around the least of them. First every set meets one centre only, the
+least of its centres: both are cut into fragments of the order, one row each, which meet in the shuffle; partial counts
+of a fragment are summed per pair. Copies of a text are one component then, without meeting each other. A star whose
+members are in several components is compared further: its members are dealt to blocks by size, and for every two
+blocks that hold different components and sizes that allow a link the overlap of each pair is counted, again fragment by
+fragment. Blocks of the centre's component only never meet each other. A block pair returns a spanning forest of its
+links, at most one row for each document. Stars that share members are not joined to larger groups.
 
 Documents of equal sets are one from the start, found by a 128-bit digest of the set that combines in each task. The
-result is exact up to collisions of 64-bit n-gram hashes. Texts are read twice more than once rather than kept as sets.
+result is exact up to collisions of 64-bit hashes (of n-grams, and of sets where candidates meet). Texts are read again
+rather than kept as sets; those of candidates are kept as texts until their links are known.
 
 A null text is empty; texts without words link with nothing. Rows that repeat an id are one document's versions and
 share its links. Rows without an id get their set's component like any other and are null only where no row of the set
@@ -39,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillpoint.llm.common import shuffle_partitions, slices, staged, text_of
+from tillpoint.llm.common import salted_join, shuffle_partitions, slices, staged, text_of
 from tillpoint.llm.components import components
 from tillpoint.llm.shingles import U, mix, shingle_sets, text_bytes
 
@@ -50,7 +54,7 @@ CUTS = 4
 COMMON, COMMON_HERE, COMMON_MOST = 40, 3, 1_000_000
 #: Documents in a block, shingles in a block, and columns of a partial count: bounds of one task's memory.
 BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 4_000_000, 4096
-#: Fragments in which a block pair counts overlaps, at least.
+#: Fragments in which overlaps are counted, at least.
 COUNTED = 8
 
 
@@ -164,7 +168,7 @@ def common_ngrams(docs: DataFrame, s: Similarity) -> np.ndarray:
 
 
 def candidates(docs: DataFrame, s: Similarity) -> DataFrame:
-    """Links (a, b) between digests (low) of sets that share a key: each to the least of those with the key."""
+    """Stars of sets that share a key: ``low``, the digest of a set, and ``least``, the least of those with the key."""
     common = docs.sparkSession.sparkContext.broadcast(common_ngrams(docs, s))  # at most 8 MB
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,8 +193,9 @@ def candidates(docs: DataFrame, s: Similarity) -> DataFrame:
 
     sent = docs.select(text_of().alias("text")).mapInArrow(scan, "low long, keys array<long>")
     rows = sent.select("low", F.explode("keys").alias("key"))
-    least = F.min("low").over(Window.partitionBy("key"))
-    return rows.select("low", least.alias("least")).filter("low != least").distinct().select(F.col("low").alias("a"), F.col("least").alias("b"))
+    # the first of its key, row by row: nothing of a frequent key is held
+    so_far = Window.partitionBy("key").orderBy("low").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.select("low", F.first("low").over(so_far).alias("least")).filter("low != least").distinct()
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -250,29 +255,115 @@ def block_links(ids: list[int], sides: list[int], sets: list[np.ndarray], s: Sim
     return [(ids[a], ids[b]) for a, b in forest(link) if ids[a] != ids[b]]
 
 
-def verified(docs: DataFrame, members: DataFrame, s: Similarity) -> DataFrame:
-    """Links (a, b) between documents of the same candidate group. members: doc_id, n_shingles, grp."""
-    spark = docs.sparkSession
-    by_size = Window.partitionBy("grp").orderBy("n_shingles", "doc_id")
-    so_far = by_size.rowsBetween(Window.unboundedPreceding, 0)
-    block = (F.floor((F.row_number().over(by_size) - 1) / BLOCK) + F.floor(F.sum("n_shingles").over(so_far) / BLOCK_SHINGLES)).cast("long")
-    placed = staged(members.withColumn("block", block), "members")
-    blocks = placed.groupBy("grp", "block").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
-    second = blocks.select("grp", F.col("block").alias("other"), F.col("least").alias("other_least"))
-    pairs = (blocks.join(second, "grp").filter("block <= other")
-             .filter(F.col("most") * s.whole >= F.col("other_least") * s.part)
-             .select("grp", F.xxhash64("grp", "block", "other").alias("pair"), "block", "other"))
-    sides = pairs.select("grp", "pair", "block", F.lit(0).alias("side")).unionByName(
-        pairs.filter("block != other").select("grp", "pair", F.col("other").alias("block"), F.lit(1).alias("side")))
-    asked = placed.join(sides, ["grp", "block"]).select("pair", "side", "doc_id")
+def texts_of(docs: DataFrame, nodes: DataFrame, s: Similarity) -> DataFrame:
+    """``low`` and ``text`` of the documents that stand for the sets of ``nodes`` (rep)."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in slices(batch, "text"):
+                low, _ = signatures(list(shingle_sets(*text_bytes(some.column("text")), s.words)))
+                yield pa.RecordBatch.from_arrays([pa.array(low), some.column("text")], ["low", "text"])
+
+    wanted = nodes.select(F.col("rep").alias("doc_id")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    work = texts.join(asked, "doc_id").repartition(shuffle_partitions(spark), "pair").sortWithinPartitions("pair")
+    # both sides grow with the documents: one plan at every size
+    return texts.join(wanted.hint("merge"), "doc_id", "left_semi").select("text").mapInArrow(scan, "low long, text string")
+
+
+def centre_links(texts: DataFrame, pairs: DataFrame, s: Similarity) -> DataFrame:
+    """Those of ``pairs`` (low, centre) that link, as (a, b). texts: low, text; rows may repeat."""
+    # a centre of many sets stands once for each part of them
+    parts = pairs.groupBy("centre").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    heads = parts.select(F.col("centre").alias("low"), "centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("place"))
+    dealt = salted_join(pairs, parts, ["centre"], "low").select(
+        "low", "centre", F.pmod(F.xxhash64("low"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("place"))
+    edges = (np.arange(1, COUNTED, dtype=np.float64) * (2.0 ** 64 / COUNTED)).astype(U)
+    names = ["centre", "part", "place", "low", "fragment", "n", "piece"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in slices(batch, "text"):
+                took, fragment, n, pieces = [], [], [], []
+                for i, own in enumerate(shingle_sets(*text_bytes(some.column("text")), s.words)):
+                    for f, piece in enumerate(np.split(own, np.searchsorted(own, edges))):
+                        if len(piece):
+                            took.append(i)
+                            fragment.append(f)
+                            n.append(len(own))
+                            pieces.append(piece.tobytes())
+                rows = some.select(names[:4]).take(pa.array(took, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(fragment, pa.int32()), pa.array(n, pa.int64()), pa.array(pieces, pa.binary())], names)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = head = last = None
+        of_head = 0
+        for batch in batches:
+            out = []
+            for centre, part, place, low, fragment, n, piece in zip(*(batch.column(c).to_pylist() for c in names)):
+                if (centre, part, fragment) != key:
+                    key, head, last = (centre, part, fragment), None, None
+                if place == 0:
+                    head, of_head = np.frombuffer(piece, dtype=U), n
+                elif head is not None and low != last:  # a row that repeats counts once
+                    last, own = low, np.frombuffer(piece, dtype=U)
+                    at = np.minimum(np.searchsorted(head, own), len(head) - 1)
+                    out.append((low, centre, n, of_head, int(np.count_nonzero(head[at] == own))))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 5,
+                                             ["a", "b", "n_a", "n_b", "common"])
+
+    asked = heads.unionByName(dealt)
+    pieces = (texts.join(asked.hint("merge"), "low").select("centre", "part", "place", "low", "text")
+              .mapInArrow(cut, "centre long, part int, place int, low long, fragment int, n long, piece binary"))
+    met = (pieces.repartition(shuffle_partitions(texts.sparkSession), "centre", "part", "fragment")
+           .sortWithinPartitions("centre", "part", "fragment", "place", "low"))
+    partial = met.mapInArrow(count, "a long, b long, n_a long, n_b long, common long")
+    return (partial.groupBy("a", "b").agg(F.sum("common").alias("common"), (F.max("n_a") + F.max("n_b")).alias("both"))
+            .filter(F.col("common") * s.whole >= (F.col("both") - F.col("common")) * s.part).select("a", "b"))
+
+
+def star_blocks(stars: DataFrame, s: Similarity) -> DataFrame:
+    """The members of stars in several components, with ``block`` and ``core``: of the centre's component only.
+
+    stars: grp (the centre), low, n_shingles, component. A large star is cut by size, and each size by a hash.
+    """
+    whole = stars.groupBy("grp").agg(
+        F.count("*").alias("members"), F.sum("n_shingles").alias("shingles"), F.min("component").alias("least"), F.max("component").alias("most"),
+        F.max(F.when(F.col("low") == F.col("grp"), F.col("component"))).alias("centre")).filter("least != most").drop("least", "most")
+    mixed = salted_join(stars, whole, ["grp"], "low")
+    small = (F.col("members") <= BLOCK) & (F.col("shingles") <= BLOCK_SHINGLES)
+    size = F.floor(F.log(F.col("n_shingles").cast("double")) / -log(float(s.t))).cast("int")
+    cells = mixed.select("grp", "low", "n_shingles", "component", small.alias("small"),
+                         F.when(small, F.lit(-1)).otherwise(size).alias("size"),
+                         (~small & F.coalesce(F.col("component") == F.col("centre"), F.lit(False))).alias("core"))
+    fill = cells.filter("NOT small").groupBy("grp", "size", "core").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("parts"))
+    large = salted_join(cells.filter("NOT small"), fill, ["grp", "size", "core"], "low").withColumn(
+        "part", F.pmod(F.xxhash64("low"), F.col("parts")).cast("int"))
+    both = cells.filter("small").withColumn("part", F.lit(0)).unionByName(large.drop("parts"))
+    return both.select("grp", "low", "n_shingles", "component", "core", F.xxhash64("size", "core", "part").alias("block"))
+
+
+def star_links(texts: DataFrame, stars: DataFrame, s: Similarity) -> DataFrame:
+    """Links (a, b) between members of one star that are in different components, or more."""
+    placed = staged(star_blocks(stars, s), "star-blocks")
+    blocks = placed.groupBy("grp", "block", "core").agg(
+        F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"), F.min("component").alias("first"), F.max("component").alias("last"))
+    second = blocks.select("grp", *(F.col(c).alias(f"{c}_2") for c in ("block", "core", "least", "most", "first", "last")))
+    pairs = (blocks.filter("NOT core").join(second, "grp").filter("core_2 OR block <= block_2")
+             .filter(F.col("most") * s.whole >= F.col("least_2") * s.part).filter(F.col("most_2") * s.whole >= F.col("least") * s.part)
+             .filter("NOT (first = last AND first_2 = last_2 AND first = first_2)")
+             .select("grp", F.xxhash64("grp", "block", "block_2").alias("pair"), "block", "block_2"))
+    sides = pairs.select("grp", "pair", "block", F.lit(0).alias("side")).unionByName(
+        pairs.filter("block != block_2").select("grp", "pair", F.col("block_2").alias("block"), F.lit(1).alias("side")))
+    asked = placed.join(sides, ["grp", "block"]).select("pair", "side", "low")
+    work = (texts.join(asked.hint("merge"), "low").repartition(shuffle_partitions(texts.sparkSession), "pair")
+            .sortWithinPartitions("pair"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             for some in slices(batch, "text"):
                 sets = shingle_sets(*text_bytes(some.column("text")), s.words)
-                yield from zip(*(some.column(c).to_pylist() for c in ("pair", "side", "doc_id")), sets)
+                yield from zip(*(some.column(c).to_pylist() for c in ("pair", "side", "low")), sets)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, group in groupby(rows(batches), key=lambda r: r[0]):
@@ -292,26 +383,32 @@ def near_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 10
     s = Similarity(words, part, whole)
     sets = staged(document_sets(docs, s), "sets")
     same = staged(sets.filter("n_shingles > 0").groupBy("low", "high", "n_shingles").agg(F.min("doc_id").alias("rep")), "same-sets")
-    groups = components(candidates(docs, s))
-    members = (same.filter("rep IS NOT NULL").join(groups, same["low"] == groups["node"])
-               .select(F.col("rep").alias("doc_id"), "n_shingles", F.col("component").alias("grp"))
-               .groupBy("doc_id", "grp").agg(F.max("n_shingles").alias("n_shingles")))
-    # a repeated id may stand for several sets: they are linked through it
-    found = components(verified(docs, members, s).unionByName(repeated_ids(sets, same)))
-    known = same.join(found, same["rep"] == found["node"], "left").select(
-        "low", "high", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+    pairs = staged(candidates(docs, s), "stars")
+    sizes = same.filter("rep IS NOT NULL").groupBy("low").agg(F.max("n_shingles").alias("n_shingles"))
+    stars = pairs.select(F.col("least").alias("grp"), "low").unionByName(pairs.select(F.col("least").alias("grp"), F.col("least").alias("low")).distinct())
+    nodes = stars.select("low").distinct()
+    texts = staged(texts_of(docs, same.join(nodes, "low").filter("rep IS NOT NULL"), s), "candidate-texts")
+    first = staged(centre_links(texts, pairs.groupBy("low").agg(F.min("least").alias("centre")), s), "centre-links")
+    known = components(first)
+    members = (stars.join(sizes, "low").join(known, F.col("low") == known["node"], "left")
+               .select("grp", "low", "n_shingles", F.coalesce("component", "low").alias("component")))
+    links = first.unionByName(star_links(texts, members, s)).unionByName(repeated_ids(sets))
+    found = staged(components(links), "components")
+    least = found.join(same, found["node"] == same["low"]).groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = salted_join(found, least, ["component"], "node").select(F.col("node").alias("low"), "component_id")
+    known = same.join(named, "low", "left").select("low", "high", "n_shingles", F.coalesce("component_id", "rep").alias("component_id"))
     linked = sets.filter("n_shingles > 0").join(known, ["low", "high", "n_shingles"])
     alone = sets.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", "n_shingles", "component_id"]
     return linked.select(*columns).unionByName(alone.select(*columns))
 
 
-def repeated_ids(sets: DataFrame, same: DataFrame) -> DataFrame:
-    """Links between the groups of equal sets that share a document id."""
+def repeated_ids(sets: DataFrame) -> DataFrame:
+    """Links between the sets of a document id that several rows share: each to the least of them."""
     several = (sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id")
-               .agg(F.min("low").alias("least"), F.max("low").alias("most")).filter("least != most").select("doc_id"))
-    return (sets.join(several, "doc_id").join(same, ["low", "high", "n_shingles"])
-            .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).filter("a != b").distinct())
+               .agg(F.min("low").alias("least"), F.max("low").alias("most")).filter("least != most"))
+    return (sets.filter("n_shingles > 0").join(several, "doc_id")
+            .select(F.col("low").alias("a"), F.col("least").alias("b")).filter("a != b").distinct())
 
 
 def one_of_each(docs: DataFrame, **similarity) -> DataFrame:
