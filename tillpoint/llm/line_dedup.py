@@ -6,8 +6,9 @@ shifts no boundary further on, and a chunk has two lines or more unless its text
 that stands in several documents is cut alike in all of them.
 
 A chunk with at least two lines that are not blank is removed wherever it stands a second time, in any document; its
-first occurrence, by ``doc_id`` and then by place, stays. Occurrences are grouped by the chunk's whole text (combined
-in each task, then by salt, then across salts), so nothing is removed because of a hash alone.
+first occurrence, by ``doc_id`` and then by place, stays. Hashes of chunks are counted first; chunks whose hash occurs again
+are grouped by their whole text (combined in each task, then by salt, then across salts), so nothing is removed because
+of a hash alone.
 
 A null text counts as empty. Texts without a repeated chunk come back as they were; a text of repeated chunks only
 becomes empty. Rows without an id neither lose nor lend chunks. Rows that repeat an id count as one document, in which
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillpoint.llm.common import staged, text_of
+from tillpoint.llm.common import salted_join, staged, text_of
 
 #: Chunks have about this many lines more than two on average.
 MODULUS = 4
@@ -64,40 +65,51 @@ def with_chunks(rows: DataFrame, modulus: int = MODULUS) -> DataFrame:
     return cut.withColumn("_chunks", chunks).drop("_lines", "_hashes", "_ends")
 
 
-def repeated_chunks(rows: DataFrame, modulus: int = MODULUS, salts: int = 32) -> DataFrame:
+def chunk_key(chunk: Column) -> Column:
+    """The hash of a chunk with two lines that are not blank, or more; null for others."""
+    return F.when(chunk.rlike(r"\S\s*\n\s*\S"), F.xxhash64(chunk))
+
+
+def repeated_chunks(rows: DataFrame, modulus: int = MODULUS, salts: int = 8) -> DataFrame:
     """The places to empty: ``_id`` and ``_gone``, the chunk numbers from 0, of the documents that lose any.
 
-    ``rows`` has ``_id`` and ``_text``. The outer form of explode keeps Spark from inferring a filter on the chunks, which
-    it would push down by repeating the hashing of all lines for every line.
+    ``rows`` has ``_id`` and ``_text``. First the hashes of all chunks are counted, without their texts. The texts of those
+    that occur again are then compared whole, in each task, then by salt, then across salts. The outer forms of
+    explode keep Spark from inferring filters, which it would push down by repeating the hashing of all lines for every line.
     """
-    pieces = (with_chunks(rows.filter("_id IS NOT NULL"), modulus)
-              .select("_id", F.posexplode_outer("_chunks").alias("_k", "_chunk"))
-              .filter(F.col("_chunk").rlike(r"\S\s*\n\s*\S"))
-              .withColumn("_key", F.xxhash64("_chunk"))
-              .withColumn("_at", F.col("_id").cast("decimal(38,0)") * 2147483648 + F.col("_k")))
+    known = rows.filter("_id IS NOT NULL")
+    at = F.col("_id").cast("decimal(38,0)") * 2147483648 + F.col("_k")
+    places = staged(with_chunks(known, modulus).select("_id", F.posexplode_outer(F.transform("_chunks", chunk_key)).alias("_k", "_key"))
+                    .filter("_key IS NOT NULL"), "chunk-keys")
+    often = places.groupBy("_key").agg(F.count("*").alias("_n")).filter("_n > 1").select("_key")
+    asked = staged(salted_join(places, often, ["_key"], "_id", salts).groupBy("_id").agg(F.collect_set("_k").alias("_ask")), "chunks-asked")
+    # both sides grow with the documents: one plan at every size
+    chunks = with_chunks(known.join(asked.hint("merge"), "_id"), modulus)
+    pieces = (chunks.select("_id", F.explode_outer(F.transform("_ask", lambda k: F.struct(k.alias("_k"), F.get("_chunks", k).alias("_chunk")))).alias("_piece"))
+              .select("_id", "_piece.*").withColumn("_key", chunk_key(F.col("_chunk"))).filter("_key IS NOT NULL"))
     salted = (pieces.groupBy("_key", F.pmod(F.xxhash64("_id"), F.lit(salts)).alias("_salt"), "_chunk")
-              .agg(F.min("_at").alias("_first"), F.count("*").alias("_n")))
+              .agg(F.min(at).alias("_first"), F.count("*").alias("_n")))
     whole = (salted.repartition("_key").groupBy("_key", "_chunk")
              .agg(F.min("_first").alias("_first"), F.sum("_n").alias("_n")))
     keys = staged(whole.groupBy("_key").agg(F.min("_first").alias("_first"), F.sum("_n").alias("_n"),
                                             F.count("*").alias("_texts")).filter("_n > 1"), "repeated-chunks")
-    places = pieces.select("_key", "_id", "_k", "_at")
-    again = places.join(keys.filter("_texts = 1").select("_key", "_first"), "_key")
+    again = salted_join(places, keys.filter("_texts = 1").select("_key", "_first"), ["_key"], "_id", salts)
     clashes = keys.filter("_texts > 1").select("_key")
     if not clashes.isEmpty():
         again = again.unionByName(pieces.join(whole.join(clashes, "_key").drop("_n"), ["_key", "_chunk"])
-                                  .select("_key", "_id", "_k", "_at", "_first"))
-    return again.filter("_at > _first").groupBy("_id").agg(F.collect_set("_k").alias("_gone"))
+                                  .select("_key", "_id", "_k", "_first"))
+    return again.filter(at > F.col("_first")).groupBy("_id").agg(F.collect_set("_k").alias("_gone"))
 
 
-def line_dedup(docs: DataFrame, modulus: int = MODULUS, salts: int = 32) -> DataFrame:
+def line_dedup(docs: DataFrame, modulus: int = MODULUS, salts: int = 8) -> DataFrame:
     """``docs`` with the repeated chunks taken out of ``text``, and ``removed_chunks``, how many went from each."""
-    own = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"), text_of().alias("_text"))
+    others = F.struct(*(F.col(c) for c in docs.columns if c != "text"))
+    own = docs.select(others.alias("_row"), F.col("doc_id").cast("long").alias("_id"), text_of().alias("_text"))
     gone = repeated_chunks(own.select("_id", "_text"), modulus, salts)
-    both = own.join(gone, "_id", "left")
-    left = F.filter(F.col("_chunks"), lambda c, k: ~F.array_contains("_gone", k))
-    cut = with_chunks(both, modulus)
-    new = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(left, "\n"))
+    cut = with_chunks(own.join(gone, "_id", "left"), modulus)
+    places = F.array_except(F.sequence(F.lit(0), F.size("_chunks") - 1), F.col("_gone"))
+    new = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(
+        F.array_join(F.transform(places, lambda k: F.get("_chunks", k)), "\n"))
     count = F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone"))
     kept = [new.alias("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns]
     return cut.select(*kept, count.alias("removed_chunks"))
