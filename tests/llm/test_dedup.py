@@ -180,7 +180,12 @@ def test_linked_sets_share_a_key():
                     continue
                 for share in (0, 0.3, 0.8, 1):  # any n-grams can be taken for common
                     common = np.sort(draw.permutation(np.union1d(a, b))[:int(share * len(a))])
-                    assert np.intersect1d(jaccard_join.piece_keys(a, s, common), jaccard_join.piece_keys(b, s, common)).size, (n, cut, new, share)
+                    sides = [dict(zip(*(x.tolist() for x in jaccard_join.piece_keys(x, s, common)))) for x in (a, b)]
+                    shared = sides[0].keys() & sides[1].keys()
+                    per_class = Counter(k & 255 for k in shared)
+                    assert shared, (n, cut, new, share)
+                    for needs in sides:  # in some class, the pieces shared are as many as a link leaves
+                        assert any(per_class[k & 255] >= needs[k] for k in shared), (n, cut, new, share)
 
 
 def test_overlaps_are_exact():
@@ -237,9 +242,8 @@ def test_chained_candidates_stay_in_small_stars(spark):
     rows = [(i, " ".join(words(f"p{i}", 40) + words(f"own{i}", 20) + words(f"p{i + 1}", 40))) for i in range(60)]
     docs = documents(spark, rows)
     s = jaccard_join.Similarity(5, 80)
-    stars = jaccard_join.candidates(docs, s).collect()
-    assert len({r.low for r in stars} | {r.least for r in stars}) > 50
-    assert max(Counter(r.least for r in stars).values()) <= 2
+    stars = {(r.grp, r.low) for r in jaccard_join.candidates(docs, s).collect()}
+    assert max(Counter(g for g, _ in stars).values(), default=0) <= 3
     assert all(r.component_id == r.doc_id for r in jaccard_join.near_groups(docs, 5, 80).collect())
 
 

@@ -12,6 +12,9 @@ There are some fragments more than needed for these; where even so all agreement
 other cuts of the order follow (under the last the document falls back on its class). No pair of the stated similarity
 is missed, whatever counts as common: that only decides how many candidates there are.
 
+So many more pieces are cut than differ that linked sets share several. A set that shares fewer than it must, with all
+other sets together, is no candidate.
+
 *Counting.* Sets that share a piece make a star around the least of them. First every set meets one centre only, the
 least of its centres: both are cut into fragments of the order, one row each, which meet in the shuffle; partial counts
 of a fragment are summed per pair. Copies of a text are one component then, without meeting each other. A star whose
@@ -103,26 +106,37 @@ def piece_hashes(order: np.ndarray, count: int, k: int, cut: int) -> np.ndarray:
     return mix(pieces + mix(fragment[starts] * U(64) + U(cut)) * U(31) + U(k))
 
 
-def piece_keys(own: np.ndarray, s: Similarity, common: np.ndarray = np.empty(0, dtype=U)) -> np.ndarray:
-    """Keys of a sorted set; linked sets that differ share at least one. common: sorted n-grams to leave out."""
-    n, out = len(own), []
+def piece_keys(own: np.ndarray, s: Similarity, common: np.ndarray = np.empty(0, dtype=U)) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a sorted set and, for each, how many of its class the set shares with another where it links at all.
+
+    Linked sets that differ share at least one. The last byte of a key is that of its class. common: sorted n-grams to leave out.
+    """
+    n, out, needs = len(own), [], []
     rare = own
     if len(common) and n:
         rare = own[common[np.minimum(np.searchsorted(common, own), len(common) - 1)] != own]
-    for k in range(s.size_class(n), s.size_class(floor(n / s.t)) + 1):
+    largest = floor(n / s.t)
+    for k in range(s.size_class(n), s.size_class(largest) + 1):
         count, spare = s.fragments(k)
         if not count:
             continue
-        out.append(piece_hashes(rare, count, k, CUTS))
-        if count - len(out[-1]) <= spare:  # more pieces than there can be differences
-            continue
-        for cut in range(CUTS):
-            out.append(piece_hashes(own if cut == 0 else np.sort(mix(own + U(cut))), count, k, cut))
-            if count - len(out[-1]) <= spare:
-                break
-            if cut == CUTS - 1:
-                out.append(mix(np.asarray([k], dtype=U) + U(0xFEED)))
-    return np.concatenate(out).view(np.int64) if out else np.empty(0, dtype=np.int64)
+        some = [piece_hashes(rare, count, k, CUTS)]
+        # every shingle in one set only spoils one piece; all others that aren't empty are shared
+        need = len(some[0]) - s.differences(n + largest)
+        if count - len(some[0]) > spare:  # not more pieces than there can be differences
+            need = 1
+            for cut in range(CUTS):
+                some.append(piece_hashes(own if cut == 0 else np.sort(mix(own + U(cut))), count, k, cut))
+                if count - len(some[-1]) <= spare:
+                    break
+                if cut == CUTS - 1:
+                    some.append(mix(np.asarray([k], dtype=U) + U(0xFEED)))
+        keys = np.concatenate(some)
+        out.append((keys & ~U(255)) | U(k & 255))
+        needs.append(np.full(len(keys), max(1, need), dtype=np.int32))
+    if not out:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int32)
+    return np.concatenate(out).view(np.int64), np.concatenate(needs)
 
 
 def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -168,7 +182,10 @@ def common_ngrams(docs: DataFrame, s: Similarity) -> np.ndarray:
 
 
 def candidates(docs: DataFrame, s: Similarity) -> DataFrame:
-    """Stars of sets that share a key: ``low``, the digest of a set, and ``least``, the least of those with the key."""
+    """Stars of sets that share a key: ``grp``, the least of those with the key, and its members ``low`` (digests of sets).
+
+    A set that shares fewer pieces of a class than a link leaves it, with all others together, isn't a member.
+    """
     common = docs.sparkSession.sparkContext.broadcast(common_ngrams(docs, s))  # at most 8 MB
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,23 +196,32 @@ def candidates(docs: DataFrame, s: Similarity) -> DataFrame:
                 if not sets:
                     continue
                 low, _ = signatures(sets)
-                ids, keys = [], []
+                ids, keys, needs = [], [], []
                 for own, sig in zip(sets, low.tolist()):
                     if sig not in seen:
                         seen.add(sig)
                         ids.append(sig)
-                        keys.append(piece_keys(own, s, common.value))
+                        of_set, need = piece_keys(own, s, common.value)
+                        keys.append(of_set)
+                        needs.append(need)
                 if ids:
-                    ends = np.cumsum([0, *map(len, keys)])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys)))],
-                        ["low", "keys"])
-
-    sent = docs.select(text_of().alias("text")).mapInArrow(scan, "low long, keys array<long>")
-    rows = sent.select("low", F.explode("keys").alias("key"))
-    # the first of its key, row by row: nothing of a frequent key is held
-    so_far = Window.partitionBy("key").orderBy("low").rowsBetween(Window.unboundedPreceding, 0)
-    return rows.select("low", F.first("low").over(so_far).alias("least")).filter("low != least").distinct()
+                    ends = pa.array(np.cumsum([0, *map(len, keys)]), pa.int32())
+                    lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x))) for x in (keys, needs)]
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *lists], ["low", "keys", "needs"])
+
+    sent = docs.select(text_of().alias("text")).mapInArrow(scan, "low long, keys array<long>, needs array<int>")
+    rows = sent.select("low", F.explode(F.arrays_zip("keys", "needs")).alias("of")).select("low", "of.keys", "of.needs")
+    # the first and the next of its key, row by row: nothing of a frequent key is held
+    by_key = Window.partitionBy("keys").orderBy("low")
+    met = (rows.select("low", "keys", "needs", F.first("low").over(by_key.rowsBetween(Window.unboundedPreceding, 0)).alias("grp"),
+                       F.lead("low").over(by_key).alias("next"))
+           .filter("low != grp OR next != low"))
+    stars = staged(met.groupBy("grp", "low", F.col("keys").bitwiseAND(255).alias("k")).agg(
+        F.count("*").alias("n"), F.min("needs").alias("need")), "stars")
+    able = stars.groupBy("low", "k").agg(F.sum("n").alias("n"), F.min("need").alias("need")).filter("n >= need").select("low").distinct()
+    members = staged(stars.select("grp", "low").distinct().join(able, "low", "left_semi"), "members")
+    several = members.groupBy("grp").agg(F.min("low").alias("centre"), F.max("low").alias("last")).filter("centre != last")
+    return salted_join(members, several.select("grp", "centre"), ["grp"], "low")
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -385,13 +411,12 @@ def near_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 10
     same = staged(sets.filter("n_shingles > 0").groupBy("low", "high", "n_shingles").agg(F.min("doc_id").alias("rep")), "same-sets")
     pairs = staged(candidates(docs, s), "stars")
     sizes = same.filter("rep IS NOT NULL").groupBy("low").agg(F.max("n_shingles").alias("n_shingles"))
-    stars = pairs.select(F.col("least").alias("grp"), "low").unionByName(pairs.select(F.col("least").alias("grp"), F.col("least").alias("low")).distinct())
-    nodes = stars.select("low").distinct()
+    nodes = pairs.select("low").distinct()
     texts = staged(texts_of(docs, same.join(nodes, "low").filter("rep IS NOT NULL"), s), "candidate-texts")
-    first = staged(centre_links(texts, pairs.groupBy("low").agg(F.min("least").alias("centre")), s), "centre-links")
+    first = staged(centre_links(texts, pairs.groupBy("low").agg(F.min("centre").alias("centre")).filter("low != centre"), s), "centre-links")
     known = components(first)
-    members = (stars.join(sizes, "low").join(known, F.col("low") == known["node"], "left")
-               .select("grp", "low", "n_shingles", F.coalesce("component", "low").alias("component")))
+    members = (pairs.join(sizes, "low").join(known, F.col("low") == known["node"], "left")
+               .select(F.col("centre").alias("grp"), "low", "n_shingles", F.coalesce("component", "low").alias("component")).distinct())
     links = first.unionByName(star_links(texts, members, s)).unionByName(repeated_ids(sets))
     found = staged(components(links), "components")
     least = found.join(same, found["node"] == same["low"]).groupBy("component").agg(F.min("rep").alias("component_id"))
