@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tillpoint.llm import components, exact_dedup, jaccard_join, line_dedup, shingles
@@ -38,96 +39,65 @@ def test_exact_dedup_of_table_and_odd_rows(spark, clash):
     assert exact_dedup.exact_dedup(docs.filter("false")).collect() == []
 
 
-def plain_chunks(text, modulus):
-    lines = text.split("\n")
-    h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) % line_dedup.PRIME for x in lines]
-    hit = [i > 0 and (h[i - 1] * 31 + h[i]) % line_dedup.PRIME % modulus == 0 for i in range(len(h))]
-    out, start = [], 0
-    for i in range(len(lines)):
-        if i == len(lines) - 1 or hit[i] and not (i and hit[i - 1]):
-            out.append("\n".join(lines[start:i + 1]))
-            start = i + 1
-    return out
+def plain_hash(lines):
+    """Spark's hash of an array of line hashes."""
+    out = 42
+    for x in lines:
+        line = xxhash.xxh64(x.encode(), seed=42).intdigest()
+        out = xxhash.xxh64(line.to_bytes(8, "little"), seed=out).intdigest()
+    return out - 2 ** 64 if out >= 2 ** 63 else out
 
 
-def plain_line_dedup(rows, modulus=line_dedup.MODULUS):
-    first = {}
-    cut = [(i, plain_chunks(t or "", modulus)) for i, t in rows]
-    many = lambda c: sum(1 for x in c.split("\n") if x.strip()) >= 2
-    for i, chunks in cut:
-        for k, c in enumerate(chunks):
-            if i is not None and many(c):
-                first[c] = min(first.get(c, (i, k)), (i, k))
-    gone = {}  # by id: rows that repeat an id are one document
-    for i, chunks in cut:
-        for k, c in enumerate(chunks):
-            if i is not None and many(c) and (i, k) > first[c]:
-                gone.setdefault(i, set()).add(k)
-    out = []
-    for i, chunks in cut:
-        own = gone.get(i, set()) if i is not None else set()
-        text = "\n".join(c for k, c in enumerate(chunks) if k not in own)
-        out.append((i, text, len(own)))
-    return sorted(out, key=str)
-
+def plain_chunks(lines, least, modulus):
+    solid = [i for i, x in enumerate(lines) if x.strip(" \t\x0b\x0c\r")]
+    windows = range(len(solid) - least + 1)
+    begins = [k for k in windows if modulus == 1 or plain_hash(lines[solid[k]:solid[k + least - 1] + 1]) % modulus == 0]
+    return [(solid[k], solid[after + least - 2] if after is not None else solid[-1]) for k, after in zip(begins, [*begins[1:], None])]
 
-def test_line_dedup_of_table_and_odd_rows(spark):
-    shared = "\n".join(f"shared line number {i}" for i in range(30))
-    more = [(300 + i, f"own {i}\n{shared}\nend {i}") for i in range(6)] + [(400, shared), (401, shared), (402, "\n\n\n\n"), (403, "\n\n\n\n")]
-    odd = odd_documents(spark).unionByName(documents(spark, more)).selectExpr("*", "1 AS _id", "'x' AS _text", "2 AS _row", "3 AS _gone")
-    for docs in (spark.read.parquet(f"{SF01}/documents.parquet"), odd):
-        rows = [(r.doc_id, r.text) for r in docs.collect()]
-        got = line_dedup.line_dedup(docs, salts=3)
-        assert got.columns == [*docs.columns, "removed_chunks"]
-        assert sorted((tuple(r) for r in got.select("doc_id", "text", "removed_chunks").collect()), key=str) == plain_line_dedup(rows)
-        extra = [c for c in docs.columns if c not in ("text", "doc_id")]
-        assert pairs(got, *extra) == pairs(docs, *extra)
-    assert line_dedup.line_dedup(odd.filter("false")).collect() == []
-
-
-def test_passages_shift_without_harm(spark):
-    shared = [f"passage line {i} of a text that stands in two documents" for i in range(60)]
-    rows = [(1, "\n".join(["a", "b", *shared, "z"])), (2, "\n".join(["other start", *shared[:30], "an insertion", *shared[30:], "other end"]))]
-    text = {r.doc_id: r.text for r in line_dedup.line_dedup(documents(spark, rows)).collect()}
-    assert text[1] == rows[0][1]
-    assert len(text[2].split("\n")) < 25 and "an insertion" in text[2] and "other start" in text[2]
-
-
-def plain_passage_dedup(rows, least=line_dedup.LEAST):
-    def runs(text):
-        lines = text.split("\n")
-        solid = [i for i, x in enumerate(lines) if x.strip(" \t\x0b\x0c\r")]
-        return lines, [(solid[k], solid[k + least - 1]) for k in range(len(solid) - least + 1)]
 
+def plain_line_dedup(rows, least=line_dedup.LEAST, modulus=line_dedup.MODULUS):
     first = {}
-    for i, t in rows:
-        lines, found = runs(t or "")
-        for k, (a, b) in enumerate(found):
-            if i is not None:
-                run = "\n".join(lines[a:b + 1])
-                first[run] = min(first.get(run, (i, k)), (i, k))
+    cut = [(i, (t or "").split("\n")) for i, t in rows]
+    for i, lines in cut:
+        for a, b in plain_chunks(lines, least, modulus) if i is not None else ():
+            piece = "\n".join(lines[a:b + 1])
+            first[piece] = min(first.get(piece, (i, a)), (i, a))
     out = []
-    for i, t in rows:
-        lines, found = runs(t or "")
-        gone = {x for k, (a, b) in enumerate(found) if i is not None and (i, k) > first["\n".join(lines[a:b + 1])] for x in range(a, b + 1)}
+    for i, lines in cut:
+        chunks = plain_chunks(lines, least, modulus) if i is not None else ()
+        gone = {x for a, b in chunks if (i, a) > first["\n".join(lines[a:b + 1])] for x in range(a, b + 1)}
         out.append((i, "\n".join(x for n, x in enumerate(lines) if n not in gone), len(gone)))
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("least", [2, 3])
-def test_passage_dedup_of_table_and_odd_rows(spark, least):
+@pytest.mark.parametrize(("least", "modulus", "clash"), [(2, 1, False), (3, 1, False), (2, 4, False), (3, 3, False), (2, 1, True), (2, 4, True)])
+def test_line_dedup_of_table_and_odd_rows(spark, least, modulus, clash):
+    """With a hash of seven values nearly all chunks share one, and only their whole texts tell them apart."""
+    options = {"digest": lambda c: F.pmod(F.xxhash64(c), F.lit(7 * modulus))} if clash else {}
     shared = "\n".join(f"shared line number {i}" + "\n \n" * (i % 3 == 0) for i in range(30))
     more = [(300 + i, f"own {i}\n{shared}\nend {i}") for i in range(6)] + [(400, shared), (401, shared), (402, "\n\n\n\n"), (403, "\n\n\n\n"),
                                                                           (404, "a\nb\nc\nd"), (404, "b\nc\nd\ne"), (404, "b\nc\nd\ne")]
-    odd = odd_documents(spark).unionByName(documents(spark, more)).selectExpr("*", "1 AS _id", "'x' AS _text", "2 AS _row", "3 AS _gone", "4 AS _print")
-    for docs in (spark.read.parquet(f"{SF01}/documents.parquet"), odd):
+    odd = odd_documents(spark).unionByName(documents(spark, more)).selectExpr(
+        "*", "1 AS _id", "'x' AS _text", "2 AS _row", "3 AS _gone", "4 AS _print", "5 AS _asked", "6 AS key", "7 AS _lines")
+    for docs in (spark.read.parquet(f"{SF if clash else SF01}/documents.parquet"), odd):
         rows = [(r.doc_id, r.text) for r in docs.collect()]
-        got = line_dedup.passage_dedup(docs, least)
+        got = line_dedup.line_dedup(docs, least, modulus, salts=3, **options)
         assert got.columns == [*docs.columns, "removed_lines"]
-        assert sorted((tuple(r) for r in got.select("doc_id", "text", "removed_lines").collect()), key=str) == plain_passage_dedup(rows, least)
+        assert sorted((tuple(r) for r in got.select("doc_id", "text", "removed_lines").collect()), key=str) == plain_line_dedup(rows, least, modulus)
         extra = [c for c in docs.columns if c not in ("text", "doc_id")]
         assert pairs(got, *extra) == pairs(docs, *extra)
-    assert line_dedup.passage_dedup(odd.filter("false")).collect() == []
+    assert line_dedup.line_dedup(odd.filter("false"), least, modulus).collect() == []
+
+
+@pytest.mark.parametrize("modulus", [1, 4])
+def test_passages_shift_without_harm(spark, modulus):
+    shared = [f"passage line {i} of a text that stands in two documents" for i in range(60)]
+    rows = [(1, "\n".join(["a", "b", *shared, "z"])), (2, "\n".join(["other start", *shared[:30], "an insertion", *shared[30:], "other end"]))]
+    text = {r.doc_id: r.text for r in line_dedup.line_dedup(documents(spark, rows), modulus=modulus).collect()}
+    assert text[1] == rows[0][1]
+    assert len(text[2].split("\n")) < 25 and "an insertion" in text[2] and "other start" in text[2]
+    if modulus == 1:
+        assert text[2] == "other start\nan insertion\nother end"
 
 
 def test_short_passages_between_own_lines_go(spark):
@@ -138,7 +108,7 @@ def test_short_passages_between_own_lines_go(spark):
     for n, each in passage.items():
         for p, lines in enumerate(each):
             rows += [(i, "\n".join([*own(i, "before"), *lines, *own(i, "after")])) for i in (1000 * n + p, 1000 * n + 500 + p)]
-    text = {r.doc_id: r.text for r in line_dedup.passage_dedup(documents(spark, rows)).collect()}
+    text = {r.doc_id: r.text for r in line_dedup.line_dedup(documents(spark, rows)).collect()}
     for i, t in rows:
         assert text[i] == (t if i % 1000 < 500 else "\n".join(own(i, "before") + own(i, "after")))
 

@@ -1,161 +1,119 @@
 """Removal of repeated passages by content-defined chunks of lines, in DataFrame operations only.
 
-A rolling hash over the hashes of a line and the line before it decides where a chunk ends: at a line whose value is
-divisible by ``modulus`` while the previous line's is not. A boundary depends on three lines only, so an insertion
-shifts no boundary further on, and a chunk has two lines or more unless its text begins or ends there. A passage
-that stands in several documents is cut alike in all of them.
-
-A chunk with at least two lines that are not blank is removed wherever it stands a second time, in any document; its
-first occurrence, by ``doc_id`` and then by place, stays. Hashes of chunks are counted first; chunks whose hash occurs again
-are grouped by their whole text (combined in each task, then by salt, then across salts), so nothing is removed because
-of a hash alone.
-
-A null text counts as empty. Texts without a repeated chunk come back as they were; a text of repeated chunks only
-becomes empty. Rows without an id neither lose nor lend chunks. Rows that repeat an id count as one document, in which
-each chunk has the place where it stands. All columns of ``docs`` come back, whatever their names; an empty table gives
-no rows.
-
-Chunks find a short passage between foreign lines only where two boundaries fall within it. ``passage_dedup`` has no
-boundaries: it compares every run of ``least`` lines that are not blank with every other, and finds all passages of that
-many lines or more.
+Every line is hashed once. A rolling hash over the hashes of ``least`` lines that are not blank (and of the blank ones between
+them) decides where a chunk begins: where it is divisible by ``modulus``. A chunk goes on to the last line but one of the
+rolling window that begins the next chunk, or to the last line of the text that is not blank; so it has ``least`` such lines
+or more, and neighbouring chunks overlap. What begins a chunk lies within it, so an insertion shifts nothing further on.
+
+With ``modulus`` 1, the default, every window of ``least`` lines is a chunk, and every passage of so many lines is found wherever it
+stands. Anything sparser misses short passages by its nature: a passage of two lines between foreign lines can be found
+only if these two lines alone make a chunk, and a rule that makes chunks of one pair in ``modulus`` finds one such passage in
+``modulus``. A larger ``modulus`` shuffles fewer keys and suits corpora of long passages.
+
+A chunk is removed wherever it stands a second time, in any document; its first occurrence, by ``doc_id`` and then by line, stays.
+A line goes when any chunk it is in stands earlier, so every line that goes equals one that stays. Hashes of chunks
+are counted first, without texts. The texts of those that occur again are then compared whole; where two texts share a
+hash, their chunks are told apart by text, so nothing is removed because of a hash alone.
+
+Blank lines don't make a passage; those within one must be the same and go with it. A null text counts as empty. Texts without a repeated
+chunk come back as they were; a text of repeated chunks only becomes empty. Rows without an id neither lose nor lend chunks.
+Rows that repeat an id lend nothing to each other at the same line. All columns of ``docs`` come back, whatever their
+names; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillpoint.llm.common import salted_join, staged, text_of
 
-#: Chunks have about this many lines more than two on average.
-MODULUS = 4
-#: Rolling hashes stay below this prime.
-PRIME = 2147483647
+#: One rolling hash in so many begins a chunk.
+MODULUS = 1
 #: A passage has this many lines that are not blank, or more.
 LEAST = 2
 #: A line that is not blank.
 SOLID = r"[^\x20\x09\x0B-\x0D]"
+#: A row of the documents: the id, and a hash of the text to tell apart rows that repeat an id.
+ROW = ["_id", "_print"]
 
 
-def line_hash(line: Column) -> Column:
-    return F.pmod(F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long"), F.lit(PRIME))
-
-
-def chunk_array(text: Column, modulus: int = MODULUS) -> tuple[Column, Column, Column]:
-    """Expressions for lines, line hashes (of ``_lines``) and chunks (of ``_lines`` and ``_hashes``)."""
-    lines = F.split(text, "\n")
-    hashes = F.transform(F.col("_lines"), line_hash)
-
-    def hit(i: Column) -> Column:  # i: place from 1
-        return F.when(i < 2, F.lit(False)).otherwise(
-            F.pmod(F.get("_hashes", i - 2) * 31 + F.get("_hashes", i - 1), F.lit(PRIME)) % modulus == 0)
-
-    n = F.size("_lines")
-    ends = F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | (hit(i) & ~hit(i - 1)))
-    return lines, hashes, ends
-
-
-def with_chunks(rows: DataFrame, modulus: int = MODULUS) -> DataFrame:
-    """``rows`` with ``_chunks``: the text cut into arrays' elements, each some whole lines joined by line feeds."""
-    lines, hashes, ends = chunk_array(F.col("_text"), modulus)
-    cut = rows.withColumn("_lines", lines).withColumn("_hashes", hashes).withColumn("_ends", ends)
-    start = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.get("_ends", k - 1))
-    chunks = F.transform(F.col("_ends"), lambda end, k: F.array_join(
-        F.slice(F.col("_lines"), start(k) + 1, end - start(k)), "\n"))
-    return cut.withColumn("_chunks", chunks).drop("_lines", "_hashes", "_ends")
+def with_chunks(rows: DataFrame, least: int, modulus: int, digest: Callable[[Column], Column]) -> DataFrame:
+    """``rows`` with ``_chunks``: first and last line, from 0, and hash of each chunk of ``_text``.
 
+    Columns that a lambda reads are named twice in its expression, else Spark would inline them and make them anew for each element.
+    """
+    lines = rows.withColumn("_lines", F.split("_text", "\n"))
+    hashed = lines.withColumn("_hashes", F.transform("_lines", lambda x: F.xxhash64(x))).withColumn(
+        "_solid", F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: F.get("_lines", i).rlike(SOLID)))
 
-def chunk_key(chunk: Column) -> Column:
-    """The hash of a chunk with two lines that are not blank, or more; null for others."""
-    return F.when(chunk.rlike(r"\S\s*\n\s*\S"), F.xxhash64(chunk))
+    def rolled(start: Column, end: Column) -> Column:
+        return digest(F.slice(F.col("_hashes"), start + 1, end - start + 1))
 
+    last = F.size("_solid") - least
+    begins = F.when(last >= 0, F.sequence(F.lit(0), last))
+    if modulus > 1:
+        begins = F.when(F.size("_hashes") >= least, F.filter(
+            begins, lambda k: F.pmod(rolled(F.get("_solid", k), F.get("_solid", k + (least - 1))), F.lit(modulus)) == 0))
+    ends = F.transform("_begins", lambda k, j: F.struct(
+        F.get("_solid", k).alias("s"), F.get("_solid", F.coalesce(F.get("_begins", j + 1) + (least - 2), F.size("_solid") - 1)).alias("e")))
+    keyed = F.when(F.size("_hashes") >= least, F.transform(
+        "_ends", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), rolled(x["s"], x["e"]).alias("key"))))
+    return hashed.withColumn("_begins", begins).withColumn("_ends", ends).withColumn("_chunks", keyed)
 
-def repeated_chunks(rows: DataFrame, modulus: int = MODULUS, salts: int = 8) -> DataFrame:
-    """The places to empty: ``_id`` and ``_gone``, the chunk numbers from 0, of the documents that lose any.
 
-    ``rows`` has ``_id`` and ``_text``. First the hashes of all chunks are counted, without their texts. The texts of those
-    that occur again are then compared whole, in each task, then by salt, then across salts. The outer forms of
-    explode keep Spark from inferring filters, which it would push down by repeating the hashing of all lines for every line.
-    """
-    known = rows.filter("_id IS NOT NULL")
-    at = F.col("_id").cast("decimal(38,0)") * 2147483648 + F.col("_k")
-    places = staged(with_chunks(known, modulus).select("_id", F.posexplode_outer(F.transform("_chunks", chunk_key)).alias("_k", "_key"))
-                    .filter("_key IS NOT NULL"), "chunk-keys")
-    often = places.groupBy("_key").agg(F.count("*").alias("_n")).filter("_n > 1").select("_key")
-    asked = staged(salted_join(places, often, ["_key"], "_id", salts).groupBy("_id").agg(F.collect_set("_k").alias("_ask")), "chunks-asked")
-    # both sides grow with the documents: one plan at every size
-    chunks = with_chunks(known.join(asked.hint("merge"), "_id"), modulus)
-    pieces = (chunks.select("_id", F.explode_outer(F.transform("_ask", lambda k: F.struct(k.alias("_k"), F.get("_chunks", k).alias("_chunk")))).alias("_piece"))
-              .select("_id", "_piece.*").withColumn("_key", chunk_key(F.col("_chunk"))).filter("_key IS NOT NULL"))
-    salted = (pieces.groupBy("_key", F.pmod(F.xxhash64("_id"), F.lit(salts)).alias("_salt"), "_chunk")
-              .agg(F.min(at).alias("_first"), F.count("*").alias("_n")))
-    whole = (salted.repartition("_key").groupBy("_key", "_chunk")
-             .agg(F.min("_first").alias("_first"), F.sum("_n").alias("_n")))
-    keys = staged(whole.groupBy("_key").agg(F.min("_first").alias("_first"), F.sum("_n").alias("_n"),
-                                            F.count("*").alias("_texts")).filter("_n > 1"), "repeated-chunks")
-    again = salted_join(places, keys.filter("_texts = 1").select("_key", "_first"), ["_key"], "_id", salts)
-    clashes = keys.filter("_texts > 1").select("_key")
-    if not clashes.isEmpty():
-        again = again.unionByName(pieces.join(whole.join(clashes, "_key").drop("_n"), ["_key", "_chunk"])
-                                  .select("_key", "_id", "_k", "_first"))
-    return again.filter(at > F.col("_first")).groupBy("_id").agg(F.collect_set("_k").alias("_gone"))
-
-
-def line_dedup(docs: DataFrame, modulus: int = MODULUS, salts: int = 8) -> DataFrame:
-    """``docs`` with the repeated chunks taken out of ``text``, and ``removed_chunks``, how many went from each."""
-    others = F.struct(*(F.col(c) for c in docs.columns if c != "text"))
-    own = docs.select(others.alias("_row"), F.col("doc_id").cast("long").alias("_id"), text_of().alias("_text"))
-    gone = repeated_chunks(own.select("_id", "_text"), modulus, salts)
-    cut = with_chunks(own.join(gone, "_id", "left"), modulus)
-    places = F.array_except(F.sequence(F.lit(0), F.size("_chunks") - 1), F.col("_gone"))
-    new = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(
-        F.array_join(F.transform(places, lambda k: F.get("_chunks", k)), "\n"))
-    count = F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone"))
-    kept = [new.alias("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns]
-    return cut.select(*kept, count.alias("removed_chunks"))
+def place(line: Column) -> Column:
+    return F.col("_id").cast("decimal(38,0)") * 2147483648 + line
 
 
-def with_runs(rows: DataFrame, least: int) -> DataFrame:
-    """``rows`` with ``_lines``, ``_solid``, the places from 0 of the lines that are not blank, and ``_last``, the number
-    from 0 of the last run, -1 where there is none. A run goes from one solid line to the ``least - 1``-th after it."""
-    cut = rows.withColumn("_lines", F.split("_text", "\n"))
-    solid = F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: F.get("_lines", i).rlike(SOLID))
-    return cut.withColumn("_solid", solid).withColumn("_last", F.greatest(F.size("_solid") - least, F.lit(-1)))
+def repeated(rows: DataFrame, least: int, modulus: int, salts: int, digest: Callable[[Column], Column]) -> DataFrame:
+    """Chunks whose hash occurs again, by row: ``_asked`` with first and last line, hash, and whether the hash stands earlier.
 
-
-def repeated_runs(rows: DataFrame, least: int) -> DataFrame:
-    """The runs that stand earlier too: ``_id``, ``_print`` (which tells apart rows that repeat an id) and ``_gone``.
-
-    Runs are grouped by the SHA-256 of their whole text; a common run is combined in each task. Explode is outer as above.
+    The outer form of explode keeps Spark from inferring a filter, which it would push down by hashing all lines again for each.
     """
-    def key(k: Column) -> Column:
-        start, end = F.get("_solid", k), F.get("_solid", k + (least - 1))
-        return F.unhex(F.sha2(F.array_join(F.slice(F.col("_lines"), start + 1, end - start + 1), "\n"), 256))
-
-    keys = F.when(F.col("_last") >= 0, F.transform(F.sequence(F.lit(0), F.col("_last")), key))
-    runs = (with_runs(rows.filter("_id IS NOT NULL"), least)
-            .select("_id", F.xxhash64("_text").alias("_print"), F.posexplode_outer(keys).alias("_k", "_key"))
-            .filter("_key IS NOT NULL")
-            .withColumn("_at", F.col("_id").cast("decimal(38,0)") * 2147483648 + F.col("_k")))
-    first = staged(runs.groupBy("_key").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
-                   .filter("_n > 1").drop("_n"), "repeated-runs")
-    return runs.join(first, "_key").filter("_at > _first").groupBy("_id", "_print").agg(F.collect_set("_k").alias("_gone"))
-
-
-def passage_dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """``docs`` without the passages of ``least`` lines or more that stand earlier, and ``removed_lines`` of each.
-
-    Blank lines don't count; those within a passage must be the same and go with it. A run's first occurrence is by
-    ``doc_id`` and then by place. A line goes when any run it is in stands earlier, so every line that goes
-    equals one that stays. Null texts, rows without an id and other columns are treated
-    as by ``line_dedup``. Rows that repeat an id lend nothing to each other at the same place.
+    found = with_chunks(rows.filter("_id IS NOT NULL"), least, modulus, digest).select(*ROW, F.explode_outer("_chunks").alias("_chunk"))
+    chunks = staged(found.filter("_chunk IS NOT NULL").select(*ROW, "_chunk.*"), "line-chunks")
+    first = staged(chunks.groupBy("key").agg(F.min(place(F.col("s"))).alias("_first"), F.count("*").alias("_n"))
+                   .filter("_n > 1").drop("_n"), "repeated-chunks")
+    later = (place(F.col("s")) > F.col("_first")).alias("later")
+    return (salted_join(chunks, first, ["key"], "_id", salts).select(*ROW, F.struct("s", "e", "key", later).alias("_one"))
+            .groupBy(*ROW).agg(F.collect_set("_one").alias("_asked")))
+
+
+def told_apart(asked: DataFrame) -> DataFrame:
+    """``asked``, rows with ``_text`` and ``_asked``, with ``later`` decided by whole texts where texts share a hash."""
+    lines = asked.withColumn("_lines", F.split("_text", "\n"))
+    text = F.when(F.size("_lines") > 0, F.transform("_asked", lambda x: F.struct(
+        x.alias("_one"), F.array_join(F.slice(F.col("_lines"), x["s"] + 1, x["e"] - x["s"] + 1), "\n").alias("_piece"))))
+    pieces = lines.filter("_asked IS NOT NULL").select(*ROW, F.explode_outer(text).alias("_of")).select(
+        *ROW, "_of.*", F.col("_of._one.key").alias("key"))
+    texts = pieces.groupBy("key", "_piece").agg(F.count("*").alias("_n"))
+    clashes = staged(texts.groupBy("key").agg(F.count("*").alias("_texts")).filter("_texts > 1").select("key"), "chunk-clashes")
+    if clashes.isEmpty():
+        return asked
+    at = place(F.col("_one.s"))
+    first = pieces.join(clashes, "key").groupBy("key", "_piece").agg(F.min(at).alias("_first"))
+    apart = pieces.join(first, ["key", "_piece"], "left").withColumn(
+        "_one", F.col("_one").withField("later", F.when(F.col("_first").isNull(), F.col("_one.later")).otherwise(at > F.col("_first"))))
+    return asked.drop("_asked").join(apart.groupBy(*ROW).agg(F.collect_set("_one").alias("_asked")), ROW, "left")
+
+
+def line_dedup(docs: DataFrame, least: int = LEAST, modulus: int = MODULUS, salts: int = 8,
+               digest: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """``docs`` without the passages that stand earlier, and ``removed_lines``, how many lines went from each text.
+
+    ``digest`` hashes the line hashes of a chunk. Texts move once, to the chunks asked of them, and stay staged with these.
     """
     own = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"), text_of().alias("_text"))
     own = own.withColumn("_print", F.xxhash64("_text"))
-    both = with_runs(own.join(repeated_runs(own.select("_id", "_text"), least), ["_id", "_print"], "left"), least)
+    asked = repeated(own.select(*ROW, "_text"), least, modulus, salts, digest)
+    # both sides grow with the documents: one plan at every size
+    both = told_apart(staged(own.join(asked.hint("merge"), ROW, "left"), "chunks-asked")).withColumn("_lines", F.split("_text", "\n"))
+    gone = F.flatten(F.transform(F.filter("_asked", lambda x: x["later"]), lambda x: F.sequence(x["s"], x["e"])))
     places = F.sequence(F.lit(0), F.size("_lines") - 1)
-    taken = F.flatten(F.transform("_gone", lambda k: F.sequence(F.get("_solid", k), F.get("_solid", k + (least - 1)))))
-    cut = both.withColumn("_left", F.when(F.col("_gone").isNotNull(), F.array_except(places, taken)))
+    cut = both.withColumn("_left", F.when(F.col("_asked").isNotNull(), F.array_except(places, gone)))
     new = F.when(F.col("_left").isNull(), F.col("_text")).otherwise(
         F.array_join(F.transform("_left", lambda i: F.get("_lines", i)), "\n"))
     count = F.when(F.col("_left").isNull(), F.lit(0)).otherwise(F.size("_lines") - F.size("_left"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tillpoint.llm.common import LOWER, UPPER
-from tillpoint.llm.line_dedup import MODULUS, PRIME, SOLID
+from tillpoint.llm.line_dedup import SOLID
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -24,23 +24,7 @@ OP5 = f"""
   SELECT doc_id, keep_id, group_size, coalesce(doc_id = keep_id, keep_id IS NULL) AS kept, sha256(d.t) AS text_sha256
   FROM d JOIN g ON g.t = d.t"""
 
-OP6 = f"""
-  WITH lists AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
-  lines AS (SELECT doc_id, len(l) AS n, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM lists),
-  hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT % {PRIME} AS h FROM lines),
-  hits AS (
-    SELECT *, i > 1 AND ((lag(h, 1, 0) OVER (PARTITION BY doc_id ORDER BY i) * 31 + h) % {PRIME}) % {MODULUS} = 0 AS hit FROM hashed),
-  ends AS (SELECT *, i = n OR (hit AND NOT lag(hit, 1, false) OVER (PARTITION BY doc_id ORDER BY i)) AS is_end FROM hits),
-  numbered AS (
-    SELECT *, coalesce(sum(is_end::INTEGER) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k
-    FROM ends),
-  chunks AS (SELECT doc_id, k, string_agg(line, chr(10) ORDER BY i) AS c FROM numbered GROUP BY doc_id, k),
-  placed AS (
-    SELECT *, regexp_matches(c, '\\S\\s*\\n\\s*\\S') AND row_number() OVER (PARTITION BY c ORDER BY doc_id, k) > 1 AS gone FROM chunks)
-  SELECT doc_id, coalesce(string_agg(c, chr(10) ORDER BY k) FILTER (NOT gone), '') AS text,
-         cast(count(*) FILTER (gone) AS INTEGER) AS removed_chunks FROM placed GROUP BY doc_id"""
-
-OP6_PASSAGES = rf"""
+OP6 = rf"""
   WITH lists AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
   lines AS (SELECT doc_id, l, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM lists),
   runs AS (
@@ -154,7 +138,7 @@ OP13 = """
     WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
   SELECT anchor_id, positive_id, cast(r AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE r <= 5"""
 
-ORACLES: dict[str, str] = {"op1_topk": OP1, "op5_exact_dedup": OP5, "op6_line_dedup": OP6, "op6_passage_dedup": OP6_PASSAGES,
+ORACLES: dict[str, str] = {"op1_topk": OP1, "op5_exact_dedup": OP5, "op6_line_dedup": OP6, "op6_passage_dedup": OP6,
                            "op8_chat": OP8, "op10_jaccard_join": OP10,
                            "op11_decontamination": OP11, "op12_value_codes": OP12,
                            "op13_hard_negatives": OP13}

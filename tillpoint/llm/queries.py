@@ -46,11 +46,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_dedup(read(spark, sf_dir, "documents")).select("doc_id", "text", "removed_chunks")
+    return line_dedup.line_dedup(read(spark, sf_dir, "documents")).select("doc_id", "text", "removed_lines")
 
 
 def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.passage_dedup(read(spark, sf_dir, "documents")).select("doc_id", "text", "removed_lines")
+    """The former name of what ``op6_line_dedup`` returns now."""
+    return op6_line_dedup(spark, sf_dir)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
