@@ -17,7 +17,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that stand earlier in the corpus."""
-    return line_dedup.line_dedup(docs).drop("removed_chunks")
+    return line_dedup.line_dedup(docs).drop("removed_lines")
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
