@@ -176,6 +176,34 @@ def test_near_groups_of_table(spark, words, part):
     assert kept == {c for _, c in want.values()}
 
 
+def plain_links(rows, k, part, whole=100):
+    """By row: shingles and the number of other rows that link."""
+    sets = [plain_shingles(t, k) for _, t in rows]
+    out = []
+    for x, (i, _) in enumerate(rows):
+        near = sum(1 for y in range(len(rows)) if x != y and sets[x] and sets[y] and min(len(sets[x]), len(sets[y])) * whole >= part * max(len(sets[x]), len(sets[y]))
+                   and whole * len(sets[x] & sets[y]) >= part * len(sets[x] | sets[y]))
+        out.append((i, len(sets[x]), near))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("block", [512, 4])
+def test_link_counts_of_table_and_odd_rows(spark, monkeypatch, block):
+    """Every link counts, also those within large stars cut into blocks; copies are not written out as pairs."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    base = [f"w{i}" for i in range(100)]
+    near = [(300 + i, " ".join(base[:100 - i % 14] + [f"x{i % 14}.{j}" for j in range(i % 14)])) for i in range(40)]
+    odd = odd_documents(spark).unionByName(documents(spark, near)).selectExpr("*", "1 AS low", "'x' AS class_id", "2 AS component")
+    for docs in (spark.read.parquet(f"{SF}/documents.parquet"), odd):
+        rows = [(r.doc_id, r.text) for r in docs.collect()]
+        got = jaccard_join.link_counts(docs, 3, 80, salts=3)
+        assert sorted((tuple(r) for r in got.select("doc_id", "n_shingles", "n_links").collect()), key=str) == plain_links(rows, 3, 80)
+    links, members = jaccard_join.class_links(odd, 3, 80)
+    assert links.count() == links.distinct().count() > 0
+    assert members.filter("class_id IS NULL").count() == members.filter("n_shingles = 0").count()
+    assert jaccard_join.link_counts(odd.filter("false"), 3, 80).collect() == []
+
+
 def test_registered_near_groups(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     want = jaccard_groups([(r.doc_id, r.text) for r in docs.collect()], 3, 90)

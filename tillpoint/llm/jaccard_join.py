@@ -265,8 +265,8 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def block_links(ids: list[int], sides: list[int], sets: list[np.ndarray], s: Similarity) -> list[tuple[int, int]]:
-    """Links between the documents of one block (all of side 0), or between those of two."""
+def block_links(ids: list[int], sides: list[int], sets: list[np.ndarray], s: Similarity, every: bool = False) -> list[tuple[int, int]]:
+    """Links between the documents of one block (all of side 0), or between those of two: a spanning forest, or every link."""
     order = sorted(range(len(ids)), key=lambda i: sides[i])
     ids, sets = [ids[i] for i in order], [sets[i] for i in order]
     split = sum(1 for x in sides if x == 0)
@@ -278,6 +278,8 @@ def block_links(ids: list[int], sides: list[int], sets: list[np.ndarray], s: Sim
         whole = np.zeros((len(sets), len(sets)), dtype=bool)
         whole[:split, split:], whole[split:, :split] = link, link.T
         link = whole
+    if every:
+        return [(ids[a], ids[b]) for a, b in np.argwhere(np.triu(link, 1)).tolist()]
     return [(ids[a], ids[b]) for a, b in forest(link) if ids[a] != ids[b]]
 
 
@@ -347,20 +349,21 @@ def centre_links(texts: DataFrame, pairs: DataFrame, s: Similarity) -> DataFrame
             .filter(F.col("common") * s.whole >= (F.col("both") - F.col("common")) * s.part).select("a", "b"))
 
 
-def star_blocks(stars: DataFrame, s: Similarity) -> DataFrame:
-    """The members of stars in several components, with ``block`` and ``core``: of the centre's component only.
+def star_blocks(stars: DataFrame, s: Similarity, every: bool = False) -> DataFrame:
+    """The members of stars in several components, or of ``every`` star, with ``block`` and ``core``: of the centre's component only.
 
     stars: grp (the centre), low, n_shingles, component. A large star is cut by size, and each size by a hash.
     """
     whole = stars.groupBy("grp").agg(
         F.count("*").alias("members"), F.sum("n_shingles").alias("shingles"), F.min("component").alias("least"), F.max("component").alias("most"),
-        F.max(F.when(F.col("low") == F.col("grp"), F.col("component"))).alias("centre")).filter("least != most").drop("least", "most")
+        F.max(F.when(F.col("low") == F.col("grp"), F.col("component"))).alias("centre"))
+    whole = (whole if every else whole.filter("least != most")).drop("least", "most")
     mixed = salted_join(stars, whole, ["grp"], "low")
     small = (F.col("members") <= BLOCK) & (F.col("shingles") <= BLOCK_SHINGLES)
     size = F.floor(F.log(F.col("n_shingles").cast("double")) / -log(float(s.t))).cast("int")
     cells = mixed.select("grp", "low", "n_shingles", "component", small.alias("small"),
                          F.when(small, F.lit(-1)).otherwise(size).alias("size"),
-                         (~small & F.coalesce(F.col("component") == F.col("centre"), F.lit(False))).alias("core"))
+                         (~small & F.coalesce(F.col("component") == F.col("centre"), F.lit(False)) & F.lit(not every)).alias("core"))
     fill = cells.filter("NOT small").groupBy("grp", "size", "core").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("parts"))
     large = salted_join(cells.filter("NOT small"), fill, ["grp", "size", "core"], "low").withColumn(
@@ -369,15 +372,15 @@ def star_blocks(stars: DataFrame, s: Similarity) -> DataFrame:
     return both.select("grp", "low", "n_shingles", "component", "core", F.xxhash64("size", "core", "part").alias("block"))
 
 
-def star_links(texts: DataFrame, stars: DataFrame, s: Similarity) -> DataFrame:
-    """Links (a, b) between members of one star that are in different components, or more."""
-    placed = staged(star_blocks(stars, s), "star-blocks")
+def star_links(texts: DataFrame, stars: DataFrame, s: Similarity, every: bool = False) -> DataFrame:
+    """Links (a, b) between members of one star that are in different components, or more; or ``every`` link, each once for each star."""
+    placed = staged(star_blocks(stars, s, every), "star-blocks")
     blocks = placed.groupBy("grp", "block", "core").agg(
         F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"), F.min("component").alias("first"), F.max("component").alias("last"))
     second = blocks.select("grp", *(F.col(c).alias(f"{c}_2") for c in ("block", "core", "least", "most", "first", "last")))
     pairs = (blocks.filter("NOT core").join(second, "grp").filter("core_2 OR block <= block_2")
              .filter(F.col("most") * s.whole >= F.col("least_2") * s.part).filter(F.col("most_2") * s.whole >= F.col("least") * s.part)
-             .filter("NOT (first = last AND first_2 = last_2 AND first = first_2)")
+             .filter(F.lit(every) | F.expr("NOT (first = last AND first_2 = last_2 AND first = first_2)"))
              .select("grp", F.xxhash64("grp", "block", "block_2").alias("pair"), "block", "block_2"))
     sides = pairs.select("grp", "pair", "block", F.lit(0).alias("side")).unionByName(
         pairs.filter("block != block_2").select("grp", "pair", F.col("block_2").alias("block"), F.lit(1).alias("side")))
@@ -395,7 +398,7 @@ def star_links(texts: DataFrame, stars: DataFrame, s: Similarity) -> DataFrame:
         for _, group in groupby(rows(batches), key=lambda r: r[0]):
             _, sides, ids, sets = zip(*((*r[:3], r[3]) for r in group))
             if len(ids) > 1:
-                links = block_links(list(ids), list(sides), list(sets), s)
+                links = block_links(list(ids), list(sides), list(sets), s, every)
                 yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
 
     return work.mapInArrow(count, "a long, b long")
@@ -428,6 +431,57 @@ def near_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 10
     return linked.select(*columns).unionByName(alone.select(*columns))
 
 
+def class_links(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 100) -> tuple[DataFrame, DataFrame]:
+    """The whole join: the links of different sets, and which rows have which set.
+
+    Links are a row (a, b), a < b, for each two sets that link. Members are doc_id, n_shingles and class_id of every row of
+    ``docs``; class_id is the number of the row's set, null for a row without words. Copies of a set are not written out as pairs.
+
+    Every two members of a star are compared, in blocks, and the links of a group of near copies are as many as its
+    pairs: for components alone, ``near_groups`` is far cheaper.
+    """
+    s = Similarity(words, part, whole)
+    sets = staged(document_sets(docs, s), "sets")
+    sizes = sets.filter("n_shingles > 0").groupBy("low").agg(F.max("n_shingles").alias("n_shingles"))
+    stars = staged(candidates(docs, s), "stars")
+    # a text for each set, taken from the rows themselves: also those without an id, which near_groups reads as well
+    texts = staged(texts_of_sets(docs, stars.select("low").distinct(), s), "candidate-texts")
+    members = stars.join(sizes, "low").select(F.col("centre").alias("grp"), "low", "n_shingles", F.col("low").alias("component")).distinct()
+    links = (star_links(texts, members, s, every=True).filter("a != b")
+             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return links, sets.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("low")).alias("class_id"))
+
+
+def texts_of_sets(docs: DataFrame, wanted: DataFrame, s: Similarity) -> DataFrame:
+    """``low`` and ``text`` of one row for each set of ``wanted`` (low); copies within a task are left out before the shuffle."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for some in slices(batch, "text"):
+                low = signatures(list(shingle_sets(*text_bytes(some.column("text")), s.words)))[0].tolist()
+                fresh = [i for i, x in enumerate(low) if not (x in seen or seen.add(x))]
+                yield pa.RecordBatch.from_arrays([pa.array([low[i] for i in fresh], pa.int64()), some.column("text").take(pa.array(fresh, pa.int64()))],
+                                                 ["low", "text"])
+
+    rows = docs.select(text_of().alias("text")).mapInArrow(scan, "low long, text string")
+    # both sides grow with the documents: one plan at every size
+    return rows.join(wanted.hint("merge"), "low", "left_semi").dropDuplicates(["low"])
+
+
+def link_counts(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 100, salts: int = 16) -> DataFrame:
+    """doc_id, n_shingles, class_id and n_links of every row of ``docs``: how many other rows its set links with, equal ones included."""
+    links, members = class_links(docs, words, part, whole)
+    links, members = staged(links, "class-links"), staged(members, "members")
+    copies = staged(members.filter("class_id IS NOT NULL").groupBy("class_id").agg(F.count("*").alias("n")), "classes")
+    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = (salted_join(ends.withColumnRenamed("b", "class_id"), copies, ["class_id"], "a", salts)
+              .groupBy(F.col("a").alias("class_id")).agg(F.sum("n").alias("linked")))
+    known = copies.join(others, "class_id", "left").select("class_id", (F.col("n") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
+    alone = members.filter("class_id IS NULL").withColumn("n_links", F.lit(0).cast("long"))
+    return salted_join(members.filter("class_id IS NOT NULL"), known, ["class_id"], "doc_id", salts).select(*alone.columns).unionByName(alone)
+
+
 def repeated_ids(sets: DataFrame) -> DataFrame:
     """Links between the sets of a document id that several rows share: each to the least of them."""
     several = (sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id")
