@@ -125,6 +125,22 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_links_that_are_stars_take_no_step(spark, monkeypatch):
+    """A step takes some twenty stages of the driver's memory."""
+    names = []
+    monkeypatch.setattr(components, "staged", lambda df, name, staged=components.staged: (names.append(name), staged(df, name))[1])
+    stars = [(9, 1), (8, 1), (1, 7), (5, 4), (4, 6), (9, 1), (3, 3)]
+    got = dict(pairs(components.components(spark.createDataFrame(stars, "a long, b long")), "node", "component"))
+    assert got == {1: 1, 7: 1, 8: 1, 9: 1, 4: 4, 5: 4, 6: 4}
+    assert names == ["links"]
+    text = "one two three four five six seven eight nine ten"
+    docs = documents(spark, [(i, f"{text} {'x' * (i // 3)}") for i in range(30)])
+    names.clear()
+    found = dict(pairs(jaccard_join.near_groups(docs, words=1, part=80), "doc_id", "component_id"))
+    assert found == {i: 0 for i in range(30)}
+    assert names[-1] == "links"  # the second search begins with the stars of the first
+
+
 @pytest.mark.parametrize(("k", "part"), [(3, 90), (5, 80)])
 def test_shingle_sets(k, part):
     texts = ["", "  ", "a", "A b", "one two THREE four", "é è\x85x y z", "a b a b a b a b", "x\ty\nz\x0bw\x0cv\rq"]

@@ -2,8 +2,10 @@
 
 A large-star step links every larger neighbour of a node to the least node it sees; a small-star step does so for the
 smaller neighbours. Each step joins and groups the links, keeps the components, and shortens paths, so their number
-grows with the logarithm of the longest path. Links are narrow rows; a node with very many neighbours is combined in
-each task before it is grouped, and its join is left to Spark's splitting of skewed partitions.
+grows with the logarithm of the longest path. They end when every node has only its link to the least node of its
+component, which a count of each node's smaller and larger neighbours tells without a further step: every stage takes
+some megabytes of the driver, whatever the number of links. Links are narrow rows; a node with very many neighbours is
+combined in each task before it is grouped, and its join is left to Spark's splitting of skewed partitions.
 """
 
 from __future__ import annotations
@@ -35,15 +37,16 @@ def components(links: DataFrame) -> DataFrame:
         return out.filter("a != b").distinct()
 
     edges = staged(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    mark = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-    seen = mark(edges)
-    while seen[0]:
-        files = max(1, -(-seen[0] // IN_A_FILE))
+    while (at := unsettled(edges))["nodes"]:
+        files = max(1, -(-at["links"] // IN_A_FILE))
         edges = staged(star(star(edges, True), False).coalesce(files), "stars")
-        now = mark(edges)
-        if now == seen:
-            break
-        seen = now
-    found = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
     roots = edges.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
-    return found.unionByName(roots).groupBy("node").agg(F.min("component").alias("component"))
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+
+
+def unsettled(edges: DataFrame) -> dict[str, int]:
+    """The number of ``links`` of ``edges`` (a > b, each once), and of ``nodes`` with several smaller neighbours, or smaller and larger ones."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("below")).unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("below")))
+    nodes = ends.groupBy("node").agg(F.sum("below").alias("below"), F.count("*").alias("ends"))
+    found = nodes.agg(F.coalesce(F.sum("below"), F.lit(0)).alias("links"), F.count_if(F.expr("below > 1 OR below = 1 AND ends > 1")).alias("nodes"))
+    return found.first().asDict()

@@ -420,7 +420,9 @@ def near_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 10
     known = components(first)
     members = (pairs.join(sizes, "low").join(known, F.col("low") == known["node"], "left")
                .select(F.col("centre").alias("grp"), "low", "n_shingles", F.coalesce("component", "low").alias("component")).distinct())
-    links = first.unionByName(star_links(texts, members, s)).unionByName(repeated_ids(sets))
+    # the first links as stars, so where no other follows there is nothing to do
+    held = known.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    links = held.unionByName(star_links(texts, members, s)).unionByName(repeated_ids(sets))
     found = staged(components(links), "components")
     least = found.join(same, found["node"] == same["low"]).groupBy("component").agg(F.min("rep").alias("component_id"))
     named = salted_join(found, least, ["component"], "node").select(F.col("node").alias("low"), "component_id")
