@@ -33,6 +33,23 @@ def test_chunks_give_the_ids_of_whole_texts(name, dropped):
     same()
 
 
+@pytest.mark.parametrize(("name", "dropped"), [(BYTE, False), (WORD, True)])
+def test_words_need_the_models_merges_only(name, dropped, monkeypatch):
+    """The whole library takes several times as long for a new chunk."""
+    encoder, others = ChunkEncoder(tokenizer(name), dropped), []
+    assert encoder.by_words
+    monkeypatch.setattr(encoder, "_encode_new", lambda chunks, f=encoder._encode_new: (others.extend(chunks), f(chunks)))
+    letters = [chr(i) for i in range(0x250) if chr(i).isalpha()]
+    words = [*letters, *(a + "x" + a for a in letters), "Stra\u00DFe", "don", "s", "ll", "endoftext"]
+    signs = ["", *(chr(i) for i in range(33, 127) if not chr(i).isalnum() and chr(i) not in "'<"), "...", "&&&", ".\"", "|>", "_-_"]
+    texts = [" ".join(words), "\n".join(words), *(f"{x}{words[-1]}{x} b{x}\nc{x} d{x}" for x in signs), *(f"\u00E9t\u00E9{x} s{x} X{x}" for x in signs)]
+    assert encoder.encode(texts) == [encoder.whole(t) for t in texts]
+    assert all(dropped and ("\u0130" in c or max(c.lower()) >= "\u0250") or not c[0].isalpha() for c in others)
+    odd = ["it's", "I'll.", "a'b", "x<|endoftext|>y", "a1", "1a", "a.b", "\u0130a", "e\u0301", "\u023A", "a\n\nb", "\na", "a\n", "a\tb", "", "a,'s"]
+    texts = [x for a in odd for b in odd for x in (a, f"{a} {b}", f"{a}\n{b}", f"w {a}{b}")]
+    assert encoder.encode(texts) == [encoder.whole(t) for t in texts]
+
+
 def test_merging_counts_what_the_library_gives():
     import sentencepiece
 
