@@ -174,6 +174,17 @@ def test_linked_sets_share_a_key():
                         assert any(per_class[k & 255] >= needs[k] for k in shared), (n, cut, new, share)
 
 
+def test_short_sets_with_a_common_passage_share_no_key():
+    """Sets of 20 common n-grams and 10 of their own can't link, so a group of them needs no star."""
+    draw, s = np.random.default_rng(5), jaccard_join.Similarity(5, 80)
+    common = np.unique(draw.integers(0, 2 ** 63, 20, dtype=np.uint64))
+    having = Counter()
+    for _ in range(200):
+        own = np.unique(np.concatenate([common, draw.integers(0, 2 ** 63, 10, dtype=np.uint64)]))
+        having.update(set(jaccard_join.piece_keys(own, s, common)[0].tolist()))
+    assert max(having.values()) == 1
+
+
 def test_overlaps_are_exact():
     draw = np.random.default_rng(4)
     sets = [np.unique(draw.integers(0, 2 ** 64, 50, dtype=np.uint64) * (np.arange(50) % 3 > 0).astype(np.uint64)) for _ in range(7)]

@@ -7,10 +7,10 @@ vertical pieces, one for each fragment.
 shingles, so of more fragments than that, they agree on one whole fragment. A document sends a hash of each of its
 pieces, under the fragments of its size class and of those above it where a partner can be; documents that share a
 piece are candidates. Common n-grams, as of a passage that many documents share, are left out of the pieces. A document
-of which so little is left that the differences could touch all its pieces sends pieces of its whole set as well.
-There are some fragments more than needed for these; where even so all agreement might be on empty pieces, pieces under
-other cuts of the order follow (under the last the document falls back on its class). No pair of the stated similarity
-is missed, whatever counts as common: that only decides how many candidates there are.
+of which so little is left that the differences could touch all its pieces sends, besides, single n-grams: the first
+n - ceil(t n) + 1 of its n in an order that has common ones last, of which linked sets share one. A passage that many
+short documents share makes no star of them then, unless they hold hardly anything else. No pair of the stated
+similarity is missed, whatever counts as common: that only decides how many candidates there are.
 
 So many more pieces are cut than differ that linked sets share several. A set that shares fewer than it must, with all
 other sets together, is no candidate.
@@ -50,8 +50,6 @@ from tillpoint.llm.common import salted_join, shuffle_partitions, slices, staged
 from tillpoint.llm.components import components
 from tillpoint.llm.shingles import U, mix, shingle_sets, text_bytes
 
-#: Cuts of the order that a document with too many empty pieces is sent under.
-CUTS = 4
 #: An n-gram is common from so many documents on, counted where so many of about a megabyte of texts hold it; the
 #: most frequent ones, at most so many, are sent to all tasks.
 COMMON, COMMON_HERE, COMMON_MOST = 40, 3, 1_000_000
@@ -96,14 +94,14 @@ def _fragments(k: int, s: Similarity) -> tuple[int, int]:
     return (most + 1 + spare, spare) if most else (0, 0)
 
 
-def piece_hashes(order: np.ndarray, count: int, k: int, cut: int) -> np.ndarray:
+def piece_hashes(order: np.ndarray, count: int, k: int) -> np.ndarray:
     """A hash of each of the pieces, of ``count`` fragments, that aren't empty."""
     if not len(order):
         return order
     fragment = ((order >> U(32)) * U(count)) >> U(32)
     starts = np.flatnonzero(np.concatenate([[True], fragment[1:] != fragment[:-1]]))
     pieces = np.add.reduceat(mix(order ^ U(0xA5A5A5A5)), starts)
-    return mix(pieces + mix(fragment[starts] * U(64) + U(cut)) * U(31) + U(k))
+    return mix(pieces + mix(fragment[starts] * U(64)) * U(31) + U(k))
 
 
 def piece_keys(own: np.ndarray, s: Similarity, common: np.ndarray = np.empty(0, dtype=U)) -> tuple[np.ndarray, np.ndarray]:
@@ -112,25 +110,23 @@ def piece_keys(own: np.ndarray, s: Similarity, common: np.ndarray = np.empty(0,
     Linked sets that differ share at least one. The last byte of a key is that of its class. common: sorted n-grams to leave out.
     """
     n, out, needs = len(own), [], []
-    rare = own
+    shared = np.zeros(n, dtype=bool)
     if len(common) and n:
-        rare = own[common[np.minimum(np.searchsorted(common, own), len(common) - 1)] != own]
+        shared = common[np.minimum(np.searchsorted(common, own), len(common) - 1)] == own
+    rare = own[~shared]
+    # two linked sets have one of their first n-grams in common, in any order that is the same for both
+    first = np.concatenate([rare, own[shared]])[:n - ceil(n * s.t) + 1]
     largest = floor(n / s.t)
     for k in range(s.size_class(n), s.size_class(largest) + 1):
         count, spare = s.fragments(k)
         if not count:
             continue
-        some = [piece_hashes(rare, count, k, CUTS)]
+        some = [piece_hashes(rare, count, k)]
         # every shingle in one set only spoils one piece; all others that aren't empty are shared
         need = len(some[0]) - s.differences(n + largest)
         if count - len(some[0]) > spare:  # not more pieces than there can be differences
             need = 1
-            for cut in range(CUTS):
-                some.append(piece_hashes(own if cut == 0 else np.sort(mix(own + U(cut))), count, k, cut))
-                if count - len(some[-1]) <= spare:
-                    break
-                if cut == CUTS - 1:
-                    some.append(mix(np.asarray([k], dtype=U) + U(0xFEED)))
+            some.append(mix(first + mix(np.asarray([k], dtype=U) + U(0xFEED))))
         keys = np.concatenate(some)
         out.append((keys & ~U(255)) | U(k & 255))
         needs.append(np.full(len(keys), max(1, need), dtype=np.int32))
