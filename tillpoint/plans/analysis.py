@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 
-from tillpoint.functions.lineage import stage
+from tillpoint.functions.lineage import release_after, stage, staged_table
 from tillpoint.functions.stats import newest_date
 from tillpoint.operators import churn, customer_features, kpis, segmentation
 from tillpoint.schemas import CHURN_DAYS, SEED
@@ -17,9 +19,11 @@ def precompute_all_analysis(spark: SparkSession, tables: dict[str, DataFrame], o
                             hyperparameters: dict | None = None, n_init: int = 10, measure: DataFrame | int | None = None) -> list[str]:
     """Write every result table as Parquet and return their names.
 
-    The feature matrix is computed once and staged; segmentation, churn and KPIs read the copy.
+    The feature matrix is computed once and staged; segmentation, churn and KPIs read the copy. So are the transactions, which
+    features, labels and KPIs read a dozen times: where they come from a join, it runs once.
     """
-    tx, customers, products = tables["transactions"], tables["customers"], tables["products"]
+    customers, products = tables["customers"], tables["products"]
+    tx = staged_table(tables["transactions"], "transactions", compression="zstd")
     ref = newest_date(tx)
     features = stage(customer_features.create_feature_matrix(
         tx, tables["loyalty"], customers, products, tables.get("surveys"), ref, measure=measure))
@@ -43,5 +47,7 @@ def precompute_all_analysis(spark: SparkSession, tables: dict[str, DataFrame], o
         "churn_risk_distribution": kpis.risk_distribution(predictions),
     }
     for name, df in results.items():
+        began = time.monotonic()
         df.write.mode("overwrite").parquet(f"{str(output_dir).rstrip('/')}/{name}.parquet")
+        release_after(spark, began)
     return sorted(results)
