@@ -20,7 +20,7 @@ def precompute_all_analysis(spark: SparkSession, tables: dict[str, DataFrame], o
     """Write every result table as Parquet and return their names.
 
     The feature matrix is computed once and staged; segmentation, churn and KPIs read the copy. So are the transactions, which
-    features, labels and KPIs read a dozen times: where they come from a join, it runs once.
+    features and KPIs read many times: where they come from a join, it runs once.
     """
     customers, products = tables["customers"], tables["products"]
     tx = staged_table(tables["transactions"], "transactions", compression="zstd")
@@ -28,7 +28,8 @@ def precompute_all_analysis(spark: SparkSession, tables: dict[str, DataFrame], o
     features = stage(customer_features.create_feature_matrix(
         tx, tables["loyalty"], customers, products, tables.get("surveys"), ref, measure=measure))
     segments = segmentation.perform_customer_segmentation(features, n_clusters, find_optimal_k=False, random_state=SEED, n_init=n_init)
-    risk = churn.perform_churn_prediction(features, tx, CHURN_DAYS, use_smote=False,
+    # labels come from the given table: how a join lays out its rows decides which ones a tree's sample takes
+    risk = churn.perform_churn_prediction(features, tables["transactions"], CHURN_DAYS, use_smote=False,
                                           hyperparameters=dict(hyperparameters or STORED_MODEL), explain=False)
     predictions = stage(risk.predictions)
     results = {
